@@ -7,7 +7,12 @@ import sys
 from collections.abc import Sequence
 from typing import NoReturn
 
+from pyspark.sql import SparkSession
+
+from cellweave import sources
+from cellweave.operators import filters
 from cellweave.plans import jobs
+from cellweave.schemas import RESTAURANT
 from cellweave.session import session
 
 
@@ -22,17 +27,21 @@ def parser() -> argparse.ArgumentParser:
     top = _Parser(prog="run.py")
     top.add_argument("--shuffle-partitions", type=int)
     top.add_argument("--split-bytes", type=int)
+    top.add_argument("--kryo", action="store_true")
+    top.add_argument("--show", type=int, default=0, metavar="N", help="print N rows of the result")
     add = top.add_subparsers(dest="job", required=True).add_parser
 
     job = add("counts", help="restaurants per franchise and city")
     job.add_argument("restaurants")
     job.add_argument("target")
+    job.add_argument("--fixed-schema", action="store_true", help="do not infer the column types")
 
     job = add("geocode", help="missing coordinates from a gazetteer")
     job.add_argument("restaurants")
     job.add_argument("gazetteer")
     job.add_argument("target")
     job.add_argument("--mode", choices=sorted(jobs.geocoding.MODES), default="fill_gaps")
+    job.add_argument("--franchise", help="print the result for this franchise")
 
     job = add("geohash", help="add a geohash to geocoded restaurants")
     job.add_argument("restaurants")
@@ -68,38 +77,51 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def run(spark: SparkSession, args: argparse.Namespace) -> tuple[object, str]:
+    """Run the chosen job; answers with what it returned and where its result lies."""
+    if args.job == "counts":
+        schema = RESTAURANT if args.fixed_schema else None
+        return jobs.count_restaurants(spark, args.restaurants, args.target, schema), args.target
+    if args.job == "geocode":
+        return jobs.geocode(spark, args.restaurants, args.gazetteer, args.target, args.mode), args.target
+    if args.job == "geohash":
+        return jobs.tag_geohash(spark, args.restaurants, args.target), args.target
+    if args.job == "complete":
+        return jobs.complete_restaurants(spark, args.restaurants, args.gazetteer, args.target), args.target
+    if args.job == "unpack":
+        return jobs.unpack_weather(spark, args.archives, args.target), args.target
+    if args.job == "recompress":
+        return jobs.recompress(spark, args.weather, args.target, args.codec), args.target
+    if args.job == "enrich":
+        rows = jobs.enrich_restaurants(
+            spark,
+            args.restaurants,
+            args.weather,
+            args.target,
+            grain=args.grain,
+            weather_format=args.weather_format,
+            broadcast=args.broadcast,
+        )
+        return rows, args.target
+    target = jobs.pipeline(spark, args.restaurants, args.gazetteer, args.archives, args.folder)
+    return target, target
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = session(
         f"cellweave {args.job}",
         shuffle_partitions=args.shuffle_partitions,
         split_bytes=args.split_bytes,
+        kryo=args.kryo,
     )
     try:
-        if args.job == "counts":
-            done = jobs.count_restaurants(spark, args.restaurants, args.target)
-        elif args.job == "geocode":
-            done = jobs.geocode(spark, args.restaurants, args.gazetteer, args.target, args.mode)
-        elif args.job == "geohash":
-            done = jobs.tag_geohash(spark, args.restaurants, args.target)
-        elif args.job == "complete":
-            done = jobs.complete_restaurants(spark, args.restaurants, args.gazetteer, args.target)
-        elif args.job == "unpack":
-            done = jobs.unpack_weather(spark, args.archives, args.target)
-        elif args.job == "recompress":
-            done = jobs.recompress(spark, args.weather, args.target, args.codec)
-        elif args.job == "enrich":
-            done = jobs.enrich_restaurants(
-                spark,
-                args.restaurants,
-                args.weather,
-                args.target,
-                grain=args.grain,
-                weather_format=args.weather_format,
-                broadcast=args.broadcast,
-            )
-        else:
-            done = jobs.pipeline(spark, args.restaurants, args.gazetteer, args.archives, args.folder)
+        done, target = run(spark, args)
         print(f"{args.job}: {done}")
+        read = sources.by_geohash if args.job in ("enrich", "pipeline") else sources.parquet
+        if args.show:
+            jobs.show(read(spark, target), args.show)
+        if getattr(args, "franchise", None):
+            filters.by_franchise(read(spark, target), args.franchise).show()
     finally:
         spark.stop()

@@ -78,26 +78,35 @@ def _letters(lng_first: bool) -> Column:
         mixed[0 if lng_first else 1 :: 2] = lng_bits
         mixed[1 if lng_first else 0 :: 2] = lat_bits
         letters.append(ALPHABET[int("".join(map(str, mixed)), 2)])
-    return F.lit(letters)
+    # One literal that the planner folds to an array, instead of 32.
+    return F.split(F.lit(" ".join(letters)), " ")
 
 
-def cell_text(cell: Column | str, precision: int = DEFAULT_PRECISION) -> Column:
-    """Geohash text of a ``cell_id`` made with the same precision."""
-    _check(precision)
-    cell = _as_column(cell)
-    lng_bits, lat_bits = _axis_bits(precision)
+def _text(lng: Column, lng_bits: int, lat: Column, lat_bits: int, precision: int) -> Column:
+    """Text from the lowest ``lng_bits`` and ``lat_bits`` bits of two numbers."""
     tables = (_letters(True), _letters(False))
     parts = []
     for place in range(precision):
         lng_used, lat_used = _axis_bits(place + 1)
         lng_count, lat_count = (3, 2) if place % 2 == 0 else (2, 3)
-        lng_part = F.shiftright(cell, lat_bits + lng_bits - lng_used).bitwiseAND(F.lit(2**lng_count - 1))
-        lat_part = F.shiftright(cell, lat_bits - lat_used).bitwiseAND(F.lit(2**lat_count - 1))
+        lng_part = F.shiftright(lng, lng_bits - lng_used).bitwiseAND(F.lit(2**lng_count - 1))
+        lat_part = F.shiftright(lat, lat_bits - lat_used).bitwiseAND(F.lit(2**lat_count - 1))
         index = F.shiftleft(lng_part, lat_count).bitwiseOR(lat_part).cast("int")
         parts.append(F.get(tables[place % 2], index))
     return F.concat(*parts)
 
 
+def cell_text(cell: Column | str, precision: int = DEFAULT_PRECISION) -> Column:
+    """Geohash text of a ``cell_id`` made with the same precision."""
+    _check(precision)
+    cell = _as_column(cell)
+    lng_bits, lat_bits = _axis_bits(precision)
+    return _text(F.shiftright(cell, lat_bits), lng_bits, cell, lat_bits, precision)
+
+
 def geohash(lat: Column | str, lng: Column | str, precision: int = DEFAULT_PRECISION) -> Column:
     """Geohash text of a point; null if either coordinate is null."""
-    return cell_text(cell_id(lat, lng, precision), precision)
+    _check(precision)
+    column = _step(_as_column(lng), LNG_LIMIT)
+    row = _step(_as_column(lat), LAT_LIMIT)
+    return _text(column, _STEP_BITS, row, _STEP_BITS, precision)

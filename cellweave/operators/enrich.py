@@ -42,13 +42,27 @@ def left_join_cells(restaurants: DataFrame, cells: DataFrame, broadcast: bool |
         # A geohash holds no "-", so these keys cannot meet a cell.
         spread = F.concat(F.lit("none-"), F.pmod(F.xxhash64(*restaurants.columns), F.lit(_SPREAD)))
         left = restaurants.withColumn(_KEY, F.coalesce(F.col(GEOHASH), spread))
-        right = cells.filter(F.col(GEOHASH).isNotNull()).withColumnRenamed(GEOHASH, _KEY)
+        right = cells.withColumnRenamed(GEOHASH, _KEY)
         if broadcast is False:
             right = right.hint("merge")
         joined = left.join(right, _KEY, "left")
     return joined.select(GEOHASH, *kept, *added)
 
 
+def _with_point(readings: DataFrame) -> DataFrame:
+    """Readings that can meet a restaurant: the source skips all others."""
+    return readings.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+
+
+def _never_null(cells: DataFrame) -> DataFrame:
+    """State that no geohash is null (``_with_point`` saw to that).
+
+    A join would otherwise ask for ``geohash is not null``, which the planner carries
+    down to the readings, so that the text would be built for every one of them.
+    """
+    return cells.withColumn(GEOHASH, F.coalesce(GEOHASH, F.lit("")))
+
+
 def by_cell(
     restaurants: DataFrame,
     readings: DataFrame,
@@ -62,7 +76,8 @@ def by_cell(
     """
     bounded = 32**precision <= BROADCAST_CELLS
     choice = False if not broadcast else (True if bounded else None)
-    return left_join_cells(restaurants, weather.by_cell(readings, precision), choice)
+    cells = _never_null(weather.by_cell(_with_point(readings), precision))
+    return left_join_cells(restaurants, cells, choice)
 
 
 def by_cell_date(
@@ -79,5 +94,5 @@ def by_cell_date(
     so the weather side is never broadcast by hint; with ``broadcast`` allowed,
     adaptive execution does so if the averaged weather measures small.
     """
-    cells = weather.by_cell_date(readings, precision, date, date_name)
+    cells = _never_null(weather.by_cell_date(_with_point(readings), precision, date, date_name))
     return left_join_cells(restaurants, cells, None if broadcast else False)

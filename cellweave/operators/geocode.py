@@ -29,13 +29,6 @@ def _key_values(keys: Sequence[str]) -> dict[str, Column]:
     return {name: F.col(name) for name in keys}
 
 
-def _all_of(conditions: Sequence[Column]) -> Column:
-    result = F.lit(True)
-    for condition in conditions:
-        result = result & condition
-    return result
-
-
 def unique_places(gazetteer: DataFrame, keys: Sequence[str] = PLACE_KEYS) -> DataFrame:
     """One row per key: the smallest point among those with both coordinates."""
     return (
@@ -61,7 +54,8 @@ def lookup(
     """
     values = _key_values(keys)
     wanted = lacks_coords() if asks is None else asks
-    wanted = F.coalesce(wanted & _all_of([v.isNotNull() for v in values.values()]), F.lit(False))
+    for value in values.values():
+        wanted = wanted & value.isNotNull()
     key = F.struct(*(value.alias(name) for name, value in values.items()))
 
     places = gazetteer.select(*keys, "lat", "lng")
@@ -74,7 +68,7 @@ def lookup(
 
     nothing = F.lit(None).cast("double")
     asked = rows.filter(wanted).withColumn(_KEY, key).join(answers, _KEY, "left").drop(_KEY)
-    others = rows.filter(~wanted).withColumns({FOUND_LAT: nothing, FOUND_LNG: nothing})
+    others = rows.filter(~F.coalesce(wanted, F.lit(False))).withColumns({FOUND_LAT: nothing, FOUND_LNG: nothing})
     return others.unionByName(asked)
 
 

@@ -1,8 +1,8 @@
 """The batch jobs: read tables, apply operators, write tables.
 
-Every job writes its result once and takes counts and previews from what it wrote, so
-nothing is computed twice, and the next job starts from files rather than from lineage.
-Paths are arguments throughout.
+Every job writes its result once, answers with the number of rows written, and leaves
+previews to be taken from the files, so nothing is computed twice. The next job starts
+from those files rather than from lineage. Paths are arguments throughout.
 """
 
 from __future__ import annotations
@@ -60,16 +60,14 @@ def count_restaurants(spark: SparkSession, restaurants: str, target: str, schema
         rows = sources.csv_inferred(spark, restaurants)
     else:
         rows = sources.restaurants_csv(spark, restaurants, schema)
-    sinks.write_parquet(aggregates.restaurant_counts(rows), target)
-    return spark.read.parquet(target).count()
+    return sinks.write_parquet(aggregates.restaurant_counts(rows), target)
 
 
 def geocode(spark: SparkSession, restaurants: str, gazetteer: str, target: str, mode: str = "fill_gaps") -> int:
     """Coordinates from a gazetteer; ``mode`` is ``replace`` or ``fill_gaps``."""
     places = read_gazetteer(spark, gazetteer)
     rows = sources.restaurants_csv(spark, restaurants)
-    sinks.write_parquet(geocoding.MODES[mode](rows, places, gazetteer_keys(places)), target)
-    return spark.read.parquet(target).count()
+    return sinks.write_parquet(geocoding.MODES[mode](rows, places, gazetteer_keys(places)), target)
 
 
 def tag_geohash(
@@ -80,8 +78,7 @@ def tag_geohash(
     precision: int = DEFAULT_PRECISION,
 ) -> int:
     """Add the geohash to geocoded restaurants. ``schema=None`` keeps all stored columns."""
-    sinks.write_parquet(with_geohash(sources.parquet(spark, restaurants, schema), precision), target)
-    return spark.read.parquet(target).count()
+    return sinks.write_parquet(with_geohash(sources.parquet(spark, restaurants, schema), precision), target)
 
 
 def complete_restaurants(
@@ -89,15 +86,13 @@ def complete_restaurants(
 ) -> int:
     """Fill gaps and add the geohash in one pass over the CSV."""
     rows = sources.restaurants_csv(spark, restaurants)
-    sinks.write_parquet(complete(rows, read_gazetteer(spark, gazetteer), precision), target)
-    return spark.read.parquet(target).count()
+    return sinks.write_parquet(complete(rows, read_gazetteer(spark, gazetteer), precision), target)
 
 
 def unpack_weather(spark: SparkSession, archives: str, target: str) -> int:
     """Archives to ``year=/month=/day=`` folders; the folder text stays as it was."""
     # Members belong to one day each, so rows are written where they were read.
-    sinks.write_by_date(sources.weather_zip(spark, archives, key_type="string"), target, gather=False)
-    return spark.read.parquet(target).count()
+    return sinks.write_by_date(sources.weather_zip(spark, archives, key_type="string"), target, gather=False)
 
 
 def recompress(spark: SparkSession, weather: str, target: str, codec: str = "gzip") -> bool:
@@ -144,8 +139,7 @@ def enrich_restaurants(
         stored = "w_date" in readings.columns or not set(DATE_PARTS) <= set(readings.columns)
         date = "w_date" if stored else weather_ops.date_from_parts()
         result = enrich.by_cell_date(rows, readings, precision, date, broadcast=broadcast)
-    sinks.write_by_geohash(result, target)
-    return sources.by_geohash(spark, target).count()
+    return sinks.write_by_geohash(result, target)
 
 
 def pipeline(spark: SparkSession, restaurants: str, gazetteer: str, archives: str, folder: str) -> str:
@@ -159,6 +153,7 @@ def pipeline(spark: SparkSession, restaurants: str, gazetteer: str, archives: st
     return enriched
 
 
-def show(spark: SparkSession, path: str, n: int = 20, columns: Sequence[str] = PREVIEW_COLUMNS) -> None:
-    """Print a few rows of a written table."""
-    filters.preview(sources.parquet(spark, path), n, columns).show(n)
+def show(rows: DataFrame, n: int = 20) -> None:
+    """Print a few rows, of the best-known columns if the table has them."""
+    known = [name for name in PREVIEW_COLUMNS if name in rows.columns]
+    filters.preview(rows, n, known or None).show(n)

@@ -32,6 +32,8 @@ def session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Measured, not estimated: applies once the side has been computed.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
         "spark.sql.parquet.compression.codec": codec,
         "spark.sql.broadcastTimeout": str(broadcast_timeout),
         "spark.ui.enabled": "false",

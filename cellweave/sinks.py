@@ -1,14 +1,27 @@
-"""Writers. All replace what is at the target."""
+"""Writers. All replace what is at the target and return the number of rows written.
+
+Rows are counted by the writing tasks as they pass, so no second read is needed.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from cellweave.schemas import DATE_PARTS, GEOHASH
 
 
-def write_parquet(df: DataFrame, path: str, codec: str = "gzip") -> None:
-    df.write.mode("overwrite").option("compression", codec).parquet(path)
+def _counted(df: DataFrame, codec: str) -> tuple[DataFrameWriter, Observation]:
+    counted = Observation()
+    df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    return df.write.mode("overwrite").option("compression", codec), counted
+
+
+def write_parquet(df: DataFrame, path: str, codec: str = "gzip") -> int:
+    writer, counted = _counted(df, codec)
+    writer.parquet(path)
+    return counted.get["rows"]
 
 
 def write_by_geohash(
@@ -17,7 +30,7 @@ def write_by_geohash(
     codec: str = "gzip",
     max_records_per_file: int | None = None,
     only_these_cells: bool = False,
-) -> None:
+) -> int:
     """One folder per cell, few files in each.
 
     ``rebalance`` brings the rows of a cell together, so tasks do not each leave a file
@@ -26,20 +39,21 @@ def write_by_geohash(
 
     ``only_these_cells`` replaces just the folders that ``df`` has rows for.
     """
-    writer = df.hint("rebalance", GEOHASH).write.mode("overwrite").option("compression", codec)
+    writer, counted = _counted(df.hint("rebalance", GEOHASH), codec)
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if only_these_cells:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(GEOHASH).parquet(path)
+    return counted.get["rows"]
 
 
-def write_by_date(df: DataFrame, path: str, codec: str = "gzip", gather: bool = True) -> None:
+def write_by_date(df: DataFrame, path: str, codec: str = "gzip", gather: bool = True) -> int:
     """One folder per ``year=/month=/day=``.
 
     ``gather`` brings the rows of a day together first (large days are split again at
     run time). Rows that already come a day at a time, as from archives, need no shuffle.
     """
-    if gather:
-        df = df.hint("rebalance", *DATE_PARTS)
-    df.write.mode("overwrite").option("compression", codec).partitionBy(*DATE_PARTS).parquet(path)
+    writer, counted = _counted(df.hint("rebalance", *DATE_PARTS) if gather else df, codec)
+    writer.partitionBy(*DATE_PARTS).parquet(path)
+    return counted.get["rows"]

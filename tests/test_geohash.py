@@ -1,0 +1,124 @@
+import math
+from fractions import Fraction
+
+import pytest
+from conftest import plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from cellweave.functions import cell_id, cell_text, geohash
+
+ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+NAN, INF = float("nan"), float("inf")
+
+EDGES = [
+    (None, 1.0, None),
+    (1.0, None, None),
+    (None, None, None),
+    (0.0, 0.0, "7zzz"),
+    (-0.0, -0.0, "7zzz"),
+    (90.0, 180.0, "zzzz"),
+    (-90.0, -180.0, "0000"),
+    (95.0, 200.0, "zzzz"),
+    (-95.0, -200.0, "0000"),
+    (NAN, 10.0, "h0p0"),
+    (10.0, NAN, "81b0"),
+    (INF, -INF, "bpbp"),
+]
+
+
+def exact_cell(value, limit, bits):
+    """Cells (lo, hi] counted with exact fractions."""
+    if math.isnan(value) or value <= -limit:
+        return 0
+    if value >= limit:
+        return 2**bits - 1
+    width = Fraction(2 * limit, 2**bits)
+    return math.ceil((Fraction(value) + limit) / width) - 1
+
+
+def exact_hash(lat, lng, precision):
+    if lat is None or lng is None:
+        return None
+    x = exact_cell(lng, 180, (5 * precision + 1) // 2)
+    y = exact_cell(lat, 90, 5 * precision // 2)
+    xs, ys = f"{x:0{(5 * precision + 1) // 2}b}", f"{y:0{5 * precision // 2}b}"
+    mixed = [""] * (5 * precision)
+    mixed[0::2], mixed[1::2] = xs, ys
+    return "".join(ALPHABET[int("".join(mixed[i : i + 5]), 2)] for i in range(0, 5 * precision, 5))
+
+
+def hashes(spark, points, precision):
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, lat double, lng double")
+    direct = geohash("lat", "lng", precision).alias("direct")
+    by_id = cell_text(cell_id("lat", "lng", precision), precision).alias("by_id")
+    return [(r.direct, r.by_id) for r in rows.select("i", direct, by_id).orderBy("i").collect()]
+
+
+def test_edge_table(spark):
+    got = hashes(spark, [(lat, lng) for lat, lng, _ in EDGES], 4)
+    assert got == [(want, want) for _, _, want in EDGES]
+
+
+def border_points(limit):
+    """Cell borders at several precisions and the doubles next to them."""
+
+    def near(k, bits, side):
+        border = -limit + k % (2**bits + 1) * (2.0 * limit / 2**bits)
+        return border if side == 0 else math.nextafter(border, side * INF)
+
+    on_border = st.builds(near, st.integers(0, 2**30), st.integers(1, 30), st.sampled_from([-1, 0, 1]))
+    return st.one_of(st.none(), st.floats(), st.floats(-limit, limit), on_border)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(border_points(90), border_points(180)), min_size=40, max_size=200),
+    st.integers(1, 12),
+)
+def test_matches_exact_arithmetic(spark, points, precision):
+    want = [exact_hash(lat, lng, precision) for lat, lng in points]
+    assert hashes(spark, points, precision) == [(w, w) for w in want]
+
+
+def test_every_border_at_precision_four(spark):
+    """All borders of both axes, and one step of a double to either side."""
+    points = []
+    for k in range(1025):
+        lat, lng = -90 + k * 180 / 1024, -180 + k * 360 / 1024
+        for side in (-INF, INF):
+            points.append((math.nextafter(lat, side), math.nextafter(lng, -side)))
+        points.append((lat, lng))
+    want = [exact_hash(lat, lng, 4) for lat, lng in points]
+    assert hashes(spark, points, 4) == [(w, w) for w in want]
+
+
+def test_shorter_hash_is_a_prefix(spark):
+    rows = spark.range(2000).select((F.rand(1) * 180 - 90).alias("lat"), (F.rand(2) * 360 - 180).alias("lng"))
+    rows = rows.select(*(geohash("lat", "lng", p).alias(f"p{p}") for p in range(1, 13)))
+    for row in rows.collect():
+        assert all(row.p12.startswith(row[f"p{p}"]) and len(row[f"p{p}"]) == p for p in range(1, 13))
+
+
+def test_accepts_columns_and_other_number_types(spark):
+    row = spark.range(1).select(geohash(F.lit(48), F.lit("2.35")).alias("g")).first()
+    assert row.g == exact_hash(48.0, 2.35, 4)
+
+
+@pytest.mark.parametrize("precision", [0, 13, -1])
+def test_rejects_other_precisions(spark, precision):
+    for make in (geohash, cell_id):
+        with pytest.raises(ValueError):
+            make("lat", "lng", precision)
+    with pytest.raises(ValueError):
+        cell_text("cell", precision)
+
+
+def test_stays_inside_generated_code(spark, tmp_path):
+    spark.range(10).selectExpr("cast(id as double) lat", "cast(id as double) lng").write.parquet(f"{tmp_path}/p")
+    rows = spark.read.parquet(f"{tmp_path}/p").withColumn("g", geohash("lat", "lng"))
+    rows.collect()
+    plan = plan_of(rows)
+    assert "Python" not in plan
+    assert "*(1) Project" in plan

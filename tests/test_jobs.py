@@ -1,0 +1,227 @@
+import glob
+import json
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from cellweave import cli, sinks, sources
+from cellweave.plans import jobs
+from cellweave.schemas import CITY_KEYS, PLACE_KEYS, RESTAURANT, TEXT_KEYS
+from cellweave.testbed import archives
+
+PARIS, TOKYO = "u09t", "xn76"
+
+
+def files(path):
+    return glob.glob(f"{path}/**/*.parquet", recursive=True)
+
+
+def codecs(path):
+    footers = [pq.ParquetFile(f).metadata for f in files(path)]
+    return {m.row_group(0).column(0).compression for m in footers if m.num_row_groups}
+
+
+def test_write_parquet_counts_compresses_and_replaces(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert sinks.write_parquet(spark.range(10), path) == 10
+    assert codecs(path) == {"GZIP"}
+    assert sinks.write_parquet(spark.range(3), path, "snappy") == 3
+    assert codecs(path) == {"SNAPPY"}
+    assert spark.read.parquet(path).count() == 3
+    assert sinks.write_parquet(spark.range(3).filter("id < 0"), path) == 0
+
+
+def test_one_file_per_cell(spark, tmp_path):
+    rows = spark.range(5000).repartition(8).withColumn("geohash", F.concat(F.lit("c"), F.col("id") % 40))
+    assert sinks.write_by_geohash(rows, f"{tmp_path}/t") == 5000
+    assert len(files(f"{tmp_path}/t")) == 40
+    assert codecs(f"{tmp_path}/t") == {"GZIP"}
+    assert values(sources.by_geohash(spark, f"{tmp_path}/t"), "id", "geohash") == values(rows)
+
+
+def test_hot_cell_and_missing_cell_are_written_by_several_tasks(spark, tmp_path, settings):
+    settings(adaptive__advisoryPartitionSizeInBytes="64KB")
+    n = F.col("id")
+    cell = F.when(n % 3 == 0, "hot").when(n % 3 == 1, F.concat(F.lit("c"), n % 10))
+    rows = spark.range(0, 90000, 1, 8).select("id", F.sha2(n.cast("string"), 256).alias("text"), cell.alias("geohash"))
+    sinks.write_by_geohash(rows, f"{tmp_path}/t")
+    assert len(files(f"{tmp_path}/t/geohash=hot")) > 3
+    assert len(files(f"{tmp_path}/t/geohash=__HIVE_DEFAULT_PARTITION__")) > 3
+    back = sources.by_geohash(spark, f"{tmp_path}/t")
+    assert back.count() == 90000
+    assert back.filter(F.col("geohash").isNull()).count() == 30000
+    assert values(back.groupBy("geohash").count()) == values(rows.groupBy("geohash").count())
+
+
+def test_overwrite_all_or_some_cells(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    two = spark.createDataFrame([(1, "a"), (2, "b")], "id int, geohash string")
+    one = spark.createDataFrame([(3, "b")], "id int, geohash string")
+    sinks.write_by_geohash(two, path)
+    sinks.write_by_geohash(one, path, only_these_cells=True)
+    assert values(sources.by_geohash(spark, path)) == [(1, "a"), (3, "b")]
+    sinks.write_by_geohash(one, path)
+    assert values(sources.by_geohash(spark, path)) == [(3, "b")]
+
+
+def test_file_size_limit(spark, tmp_path):
+    sinks.write_by_geohash(spark.range(100).withColumn("geohash", F.lit("a")), f"{tmp_path}/t", max_records_per_file=10)
+    assert len(files(f"{tmp_path}/t")) == 10
+
+
+def test_gazetteer_keys(spark):
+    def keys(columns):
+        return jobs.gazetteer_keys(spark.createDataFrame([], columns))
+
+    assert keys("query string, city string") == TEXT_KEYS
+    assert keys("country string, city string, franchise_name string") == PLACE_KEYS
+    assert keys("country string, city string") == CITY_KEYS
+    with pytest.raises(ValueError):
+        keys("city string")
+
+
+@pytest.fixture
+def world(spark, tmp_path):
+    """A small CSV, gazetteer and weather archive."""
+    rows = [
+        (1, 1, "Savoria", 1, "FR", "Paris", None, None),
+        (2, 1, "Savoria", 2, "JP", "Tokyo", 35.68, 139.7),
+        (3, 2, "Other", 1, "XX", "Nowhere", None, None),
+        (4, 2, "Other", 2, None, "Paris", None, None),
+        (5, 2, "Other", 3, "FR", "Paris", 48.8, None),
+    ]
+    spark.createDataFrame(rows, RESTAURANT).write.csv(f"{tmp_path}/csv", header=True)
+    places = [("FR", "Paris", 48.85, 2.35), ("JP", "Tokyo", 35.68, 139.69)]
+    spark.createDataFrame(places, "country string, city string, lat double, lng double").write.parquet(
+        f"{tmp_path}/gazetteer"
+    )
+    readings = spark.createDataFrame(
+        [
+            (48.85, 2.35, 10.0, 50.0, 2016, 10, 1),
+            (48.86, 2.36, 20.0, 68.0, 2016, 10, 2),
+            (35.68, 139.69, 30.0, 86.0, 2016, 10, 2),
+            (None, 139.69, 40.0, 104.0, 2016, 10, 2),
+        ],
+        "lat double, lng double, avg_tmpr_c double, avg_tmpr_f double, year int, month int, day int",
+    )
+    archives.write_archives(readings, f"{tmp_path}/zips")
+    return str(tmp_path)
+
+
+def test_pipeline(spark, world):
+    path = jobs.pipeline(spark, f"{world}/csv", f"{world}/gazetteer", f"{world}/zips", f"{world}/out")
+    rows = sources.by_geohash(spark, path)
+    assert values(rows, "id", "geohash", "avg_temp_c", "avg_temp_f") == [
+        (1, PARIS, 15.0, 59.0),
+        (2, TOKYO, 30.0, 86.0),
+        (3, None, None, None),
+        (4, None, None, None),
+        (5, None, None, None),
+    ]
+    assert glob.glob(f"{world}/out/weather/year=2016/month=10/day=01/*.parquet")
+    assert sources.weather_parquet(spark, f"{world}/out/weather").schema["day"].dataType.simpleString() == "int"
+    assert codecs(f"{world}/out/enriched") == {"GZIP"}
+
+
+def test_enrich_per_date_from_folders_and_from_csv(spark, world):
+    jobs.unpack_weather(spark, f"{world}/zips", f"{world}/weather")
+    jobs.complete_restaurants(spark, f"{world}/csv", f"{world}/gazetteer", f"{world}/done")
+    want = [
+        (1, "2016-10-01", 10.0),
+        (1, "2016-10-02", 20.0),
+        (2, "2016-10-02", 30.0),
+        (3, None, None),
+        (4, None, None),
+        (5, None, None),
+    ]
+    jobs.enrich_restaurants(spark, f"{world}/done", f"{world}/weather", f"{world}/e1", grain="cell_date")
+    assert values(sources.by_geohash(spark, f"{world}/e1"), "id", "w_date", "avg_temp_c") == want
+
+    readings = sources.weather_parquet(spark, f"{world}/weather")
+    day = F.make_date("year", "month", "day").alias("w_date")
+    readings.select("lat", "lng", "avg_tmpr_c", "avg_tmpr_f", day).write.csv(f"{world}/weather_csv", header=True)
+    count = jobs.enrich_restaurants(
+        spark, f"{world}/done", f"{world}/weather_csv", f"{world}/e2", grain="cell_date", weather_format="csv"
+    )
+    assert count == 6
+    back = sources.by_geohash(spark, f"{world}/e2").withColumn("w_date", F.col("w_date").cast("string"))
+    assert values(back, "id", "w_date", "avg_temp_c") == want
+    with pytest.raises(ValueError):
+        jobs.enrich_restaurants(spark, f"{world}/done", f"{world}/weather", f"{world}/e3", grain="day")
+
+
+def test_geocode_then_tag(spark, world):
+    assert jobs.geocode(spark, f"{world}/csv", f"{world}/gazetteer", f"{world}/replaced", "replace") == 5
+    assert jobs.geocode(spark, f"{world}/csv", f"{world}/gazetteer", f"{world}/filled") == 5
+    replaced = sources.parquet(spark, f"{world}/replaced").filter("id = 5").first()
+    filled = sources.parquet(spark, f"{world}/filled").filter("id = 5").first()
+    assert (replaced.lat, replaced.lng) == (48.85, 2.35)
+    assert (filled.lat, filled.lng) == (48.8, None)
+    for schema in (RESTAURANT, None):
+        jobs.tag_geohash(spark, f"{world}/replaced", f"{world}/tagged", schema)
+        tagged = sources.parquet(spark, f"{world}/tagged")
+        assert tagged.columns == [*RESTAURANT.names, "geohash"]
+        assert values(tagged.filter("id = 1"), "geohash") == [(PARIS,)]
+
+
+def test_gazetteer_from_stored_replies(spark, world):
+    reply = json.dumps({"results": [{"geometry": {"lat": 48.85, "lng": 2.35}}]})
+    replies = [("Savoria, Paris, FR", reply), ("Other, Nowhere, XX", '{"results":[]}')]
+    spark.createDataFrame(replies, "query string, reply string").write.parquet(f"{world}/replies")
+    jobs.complete_restaurants(spark, f"{world}/csv", f"{world}/replies", f"{world}/done")
+    got = values(sources.parquet(spark, f"{world}/done"), "id", "geohash")
+    assert got == [(1, PARIS), (2, TOKYO), (3, None), (4, None), (5, None)]
+
+
+def test_counts(spark, world):
+    want = [("Other", "Nowhere", 1), ("Other", "Paris", 1), ("Savoria", "Paris", 1), ("Savoria", "Tokyo", 1)]
+    for schema in (None, RESTAURANT):
+        assert jobs.count_restaurants(spark, f"{world}/csv", f"{world}/counts", schema) == 4
+        assert values(sources.parquet(spark, f"{world}/counts")) == want
+
+
+def test_recompress(spark, world, capsys):
+    jobs.unpack_weather(spark, f"{world}/zips", f"{world}/weather")
+    assert jobs.recompress(spark, f"{world}/weather", f"{world}/plain", "snappy")
+    assert codecs(f"{world}/plain") == {"SNAPPY"}
+    assert not glob.glob(f"{world}/plain/year=*")
+    same = ("lat", "avg_tmpr_c", "year", "month", "day")
+    assert values(sources.parquet(spark, f"{world}/plain"), *same) == values(
+        sources.weather_parquet(spark, f"{world}/weather"), *same
+    )
+
+
+def test_recompress_reports_and_goes_on(spark, tmp_path, capsys):
+    broken = tmp_path / "w/year=2016/month=10/day=1"
+    broken.mkdir(parents=True)
+    (broken / "a.parquet").write_bytes(b"PAR1 not parquet PAR1")
+    assert jobs.recompress(spark, f"{tmp_path}/w", f"{tmp_path}/out") is False
+    assert jobs.recompress(spark, f"{tmp_path}/absent", f"{tmp_path}/out") is False
+    assert capsys.readouterr().out.count("could not convert") == 2
+
+
+@pytest.mark.parametrize("argv", [[], ["counts"], ["counts", "a"], ["counts", "a", "b", "c"], ["nothing"]])
+def test_wrong_arguments_print_usage(argv, capsys):
+    with pytest.raises(SystemExit) as stop:
+        cli.main(argv)
+    assert stop.value.code == -1
+    assert "usage" in capsys.readouterr().err
+
+
+def test_command_line_runs_every_job(spark, world, capsys):
+    def run(*argv):
+        return cli.run(spark, cli.parser().parse_args([a.replace("@", world) for a in argv]))
+
+    assert run("counts", "@/csv", "@/o1", "--fixed-schema")[0] == 4
+    assert run("geocode", "@/csv", "@/gazetteer", "@/o2", "--mode", "replace")[0] == 5
+    assert run("geohash", "@/o2", "@/o3")[0] == 5
+    assert run("complete", "@/csv", "@/gazetteer", "@/o4")[0] == 5
+    assert run("unpack", "@/zips", "@/o5")[0] == 4
+    assert run("recompress", "@/o5", "@/o6")[0] is True
+    assert run("enrich", "@/o4", "@/o5", "@/o7")[0] == 5
+    assert run("enrich", "@/o4", "@/o5", "@/o8", "--grain", "cell_date", "--no-broadcast")[0] == 6
+    assert run("pipeline", "@/csv", "@/gazetteer", "@/zips", "@/o9")[0] == f"{world}/o9/enriched"
+    jobs.show(sources.by_geohash(spark, f"{world}/o9/enriched"), 2)
+    assert "franchise_name" in capsys.readouterr().out
