@@ -150,6 +150,12 @@ BY_CELL = _with(
     **WEATHER,
     cells=_cells("geohash"),
 )
+BY_CELL_DATE = _with(
+    f"select t.*, c.w_date, {ROUNDED} from tagged t left join cells c on t.geohash = c.geohash",
+    **COMPLETED,
+    **WEATHER,
+    cells=_cells("geohash, w_date"),
+)
 BY_DATE_MEANS = _with(
     f"select geohash, w_date, {ROUNDED} from cells", **WEATHER, cells=_cells("geohash, w_date")
 )
@@ -229,12 +235,7 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "weather_date_from_parts": BY_DATE_MEANS,
     "enrich_by_cell": BY_CELL,
     "enrich_by_cell_merged": BY_CELL,
-    "enrich_by_cell_date": _with(
-        f"select t.*, c.w_date, {ROUNDED} from tagged t left join cells c on t.geohash = c.geohash",
-        **COMPLETED,
-        **WEATHER,
-        cells=_cells("geohash, w_date"),
-    ),
+    "enrich_by_cell_date": BY_CELL_DATE,
     "csv_fixed_schema": _with("select * from rest", rest=REST),
     "csv_inferred": _with("select * from rest", rest=REST),
     "weather_csv_by_cell_date": BY_DATE_MEANS,
@@ -245,5 +246,7 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "weather_by_date_read": DATED_ROWS,
     "recompress": DATED_ROWS,
     "zip_ingest": DATED_ROWS,
+    "tag_geohash_job": _with("select * from tagged", rest=REST, tagged=_tagged("rest")),
+    "enrich_job_by_cell_date": BY_CELL_DATE,
     "end_to_end": BY_CELL,
 }

@@ -225,6 +225,21 @@ def zip_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return sources.weather_zip(spark, path)
 
 
+def tag_geohash_job(spark: SparkSession, folder: str) -> DataFrame:
+    source, target = shared_folder(spark), shared_folder(spark)
+    sinks.write_parquet(tables.restaurants(spark, folder), source)
+    jobs.tag_geohash(spark, source, target)
+    return sources.parquet(spark, target)
+
+
+def enrich_job_by_cell_date(spark: SparkSession, folder: str) -> DataFrame:
+    restaurants, weather_csv, target = (shared_folder(spark) for _ in range(3))
+    sinks.write_parquet(_completed(spark, folder), restaurants)
+    tables.readings(spark, folder).write.csv(weather_csv, header=True)
+    jobs.enrich_restaurants(spark, restaurants, weather_csv, target, grain="cell_date", weather_format="csv")
+    return _rounded(sources.by_geohash(spark, target)).withColumn("w_date", F.col("w_date").cast("string"))
+
+
 def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark)
     tables.restaurants(spark, folder).write.csv(f"{base}/csv", header=True)
@@ -271,5 +286,7 @@ QUERIES: dict[str, Query] = {
     "weather_by_date_read": weather_by_date_read,
     "recompress": recompress,
     "zip_ingest": zip_ingest,
+    "tag_geohash_job": tag_geohash_job,
+    "enrich_job_by_cell_date": enrich_job_by_cell_date,
     "end_to_end": end_to_end,
 }
