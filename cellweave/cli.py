@@ -67,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("target")
     job.add_argument("--grain", choices=jobs.GRAINS, default="cell")
     job.add_argument("--weather-format", choices=("parquet", "csv"), default="parquet")
+    job.add_argument("--weather-schema", metavar="DDL", help="column names and types of weather in CSV")
     job.add_argument("--no-broadcast", dest="broadcast", action="store_false")
 
     job = add("pipeline", help="unpack, complete and enrich")
@@ -100,6 +101,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[object, str]:
             args.target,
             grain=args.grain,
             weather_format=args.weather_format,
+            weather_schema=args.weather_schema,
             broadcast=args.broadcast,
         )
         return rows, args.target

@@ -134,19 +134,21 @@ def enrich_restaurants(
     target: str,
     grain: str = "cell",
     weather_format: str = "parquet",
+    weather_schema: StructType | str | None = None,
     precision: int = DEFAULT_PRECISION,
     broadcast: bool = True,
 ) -> int:
     """Join restaurants that carry a geohash with the weather, in ``geohash=`` folders.
 
     ``grain="cell"`` keeps one row per restaurant. ``grain="cell_date"`` gives one row
-    per restaurant and date.
+    per restaurant and date. Weather in CSV costs an extra pass to infer its types
+    unless ``weather_schema`` states them.
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
     rows = sources.parquet(spark, restaurants)
     if weather_format == "csv":
-        readings = sources.weather_csv(spark, weather)
+        readings = sources.weather_csv(spark, weather, weather_schema)
     else:
         readings = sources.weather_parquet(spark, weather)
     readings = enrich.with_point(readings)

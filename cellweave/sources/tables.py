@@ -27,7 +27,7 @@ def csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
-def weather_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def weather_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Weather CSV. Give the schema (in file order) for large data to save a pass."""
     if schema is None:
         return csv_inferred(spark, path)

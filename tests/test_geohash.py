@@ -122,3 +122,13 @@ def test_stays_inside_generated_code(spark, tmp_path):
     plan = plan_of(rows)
     assert "Python" not in plan
     assert "*(1) Project" in plan
+
+
+def test_works_on_a_stream(spark, tmp_path):
+    points = spark.createDataFrame([p[:2] for p in EDGES], "lat double, lng double")
+    points.write.parquet(f"{tmp_path}/p")
+    stream = spark.readStream.schema(points.schema).parquet(f"{tmp_path}/p").select(geohash("lat", "lng").alias("g"))
+    query = stream.writeStream.format("memory").queryName("hashed").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    got = [row.g for row in spark.table("hashed").collect()]
+    assert sorted(got, key=repr) == sorted((want for _, _, want in EDGES), key=repr)

@@ -86,8 +86,8 @@ def test_gazetteer_keys(spark):
 def world(spark, tmp_path):
     """A small CSV, gazetteer and weather archive."""
     rows = [
-        (1, 1, "Savoria", 1, "FR", "Paris", None, None),
-        (2, 1, "Savoria", 2, "JP", "Tokyo", 35.68, 139.7),
+        (1, 1, "Trattoria", 1, "FR", "Paris", None, None),
+        (2, 1, "Trattoria", 2, "JP", "Tokyo", 35.68, 139.7),
         (3, 2, "Other", 1, "XX", "Nowhere", None, None),
         (4, 2, "Other", 2, None, "Paris", None, None),
         (5, 2, "Other", 3, "FR", "Paris", 48.8, None),
@@ -148,6 +148,12 @@ def test_enrich_per_date_from_folders_and_from_csv(spark, world):
     assert count == 6
     back = sources.by_geohash(spark, f"{world}/e2").withColumn("w_date", F.col("w_date").cast("string"))
     assert values(back, "id", "w_date", "avg_temp_c") == want
+
+    ddl = "lat double, lng double, avg_tmpr_c double, avg_tmpr_f double, w_date string"
+    argv = ["enrich", f"{world}/done", f"{world}/weather_csv", f"{world}/e4", "--grain", "cell_date"]
+    argv += ["--weather-format", "csv", "--weather-schema", ddl]
+    assert cli.run(spark, cli.parser().parse_args(argv))[0] == 6
+    assert values(sources.by_geohash(spark, f"{world}/e4"), "id", "w_date", "avg_temp_c") == want
     with pytest.raises(ValueError):
         jobs.enrich_restaurants(spark, f"{world}/done", f"{world}/weather", f"{world}/e3", grain="day")
 
@@ -168,7 +174,7 @@ def test_geocode_then_tag(spark, world):
 
 def test_gazetteer_from_stored_replies(spark, world):
     reply = json.dumps({"results": [{"geometry": {"lat": 48.85, "lng": 2.35}}]})
-    replies = [("Savoria, Paris, FR", reply), ("Other, Nowhere, XX", '{"results":[]}')]
+    replies = [("Trattoria, Paris, FR", reply), ("Other, Nowhere, XX", '{"results":[]}')]
     spark.createDataFrame(replies, "query string, reply string").write.parquet(f"{world}/replies")
     jobs.complete_restaurants(spark, f"{world}/csv", f"{world}/replies", f"{world}/done")
     got = values(sources.parquet(spark, f"{world}/done"), "id", "geohash")
@@ -176,7 +182,7 @@ def test_gazetteer_from_stored_replies(spark, world):
 
 
 def test_counts(spark, world):
-    want = [("Other", "Nowhere", 1), ("Other", "Paris", 1), ("Savoria", "Paris", 1), ("Savoria", "Tokyo", 1)]
+    want = [("Other", "Nowhere", 1), ("Other", "Paris", 1), ("Trattoria", "Paris", 1), ("Trattoria", "Tokyo", 1)]
     for schema in (None, RESTAURANT):
         assert jobs.count_restaurants(spark, f"{world}/csv", f"{world}/counts", schema) == 4
         assert values(sources.parquet(spark, f"{world}/counts")) == want
