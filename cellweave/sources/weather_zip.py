@@ -2,8 +2,9 @@
 
 The work is spread by *member*, not by archive. Tasks first read only the tables of
 contents; the listing is written to the shared folder, and its members are then dealt
-out evenly. A task seeks to its member inside the archive, so one huge archive is read
-by many tasks and no archive is ever held in memory; a single member is.
+out in even runs. A task opens the few archives of its run and seeks to its members, so
+one huge archive is read by many tasks and no archive is ever held in memory; a single
+member is.
 
 Archives are opened with Arrow's file systems, so they may lie on a folder mounted on
 every machine or in any store Arrow reaches (``s3``, ``gs``, ``abfss``, ``hdfs``).
@@ -34,13 +35,17 @@ Batches = Iterator[pa.RecordBatch]
 # run it without this package installed.
 def _list_members() -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
+        import re
         import zipfile
+        from urllib.parse import quote
 
         import pyarrow as pa
         from pyarrow import fs
 
         for batch in batches:
-            for archive in batch.column("path").to_pylist():
+            for listed in batch.column("path").to_pylist():
+                # Spark lists plain text, Arrow wants a URI and its own name for S3.
+                archive = quote(re.sub(r"^s3[an]:", "s3:", listed), safe="/:@")
                 store, path = fs.FileSystem.from_uri(archive)
                 with store.open_input_file(path) as raw, zipfile.ZipFile(raw) as opened:
                     members = [m for m in enumerate(opened.infolist()) if m[1].filename.endswith(".parquet")]
@@ -62,17 +67,23 @@ def _read_members(wanted: pa.Schema | None) -> Callable[[Batches], Batches]:
     parts = DATE_PARTS
 
     def run(batches: Batches) -> Batches:
+        import contextlib
         import zipfile
 
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                store, path = fs.FileSystem.from_uri(row["archive"])
-                with store.open_input_file(path) as raw, zipfile.ZipFile(raw) as opened:
-                    content = opened.read(opened.infolist()[row["position"]])
+        opened = {}  # the archive at hand; rows come sorted by archive
+        with contextlib.ExitStack() as at_end:
+            for row in (row for batch in batches for row in batch.to_pylist()):
+                if row["archive"] not in opened:
+                    at_end.close()
+                    store, path = fs.FileSystem.from_uri(row["archive"])
+                    raw = at_end.enter_context(store.open_input_file(path))
+                    opened = {row["archive"]: at_end.enter_context(zipfile.ZipFile(raw))}
+                archive = opened[row["archive"]]
+                content = archive.read(archive.infolist()[row["position"]])
                 member = pq.ParquetFile(pa.BufferReader(content), coerce_int96_timestamp_unit="us")
                 if wanted is None:
                     footer = member.schema_arrow.remove_metadata().serialize().to_pybytes()
@@ -149,7 +160,8 @@ def weather_zip(
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil((size or 0) / task_bytes))
     readings = (
         listing.select("archive", "position", *DATE_PARTS)
-        .repartition(max(1, min(count, tasks)))
+        .repartitionByRange(max(1, min(count, tasks)), "archive", "position")
+        .sortWithinPartitions("archive", "position")
         .mapInArrow(_read_members(to_arrow_schema(wanted)), result)
     )
     if key_type == "string":

@@ -112,7 +112,7 @@ def zips(tmp_path):
         },
     )
     make_zip(
-        tmp_path / "in/deeper/still/two.zip",
+        tmp_path / "in/deeper still/é#%20/two.zip",
         {
             "top/weather/old/weather/year=2017/month=09/day=30/a.parquet": reading(4.0),
             "weather/year=2016/month=10/day=01/a.parquet": reading(5.0),
