@@ -54,7 +54,7 @@ def with_point(readings: DataFrame) -> DataFrame:
     return readings.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
 
 
-def _never_null(cells: DataFrame) -> DataFrame:
+def never_null(cells: DataFrame) -> DataFrame:
     """State that no geohash is null (``with_point`` saw to that).
 
     A join would otherwise ask for ``geohash is not null``, which the planner carries
@@ -76,7 +76,7 @@ def by_cell(
     """
     bounded = 32**precision <= BROADCAST_CELLS
     choice = False if not broadcast else (True if bounded else None)
-    cells = _never_null(weather.by_cell(with_point(readings), precision))
+    cells = never_null(weather.by_cell(with_point(readings), precision))
     return left_join_cells(restaurants, cells, choice)
 
 
@@ -94,5 +94,5 @@ def by_cell_date(
     so the weather side is never broadcast by hint; with ``broadcast`` allowed,
     adaptive execution does so if the averaged weather measures small.
     """
-    cells = _never_null(weather.by_cell_date(with_point(readings), precision, date, date_name))
+    cells = never_null(weather.by_cell_date(with_point(readings), precision, date, date_name))
     return left_join_cells(restaurants, cells, None if broadcast else False)

@@ -1,10 +1,13 @@
 """Fill in missing coordinates from a gazetteer table.
 
-A lookup is a left join. A gazetteer that measures small is broadcast, and the rows
-are read once and never shuffled. A larger one is exchanged together with only those
-rows that ask; all other rows pass by. In that case the join key is a struct built
-after the gazetteer was made unique: the planner then exchanges both sides anew, and
-adaptive execution can split the rows that ask for one very common place.
+A lookup is a left join, done in the first of these ways that the sizes allow:
+
+* a gazetteer that measures small is broadcast: rows are read once and never shuffled;
+* a larger one is cut down to the places asked for, each once. If that measures small it
+  is broadcast instead, and still no row is shuffled;
+* otherwise it is exchanged together with only those rows that ask. The join key is then
+  a struct built after the gazetteer was made unique: the planner exchanges both sides
+  anew, and adaptive execution can split the rows that ask for one very common place.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from cellweave.functions.geocoding import query_text, reply_point
 from cellweave.operators.filters import lacks_coords
 from cellweave.operators.sizing import BROADCAST_BYTES, fits_broadcast
 from cellweave.schemas import PLACE_KEYS, TEXT_KEYS
+from cellweave.sinks import written
 
 FOUND_LAT, FOUND_LNG = "found_lat", "found_lng"
 _KEY = "_place"
@@ -59,10 +63,16 @@ def lookup(
     key = F.struct(*(value.alias(name) for name, value in values.items()))
 
     places = gazetteer.select(*keys, "lat", "lng")
-    answers = unique_places(places, keys).select(
+    answers = unique_places(places, keys)
+    small = broadcast and fits_broadcast(places.select(*keys), broadcast_bytes)
+    if broadcast and not small:
+        asked = rows.filter(wanted).select(*(value.alias(name) for name, value in values.items())).distinct()
+        answers = written(answers.join(asked, list(keys), "left_semi"))
+        small = fits_broadcast(answers, broadcast_bytes)
+    answers = answers.select(
         F.struct(*keys).alias(_KEY), F.col("lat").alias(FOUND_LAT), F.col("lng").alias(FOUND_LNG)
     )
-    if broadcast and fits_broadcast(places.select(*keys), broadcast_bytes):
+    if small:
         keyed = rows.withColumn(_KEY, F.when(wanted, key))
         return keyed.join(F.broadcast(answers), _KEY, "left").drop(_KEY)
 

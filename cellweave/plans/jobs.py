@@ -19,9 +19,8 @@ from cellweave.functions.geohash import DEFAULT_PRECISION, geohash
 from cellweave.operators import aggregates, enrich, filters
 from cellweave.operators import geocode as geocoding
 from cellweave.operators import weather as weather_ops
-from cellweave.operators.sizing import BROADCAST_BYTES
+from cellweave.operators.sizing import fits_broadcast
 from cellweave.schemas import CITY_KEYS, DATE_PARTS, GEOHASH, PLACE_KEYS, RESTAURANT, TEXT_KEYS
-from cellweave.session import shared_folder
 
 PREVIEW_COLUMNS = ("franchise_name", "city", "lat", "lng", GEOHASH)
 
@@ -111,20 +110,6 @@ def recompress(spark: SparkSession, weather: str, target: str, codec: str = "gzi
 
 
 GRAINS = ("cell", "cell_date")
-# Geohash, date and two means, with the overhead of a row in a broadcast table.
-_AVERAGE_BYTES = 128
-
-
-def written_averages(spark: SparkSession, averages: DataFrame) -> tuple[DataFrame, bool]:
-    """Averaged weather as a table in the shared folder, and whether it may be broadcast.
-
-    The averages take a pass over all readings. Written down, they are not computed
-    again when an executor is lost during the join, and their number is known before
-    the join is planned: a small table is broadcast without shuffling restaurants.
-    """
-    path = shared_folder(spark)
-    rows = sinks.write_parquet(averages, path, codec="snappy")
-    return sources.parquet(spark, path, averages.schema), rows * _AVERAGE_BYTES <= BROADCAST_BYTES
 
 
 def enrich_restaurants(
@@ -158,8 +143,13 @@ def enrich_restaurants(
         stored = "w_date" in readings.columns or not set(DATE_PARTS) <= set(readings.columns)
         date = "w_date" if stored else weather_ops.date_from_parts()
         averages = weather_ops.by_cell_date(readings, precision, date)
-    averages, small = written_averages(spark, averages)
-    choice = False if not broadcast else (True if small else None)
+        # There may be many dates, so keep only cells that have a restaurant.
+        occupied = rows.select(GEOHASH).distinct()
+        averages = enrich.never_null(averages).join(occupied, GEOHASH, "left_semi")
+    # Written down, the averages are not computed again if an executor is lost, and
+    # their size is known before the join is planned.
+    averages = sinks.written(averages)
+    choice = False if not broadcast else (True if fits_broadcast(averages) else None)
     return sinks.write_by_geohash(enrich.left_join_cells(rows, averages, choice), target)
 
 

@@ -34,6 +34,9 @@ def session(
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         # Measured, not estimated: applies once the side has been computed.
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+        # Writing into many folders takes time per file, whatever its size: small
+        # partitions are better left to run side by side than merged into one task.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         "spark.sql.parquet.compression.codec": codec,
         "spark.sql.broadcastTimeout": str(broadcast_timeout),
         "spark.ui.enabled": "false",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from cellweave.schemas import DATE_PARTS, GEOHASH
+from cellweave.session import shared_folder
 
 
 def _counted(df: DataFrame, codec: str) -> tuple[DataFrameWriter, Observation]:
@@ -24,6 +25,17 @@ def write_parquet(df: DataFrame, path: str, codec: str = "gzip") -> int:
     return counted.get["rows"]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as a table in the shared folder.
+
+    What was computed once is then neither repeated for a second use nor lost with an
+    executor.
+    """
+    path = shared_folder(df.sparkSession)
+    write_parquet(df, path, codec="snappy")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_by_geohash(
     df: DataFrame,
     path: str,

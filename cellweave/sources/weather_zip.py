@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cellweave.schemas import DATE_PARTS, WEATHER
-from cellweave.session import shared_folder
+from cellweave.sinks import written
 
 TASK_BYTES = 128 * 1024 * 1024
 _LISTING = "archive string, position int, name string, bytes long"
@@ -147,10 +147,7 @@ def weather_zip(
     file source, the listing is made when this is called, the reading later.
     ``key_type="string"`` keeps the folder text (``01`` rather than 1).
     """
-    listed = shared_folder(spark)
-    members(spark, root).write.parquet(listed)
-    listing = spark.read.parquet(listed)
-
+    listing = written(members(spark, root))
     count, size = listing.agg(F.count(F.lit(1)), F.sum("bytes")).first()
     if schema is None:
         schema = _stored_schema(listing) if count else WEATHER

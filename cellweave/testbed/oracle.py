@@ -222,6 +222,7 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "geocode_replace_shuffled": _with("select * from replaced", rest=REST, gaz=GAZ, replaced=REPLACED),
     "geocode_fill_gaps": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),
     "geocode_fill_gaps_shuffled": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),
+    "geocode_asked_places": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),
     "geohash_restaurants": _with("select * from tagged", rest=REST, tagged=_tagged("rest")),
     "geohash_weather": _with("select * from tagged_wea", **WEATHER),
     "geohash_edges": _with("select id, geohash from tagged", edges=EDGES, tagged=_tagged("edges")),

@@ -125,6 +125,12 @@ def geocode_fill_gaps_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     return geocode.fill_gaps(rows, places, CITY_KEYS, broadcast=False)
 
 
+def geocode_asked_places(spark: SparkSession, folder: str) -> DataFrame:
+    rows, places = tables.restaurants(spark, folder), tables.gazetteer(spark, folder)
+    # No gazetteer is below this limit, so it is cut down to the places asked for.
+    return geocode.fill_gaps(rows, places, CITY_KEYS, broadcast_bytes=0)
+
+
 def geohash_restaurants(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.with_geohash(tables.restaurants(spark, folder))
 
@@ -197,8 +203,9 @@ def parquet_with_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
-    sinks.write_by_geohash(_completed(spark, folder), path)
-    return sources.by_geohash(spark, path)
+    completed = _completed(spark, folder)
+    sinks.write_by_geohash(completed, path)
+    return sources.by_geohash(spark, path, completed.schema)
 
 
 def weather_by_date_read(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "geocode_replace_shuffled": geocode_replace_shuffled,
     "geocode_fill_gaps": geocode_fill_gaps,
     "geocode_fill_gaps_shuffled": geocode_fill_gaps_shuffled,
+    "geocode_asked_places": geocode_asked_places,
     "geohash_restaurants": geohash_restaurants,
     "geohash_weather": geohash_weather,
     "geohash_edges": geohash_edges,

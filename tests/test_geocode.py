@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import packed_lat, packed_lng, query_text
 from cellweave.operators import filters, geocode
-from cellweave.schemas import CITY_KEYS, PLACE_KEYS, RESTAURANT, TEXT_KEYS
+from cellweave.schemas import CITY_KEYS, GAZETTEER, PLACE_KEYS, RESTAURANT, TEXT_KEYS
 
 PLACES = "country string, city string, lat double, lng double"
 
@@ -48,14 +48,22 @@ def test_both_modes(rows, places, mode, column, broadcast):
     assert got.count() == len(CASES)
 
 
-def test_large_gazetteer_is_not_broadcast(rows, places, settings):
+def test_broadcast_depends_on_the_size(spark, rows, places, settings):
     settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
-    small = geocode.fill_gaps(rows, places, CITY_KEYS)
-    assert "BroadcastHashJoin" in plan_of(small)
-    large = geocode.fill_gaps(rows, places, CITY_KEYS, broadcast_bytes=10)
-    assert "SortMergeJoin" in plan_of(large)
-    assert "BroadcastHashJoin" not in plan_of(large)
-    assert values(small) == values(large)
+    others = spark.range(500).selectExpr("'Y' country", "concat('d', id) city", "1.0D lat", "1.0D lng")
+    everywhere = places.unionByName(others)
+    want = values(geocode.fill_gaps(rows, places, CITY_KEYS))
+
+    small = geocode.fill_gaps(rows, everywhere, CITY_KEYS)
+    # The whole gazetteer is too large, the places asked for are not.
+    cut = geocode.fill_gaps(rows, everywhere, CITY_KEYS, broadcast_bytes=1000)
+    large = geocode.fill_gaps(rows, everywhere, CITY_KEYS, broadcast_bytes=10)
+    for got, join in ((small, "BroadcastHashJoin"), (cut, "BroadcastHashJoin"), (large, "SortMergeJoin")):
+        assert [name for name in ("BroadcastHashJoin", "SortMergeJoin") if name in plan_of(got)] == [join]
+        assert values(got) == want
+    assert "Exchange hashpartitioning" not in plan_of(cut)
+    files = [f for f in cut.inputFiles() if "cellweave-" in f]
+    assert spark.read.parquet(*files).count() == 1
 
 
 def test_only_asking_rows_are_exchanged(spark, places, tmp_path, settings):
@@ -85,10 +93,7 @@ def test_keys_with_the_franchise(spark):
             restaurants(spark, [(2, "X", "c1", None, None)], None)
         )
     )
-    places = spark.createDataFrame(
-        [("F", "c1", "X", 1.0, 2.0), (None, "c1", "X", 3.0, 4.0)],
-        "franchise_name string, city string, country string, lat double, lng double",
-    )
+    places = spark.createDataFrame([("F", "c1", "X", 1.0, 2.0), (None, "c1", "X", 3.0, 4.0)], GAZETTEER)
     got = geocode.replace_incomplete(rows, places, PLACE_KEYS)
     assert values(got, "id", "lat", "lng") == [(0, 1.0, 2.0), (1, None, None), (2, None, None)]
 

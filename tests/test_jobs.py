@@ -158,6 +158,25 @@ def test_enrich_per_date_from_folders_and_from_csv(spark, world):
         jobs.enrich_restaurants(spark, f"{world}/done", f"{world}/weather", f"{world}/e3", grain="day")
 
 
+def test_enrich_is_the_same_with_averages_too_large_to_broadcast(spark, world, monkeypatch):
+    jobs.unpack_weather(spark, f"{world}/zips", f"{world}/weather")
+    jobs.complete_restaurants(spark, f"{world}/csv", f"{world}/gazetteer", f"{world}/done")
+    for grain in jobs.GRAINS:
+        jobs.enrich_restaurants(spark, f"{world}/done", f"{world}/weather", f"{world}/small", grain)
+        with monkeypatch.context() as patched:
+            patched.setattr(jobs, "fits_broadcast", lambda table: False)
+            jobs.enrich_restaurants(spark, f"{world}/done", f"{world}/weather", f"{world}/large", grain)
+        large, small = (sources.by_geohash(spark, f"{world}/{name}") for name in ("large", "small"))
+        assert values(large) == values(small)
+
+
+def test_written_table(spark):
+    rows = spark.range(5).selectExpr("id", "cast(id as string) t")
+    back = sinks.written(rows)
+    assert values(back) == values(rows)
+    assert back.inputFiles()[0].startswith("file://" + spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_geocode_then_tag(spark, world):
     assert jobs.geocode(spark, f"{world}/csv", f"{world}/gazetteer", f"{world}/replaced", "replace") == 5
     assert jobs.geocode(spark, f"{world}/csv", f"{world}/gazetteer", f"{world}/filled") == 5
