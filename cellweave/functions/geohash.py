@@ -104,6 +104,30 @@ def cell_text(cell: Column | str, precision: int = DEFAULT_PRECISION) -> Column:
     return _text(F.shiftright(cell, lat_bits), lng_bits, cell, lat_bits, precision)
 
 
+def _bits_of_letters(positions: tuple[int, ...]) -> Column:
+    """For each letter of the alphabet, the bits at these positions as one number."""
+    return F.lit([int("".join(str(index >> p & 1) for p in positions), 2) for index in range(32)])
+
+
+def cell_of_text(text: Column | str, precision: int = DEFAULT_PRECISION) -> Column:
+    """The ``cell_id`` of a geohash text; null for text that is no geohash.
+
+    Text longer than the precision stands for the larger cell it lies in.
+    """
+    _check(precision)
+    # A blank is not in the alphabet, so text that is too short gives null.
+    padded = F.rpad(_as_column(text), precision, " ")
+    # The axis that goes first in a letter has three of its five bits.
+    three, two = _bits_of_letters((4, 2, 0)), _bits_of_letters((3, 1))
+    column = row = F.lit(0).cast("bigint")
+    for place in range(precision):
+        letter = F.instr(F.lit(ALPHABET), F.substring(padded, place + 1, 1)) - 1
+        lng_bits, lng_count, lat_bits, lat_count = (three, 3, two, 2) if place % 2 == 0 else (two, 2, three, 3)
+        column = F.shiftleft(column, lng_count).bitwiseOR(F.get(lng_bits, letter).cast("bigint"))
+        row = F.shiftleft(row, lat_count).bitwiseOR(F.get(lat_bits, letter).cast("bigint"))
+    return F.shiftleft(column, _axis_bits(precision)[1]).bitwiseOR(row)
+
+
 def geohash(lat: Column | str, lng: Column | str, precision: int = DEFAULT_PRECISION) -> Column:
     """Geohash text of a point; null if either coordinate is null."""
     _check(precision)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.functions.geohash import DEFAULT_PRECISION
+from cellweave.functions.geohash import DEFAULT_PRECISION, cell_id, cell_of_text
 from cellweave.operators import weather
 from cellweave.schemas import GEOHASH
 
@@ -54,6 +54,30 @@ def with_point(readings: DataFrame) -> DataFrame:
     return readings.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
 
 
+def near_restaurants(
+    readings: DataFrame, restaurants: DataFrame, precision: int = DEFAULT_PRECISION
+) -> DataFrame:
+    """Readings in a cell that has a restaurant; no others can reach the result.
+
+    Most of a weather grid lies where no restaurant is. Those readings are dropped as
+    they are scanned, so that neither the averages nor their shuffle grow with the grid.
+    The occupied cells are broadcast as numbers, and only where the precision bounds
+    them; for a longer geohash all readings are kept. Costs a pass over one column of
+    ``restaurants``, so it is meant for a stored table.
+    """
+    if 32**precision > BROADCAST_CELLS:
+        return readings
+    # Numbers that no cell has stand for null, for the reason given in never_null.
+    number = F.coalesce(cell_of_text(GEOHASH, precision), F.lit(-1))
+    reading = F.coalesce(cell_id("lat", "lng", precision), F.lit(-2))
+    occupied = restaurants.select(GEOHASH).distinct().select(number.alias(_KEY))
+    return (
+        readings.withColumn(_KEY, reading)
+        .join(F.broadcast(occupied), _KEY, "left_semi")
+        .drop(_KEY)
+    )
+
+
 def never_null(cells: DataFrame) -> DataFrame:
     """State that no geohash is null (``with_point`` saw to that).
 

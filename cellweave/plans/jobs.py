@@ -136,16 +136,13 @@ def enrich_restaurants(
         readings = sources.weather_csv(spark, weather, weather_schema)
     else:
         readings = sources.weather_parquet(spark, weather)
-    readings = enrich.with_point(readings)
+    readings = enrich.near_restaurants(enrich.with_point(readings), rows, precision)
     if grain == "cell":
         averages = weather_ops.by_cell(readings, precision)
     else:
         stored = "w_date" in readings.columns or not set(DATE_PARTS) <= set(readings.columns)
         date = "w_date" if stored else weather_ops.date_from_parts()
         averages = weather_ops.by_cell_date(readings, precision, date)
-        # There may be many dates, so keep only cells that have a restaurant.
-        occupied = rows.select(GEOHASH).distinct()
-        averages = enrich.never_null(averages).join(occupied, GEOHASH, "left_semi")
     # Written down, the averages are not computed again if an executor is lost, and
     # their size is known before the join is planned.
     averages = sinks.written(averages)

@@ -160,6 +160,21 @@ def test_bounded_weather_is_broadcast_and_restaurants_stay(spark, settings):
     assert "BroadcastHashJoin" not in plan_of(enrich.by_cell(restaurants, readings, precision=5))
 
 
+def test_readings_away_from_restaurants_are_dropped_in_the_scan(spark, restaurants, readings, tmp_path):
+    readings.write.parquet(f"{tmp_path}/w")
+    stored = spark.read.parquet(f"{tmp_path}/w")
+    near = enrich.near_restaurants(stored, restaurants.filter("id = 1"))
+    assert near.columns == readings.columns
+    assert values(near, "avg_tmpr_c") == [(10.0,), (20.0,), (30.0,)]
+    for make in (enrich.by_cell, enrich.by_cell_date):
+        near = enrich.near_restaurants(stored, restaurants)
+        assert values(make(restaurants, near)) == values(make(restaurants, stored))
+    plan = plan_of(weather.by_cell(near))
+    assert plan.count("Exchange hashpartitioning") == 2  # of the averages and of the occupied cells
+    assert plan.index("BroadcastHashJoin") > plan.index("partial_avg")
+    assert enrich.near_restaurants(stored, restaurants, precision=5) is stored
+
+
 def test_text_is_made_per_cell_not_per_reading(spark, tmp_path):
     _, readings = big(spark)
     readings.write.parquet(f"{tmp_path}/w")

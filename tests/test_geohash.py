@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cellweave.functions import cell_id, cell_text, geohash
+from cellweave.functions import cell_id, cell_of_text, cell_text, geohash
 
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 NAN, INF = float("nan"), float("inf")
@@ -53,7 +53,10 @@ def hashes(spark, points, precision):
     rows = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, lat double, lng double")
     direct = geohash("lat", "lng", precision).alias("direct")
     by_id = cell_text(cell_id("lat", "lng", precision), precision).alias("by_id")
-    return [(r.direct, r.by_id) for r in rows.select("i", direct, by_id).orderBy("i").collect()]
+    same_id = cell_of_text(direct, precision).eqNullSafe(cell_id("lat", "lng", precision)).alias("same_id")
+    got = rows.select("i", direct, by_id, same_id).orderBy("i").collect()
+    assert all(row.same_id for row in got)
+    return [(row.direct, row.by_id) for row in got]
 
 
 def test_edge_table(spark):
@@ -101,6 +104,12 @@ def test_shorter_hash_is_a_prefix(spark):
         assert all(row.p12.startswith(row[f"p{p}"]) and len(row[f"p{p}"]) == p for p in range(1, 13))
 
 
+def test_text_that_is_no_geohash_has_no_cell(spark):
+    texts = spark.createDataFrame([("u09t",), ("u09tvw",), ("u09",), ("",), ("u0at",), ("U09T",), (None,)], "t string")
+    got = [row[0] for row in texts.select(cell_text(cell_of_text("t"))).collect()]
+    assert got == ["u09t", "u09t", None, None, None, None, None]
+
+
 def test_accepts_columns_and_other_number_types(spark):
     row = spark.range(1).select(geohash(F.lit(48), F.lit("2.35")).alias("g")).first()
     assert row.g == exact_hash(48.0, 2.35, 4)
