@@ -70,7 +70,8 @@ def near_restaurants(
     # Numbers that no cell has stand for null, for the reason given in never_null.
     number = F.coalesce(cell_of_text(GEOHASH, precision), F.lit(-1))
     reading = F.coalesce(cell_id("lat", "lng", precision), F.lit(-2))
-    occupied = restaurants.select(GEOHASH).distinct().select(number.alias(_KEY))
+    # Distinct texts first, so that few are decoded; distinct numbers have the bound.
+    occupied = restaurants.select(GEOHASH).distinct().select(number.alias(_KEY)).distinct()
     return (
         readings.withColumn(_KEY, reading)
         .join(F.broadcast(occupied), _KEY, "left_semi")
