@@ -24,7 +24,7 @@ from cellweave.schemas import GEOHASH
 # 32**4 cells of about 100 bytes each.
 BROADCAST_CELLS = 32**4
 _KEY = "_cell_key"
-_SPREAD = 4096
+_SPREAD = 2**20
 
 
 def left_join_cells(restaurants: DataFrame, cells: DataFrame, broadcast: bool | None = None) -> DataFrame:
