@@ -162,6 +162,6 @@ def pipeline(spark: SparkSession, restaurants: str, gazetteer: str, archives: st
 
 
 def show(rows: DataFrame, n: int = 20) -> None:
-    """Print a few rows, of the best-known columns if the table has them."""
-    known = [name for name in PREVIEW_COLUMNS if name in rows.columns]
-    filters.preview(rows, n, known or None).show(n)
+    """Print a few rows; of restaurants with a geohash, the best-known columns."""
+    columns = PREVIEW_COLUMNS if set(PREVIEW_COLUMNS) <= set(rows.columns) else None
+    filters.preview(rows, n, columns).show(n)

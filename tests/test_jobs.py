@@ -249,4 +249,8 @@ def test_command_line_runs_every_job(spark, world, capsys):
     assert run("enrich", "@/o4", "@/o5", "@/o8", "--grain", "cell_date", "--no-broadcast")[0] == 6
     assert run("pipeline", "@/csv", "@/gazetteer", "@/zips", "@/o9")[0] == f"{world}/o9/enriched"
     jobs.show(sources.by_geohash(spark, f"{world}/o9/enriched"), 2)
-    assert "franchise_name" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "franchise_name" in printed
+    assert "franchise_id" not in printed
+    jobs.show(sources.parquet(spark, f"{world}/o1"))
+    assert "restaurant_count" in capsys.readouterr().out
