@@ -27,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     top = _Parser(prog="run.py")
     top.add_argument("--shuffle-partitions", type=int)
     top.add_argument("--split-bytes", type=int)
+    top.add_argument("--advisory-bytes", type=int)
     top.add_argument("--kryo", action="store_true")
     top.add_argument("--show", type=int, default=0, metavar="N", help="print N rows of the result")
     add = top.add_subparsers(dest="job", required=True).add_parser
@@ -115,6 +116,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         f"cellweave {args.job}",
         shuffle_partitions=args.shuffle_partitions,
         split_bytes=args.split_bytes,
+        advisory_bytes=args.advisory_bytes,
         kryo=args.kryo,
     )
     try:

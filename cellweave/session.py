@@ -18,6 +18,7 @@ def session(
     broadcast_timeout: int = 600,
     shuffle_partitions: int | None = None,
     split_bytes: int | None = None,
+    advisory_bytes: int | None = None,
     kryo: bool = False,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
@@ -26,7 +27,8 @@ def session(
     ``split_bytes`` sets how much input one scan task reads. Weather scans want it
     large (512 MB and up): more rows per task means more readings folded into each
     cell before the shuffle. ``shuffle_partitions`` is a starting point only, as
-    adaptive execution merges small partitions and splits large ones.
+    adaptive execution merges small partitions and splits large ones; ``advisory_bytes``
+    is the size it aims at, and so about the most that one task writes.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -45,6 +47,8 @@ def session(
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if split_bytes is not None:
         settings["spark.sql.files.maxPartitionBytes"] = str(split_bytes)
+    if advisory_bytes is not None:
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(advisory_bytes)
     if kryo:
         settings["spark.serializer"] = "org.apache.spark.serializer.KryoSerializer"
     settings.update(extra or {})

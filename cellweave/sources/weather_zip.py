@@ -3,8 +3,8 @@
 The work is spread by *member*, not by archive. Tasks first read only the tables of
 contents; the listing is written to the shared folder, and its members are then dealt
 out in even runs. A task opens the few archives of its run and seeks to its members, so
-one huge archive is read by many tasks and no archive is ever held in memory; a single
-member is.
+one huge archive is read by many tasks and no archive is ever held in memory. A member
+is, up to a limit; a larger one is read through the archive a row group at a time.
 
 Archives are opened with Arrow's file systems, so they may lie on a folder mounted on
 every machine or in any store Arrow reaches (``s3``, ``gs``, ``abfss``, ``hdfs``).
@@ -25,6 +25,7 @@ from cellweave.schemas import DATE_PARTS, WEATHER
 from cellweave.sinks import written
 
 TASK_BYTES = 128 * 1024 * 1024
+HELD_BYTES = 512 * 1024 * 1024
 _LISTING = "archive string, position int, name string, bytes long"
 _FOOTER = "footer binary"
 
@@ -62,8 +63,12 @@ def _list_members() -> Callable[[Batches], Batches]:
     return run
 
 
-def _read_members(wanted: pa.Schema | None) -> Callable[[Batches], Batches]:
-    """Rows of each member plus its folder keys; with no schema, only its Arrow schema."""
+def _read_members(wanted: pa.Schema | None, held_bytes: int) -> Callable[[Batches], Batches]:
+    """Rows of each member plus its folder keys; with no schema, only its Arrow schema.
+
+    A member of more than ``held_bytes`` is not unpacked into memory but read through the
+    archive, a row group at a time; seeking back then unpacks it again.
+    """
     parts = DATE_PARTS
 
     def run(batches: Batches) -> Batches:
@@ -83,8 +88,12 @@ def _read_members(wanted: pa.Schema | None) -> Callable[[Batches], Batches]:
                     raw = at_end.enter_context(store.open_input_file(path))
                     opened = {row["archive"]: at_end.enter_context(zipfile.ZipFile(raw))}
                 archive = opened[row["archive"]]
-                content = archive.read(archive.infolist()[row["position"]])
-                member = pq.ParquetFile(pa.BufferReader(content), coerce_int96_timestamp_unit="us")
+                info = archive.infolist()[row["position"]]
+                if info.file_size <= held_bytes:
+                    content = pa.BufferReader(archive.read(info))
+                else:
+                    content = at_end.enter_context(archive.open(info))
+                member = pq.ParquetFile(content, pre_buffer=False, coerce_int96_timestamp_unit="us")
                 if wanted is None:
                     footer = member.schema_arrow.remove_metadata().serialize().to_pybytes()
                     yield pa.RecordBatch.from_arrays([pa.array([footer], pa.binary())], names=["footer"])
@@ -140,6 +149,7 @@ def weather_zip(
     schema: StructType | None = None,
     key_type: str = "int",
     task_bytes: int = TASK_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """All readings in the archives plus ``year``, ``month`` and ``day``.
 
@@ -150,7 +160,7 @@ def weather_zip(
     listing = written(members(spark, root))
     count, size = listing.agg(F.count(F.lit(1)), F.sum("bytes")).first()
     if schema is None:
-        schema = _stored_schema(listing) if count else WEATHER
+        schema = _stored_schema(listing, held_bytes) if count else WEATHER
     wanted = StructType([f for f in schema.fields if f.name not in DATE_PARTS])
     result = StructType([*wanted.fields, *(StructField(part, StringType()) for part in DATE_PARTS)])
 
@@ -159,14 +169,14 @@ def weather_zip(
         listing.select("archive", "position", *DATE_PARTS)
         .repartitionByRange(max(1, min(count, tasks)), "archive", "position")
         .sortWithinPartitions("archive", "position")
-        .mapInArrow(_read_members(to_arrow_schema(wanted)), result)
+        .mapInArrow(_read_members(to_arrow_schema(wanted), held_bytes), result)
     )
     if key_type == "string":
         return readings
     return readings.withColumns({part: F.col(part).try_cast(IntegerType()) for part in DATE_PARTS})
 
 
-def _stored_schema(listing: DataFrame) -> StructType:
+def _stored_schema(listing: DataFrame, held_bytes: int) -> StructType:
     one = listing.orderBy("place", "file").limit(1).select("archive", "position", *DATE_PARTS)
-    footer = one.mapInArrow(_read_members(None), _FOOTER).first()["footer"]
+    footer = one.mapInArrow(_read_members(None, held_bytes), _FOOTER).first()["footer"]
     return from_arrow_schema(pa.ipc.read_schema(pa.py_buffer(bytes(footer))))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from cellweave.operators import enrich, geocode, sizing
 from cellweave.schemas import CITY_KEYS, RESTAURANT
-from cellweave.session import shared_folder
+from cellweave.session import session, shared_folder
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -98,3 +98,17 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_session_settings(spark):
+    """Options reach the session; the running one is reused."""
+    keys = ("files.maxPartitionBytes", "adaptive.advisoryPartitionSizeInBytes", "shuffle.partitions")
+    before = {f"spark.sql.{key}": spark.conf.get(f"spark.sql.{key}") for key in keys}
+    try:
+        same = session("again", shuffle_partitions=7, split_bytes=1000000, advisory_bytes=2000000)
+        assert [same.conf.get(key) for key in before] == ["1000000", "2000000", "7"]
+        assert same.conf.get("spark.sql.parquet.compression.codec") == "gzip"
+        assert same.conf.get("spark.sql.broadcastTimeout") in ("600", "600s")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -145,6 +145,19 @@ def test_zip_rows_and_keys(spark, zips):
     ]
 
 
+@pytest.mark.parametrize("packing", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_large_members_are_read_through_the_archive(spark, tmp_path, packing):
+    sink = pa.BufferOutputStream()
+    numbers = [float(i) for i in range(5000)]
+    pq.write_table(pa.table({"lat": numbers, "lng": numbers}), sink, row_group_size=700)
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", packing) as archive:
+        for day in (1, 2):
+            archive.writestr(f"weather/year=2016/month=10/day={day}/a.parquet", sink.getvalue().to_pybytes())
+    through = sources.weather_zip(spark, str(tmp_path), held_bytes=0)
+    assert values(through) == values(sources.weather_zip(spark, str(tmp_path)))
+    assert through.count() == 10000
+
+
 def test_zip_under_a_schema(spark, zips):
     rows = sources.weather_zip(spark, zips, WEATHER, key_type="string")
     assert values(rows, "avg_tmpr_f", "w_date", "day") == [
