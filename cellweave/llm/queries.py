@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, tokencount
+from cellweave.llm import bpe, sharding, tokencount, warc
+from cellweave.session import shared_folder
 
 COLUMNS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -50,8 +51,36 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark)
+    warc.write(table(spark, folder, "pages"), path)
+    found = warc.join_revisits(warc.read(spark, path, payloads=False))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.xxhash64(text).alias("text_hash"),
+    )
+    return sharding.shard_rows(rows, ["doc_id", "text_hash", "size", "text_crc32"], 24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_warc": op2_warc,
+    "op7_sharding": op7_sharding,
     "op10_token_counts": op10_token_counts,
 }
 
