@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, decontaminate, sharding, tokencount, warc
+from cellweave.llm import bpe, decontaminate, linededup, sharding, tokencount, warc
+from cellweave.llm.oracle import ORACLE  # noqa: F401
 from cellweave.session import shared_folder
 
 COLUMNS = {
@@ -40,6 +41,13 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return linededup.remove_shared_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = tokencount.count_tokens(
         table(spark, folder, "documents").select(
@@ -95,7 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op5_decontamination": op5_decontamination,
     "op7_sharding": op7_sharding,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLE: dict[str, str] = {}
