@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, decontaminate, linededup, sharding, tokencount, warc
+from cellweave.llm import bpe, decontaminate, linededup, sharding, tokencount, toxicity, warc
 from cellweave.llm.oracle import ORACLE  # noqa: F401
 from cellweave.session import shared_folder
 
@@ -41,6 +41,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.train_and_score(docs, table(spark, folder, "labels"), drop=("text",))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return linededup.remove_shared_lines(docs).select(
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op5_decontamination": op5_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }

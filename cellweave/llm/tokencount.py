@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from cellweave.llm.batches import with_arrays
-from cellweave.llm.words import U64, Letters, buffers, letters, sequence_hashes, split_words
+from cellweave.llm.words import U64, Letters, buffers, byte_hashes, letters, split_words
 
 #: The mark that stands for a blank in the pieces.
 BLANK = "▁"
@@ -175,7 +175,7 @@ class Counter:
         opening = np.concatenate([opening, ~filled[rest]]) & self.model.prefix
         order = np.argsort(begin, kind="stable")
         begin, end, owner, opening = begin[order], end[order], owner[order], opening[order]
-        keys = _hashes(data, begin, end, self.model.kind.value)
+        keys = byte_hashes(data, begin, end, self.model.kind.value)
         keys[opening] ^= U64(0x5851F42D4C957F2D)
         distinct, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
 
@@ -188,18 +188,6 @@ class Counter:
         return np.bincount(owner, counts[inverse], minlength=len(texts)).astype(np.int64)
 
 
-def _hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Hashes of adjoining segments, some at a time."""
-    out = np.empty(len(begin), U64)
-    step = 1 << 17
-    for at in range(0, len(begin), step):
-        low, high = int(begin[at]), int(end[at : at + step][-1])
-        out[at : at + step] = sequence_hashes(
-            value[data[low:high]], begin[at : at + step] - low, end[at : at + step] - low
-        )
-    return out
-
-
 @lru_cache(maxsize=1)
 def counter(path: str) -> Counter:
     """Built once per process; what it remembers serves all tasks there."""

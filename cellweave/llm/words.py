@@ -171,6 +171,18 @@ def split_words(column: pa.Array, kind: Letters, places: bool = False) -> Words:
     )
 
 
+def byte_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes ``begin`` to ``end``, both in order, some at a time."""
+    out = np.empty(len(begin), U64)
+    step = 1 << 17
+    for at in range(0, len(begin), step):
+        low, high = int(begin[at]), int(end[at : at + step][-1])
+        out[at : at + step] = sequence_hashes(
+            value[data[low:high]], begin[at : at + step] - low, end[at : at + step] - low
+        )
+    return out
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in runs with about ``limit`` bytes of text each, or a single text."""
     for batch in batches:
