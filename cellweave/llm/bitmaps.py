@@ -66,3 +66,20 @@ def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     for row in made.collect():
         out[row.chunk * size : (row.chunk + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return out
+
+
+def apart(df: DataFrame, hashed: Column, known: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Rows whose hash is surely not in the bitmap, and rows for which it may be."""
+    sent = df.sparkSession.sparkContext.broadcast(known)
+    keyed, schema = df.withColumn("__hash", hashed), df.withColumn("__hash", hashed).schema
+
+    def only(wanted: bool) -> DataFrame:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = has(sent.value, batch.column("__hash").to_numpy().view(U64)) == wanted
+                if keep.any():
+                    yield batch.filter(pa.array(keep))
+
+        return keyed.mapInArrow(run, schema).drop("__hash")
+
+    return only(False), only(True)

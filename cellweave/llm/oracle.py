@@ -123,6 +123,7 @@ from cut
 
 ORACLE: dict[str, str] = {
     "op2_warc": OP2,
+    "op3_jaccard_join": OP3,
     "op4_substring_dedup": OP4,
     "op9_line_dedup": OP9,
     "op5_decontamination": OP5,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, decontaminate, linededup, sharding, substring, tokencount, toxicity, warc
+from cellweave.llm import bpe, decontaminate, jaccard, linededup, sharding, substring, tokencount, toxicity, warc
 from cellweave.llm.oracle import ORACLE  # noqa: F401
 from cellweave.session import shared_folder
 
@@ -71,6 +71,10 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.groups(table(spark, folder, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select(
@@ -113,6 +117,7 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontamination": op5_decontamination,
     "op7_sharding": op7_sharding,

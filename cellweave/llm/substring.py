@@ -166,25 +166,13 @@ def remove_repeats(
     )
     gone = stored(repeated_windows(slim, window, block, filter_bits))
     changed = bitmaps.bitmap(gone.select(F.xxhash64("doc_id").alias("h")).distinct(), CHANGED_BITS)
-    known = docs.sparkSession.sparkContext.broadcast(changed)
     docs = docs.drop(*ADDED)
-    # Computed by Spark, so that both sides hash alike; a null id hashes to some number too.
-    keyed = docs.withColumn("__hash", F.xxhash64(F.col(doc_id).cast("long")))
-    schema = keyed.schema
-
-    def only(affected: bool):
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = bitmaps.has(known.value, batch.column("__hash").to_numpy().view(np.uint64)) == affected
-                if keep.any():
-                    yield batch.filter(pa.array(keep))
-
-        return keyed.mapInArrow(run, schema).drop("__hash")
-
+    # Spark computes both hashes, so they agree; that of a null id is some number too.
+    same, touched = bitmaps.apart(docs, F.xxhash64(F.col(doc_id).cast("long")), changed)
     drop = () if keep_text else (text,)
-    whole = with_arrays(only(False), text, ADDED, lambda column: _kept(column, None, window), drop)
+    whole = with_arrays(same, text, ADDED, lambda column: _kept(column, None, window), drop)
     sets = gone.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("hash").alias("__gone"))
-    met = only(True).join(sets.hint("shuffle_hash"), F.col(doc_id).cast("long") == F.col("__id"), "left").drop("__id")
+    met = touched.join(sets.hint("shuffle_hash"), F.col(doc_id).cast("long") == F.col("__id"), "left").drop("__id")
     return whole.unionByName(_cut(met, text, window, drop))
 
 
