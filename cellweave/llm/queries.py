@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, decontaminate, jaccard, linededup, sharding, substring, tokencount, toxicity, warc
+from cellweave.llm import bpe, decontaminate, jaccard, linededup, multiindex, sharding, substring, tokencount, toxicity, warc
 from cellweave.llm.oracle import ORACLE  # noqa: F401
 from cellweave.session import shared_folder
 
@@ -95,6 +95,10 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return multiindex.search(table(spark, folder, "embeddings"))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, folder, "documents").select(
@@ -120,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_sharding": op7_sharding,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
