@@ -122,6 +122,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     try:
         done, target = run(spark, args)
         print(f"{args.job}: {done}")
+        for name in ("read", "to_mend"):
+            if getattr(done, name, None) is not None:
+                print(f"rows {name.replace('_', ' ')}: {getattr(done, name)}")
         read = sources.by_geohash if args.job in ("enrich", "pipeline") else sources.parquet
         if args.show:
             jobs.show(read(spark, target), args.show)

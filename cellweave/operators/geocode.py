@@ -3,11 +3,14 @@
 A lookup is a left join, done in the first of these ways that the sizes allow:
 
 * a gazetteer that measures small is broadcast: rows are read once and never shuffled;
-* a larger one is cut down to the places asked for, each once. If that measures small it
-  is broadcast instead, and still no row is shuffled;
-* otherwise it is exchanged together with only those rows that ask. The join key is then
-  a struct built after the gazetteer was made unique: the planner exchanges both sides
-  anew, and adaptive execution can split the rows that ask for one very common place.
+* beyond that, the rows that ask are written down once. A gazetteer cut down to the places
+  they ask for is broadcast to them if it measures small;
+* otherwise it is exchanged together with these rows. The join key is then a struct built
+  after the gazetteer was made unique: the planner exchanges both sides anew, and adaptive
+  execution can split the rows that ask for one very common place.
+
+Sizes are measured on the gazetteer as given, so one that is itself computed should be
+written down first (``sinks.written``).
 """
 
 from __future__ import annotations
@@ -37,9 +40,12 @@ def unique_places(gazetteer: DataFrame, keys: Sequence[str] = PLACE_KEYS) -> Dat
     """One row per key: the smallest point among those with both coordinates."""
     return (
         gazetteer.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+        # Two steps with plain numbers rather than one with a struct, which would sort.
+        .groupBy(*keys, "lat")
+        .agg(F.min("lng").alias("lng"))
         .groupBy(*keys)
-        .agg(F.min(F.struct("lat", "lng")).alias("_point"))
-        .select(*keys, "_point.lat", "_point.lng")
+        .agg(F.min("lat").alias("_lat"), F.min_by("lng", "lat").alias("_lng"))
+        .select(*keys, F.col("_lat").alias("lat"), F.col("_lng").alias("lng"))
     )
 
 
@@ -64,22 +70,21 @@ def lookup(
 
     places = gazetteer.select(*keys, "lat", "lng")
     answers = unique_places(places, keys)
-    small = broadcast and fits_broadcast(places.select(*keys), broadcast_bytes)
-    if broadcast and not small:
-        asked = rows.filter(wanted).select(*(value.alias(name) for name, value in values.items())).distinct()
-        answers = written(answers.join(asked, list(keys), "left_semi"))
-        small = fits_broadcast(answers, broadcast_bytes)
-    answers = answers.select(
-        F.struct(*keys).alias(_KEY), F.col("lat").alias(FOUND_LAT), F.col("lng").alias(FOUND_LNG)
-    )
-    if small:
+    found = [F.struct(*keys).alias(_KEY), F.col("lat").alias(FOUND_LAT), F.col("lng").alias(FOUND_LNG)]
+    if broadcast and fits_broadcast(places, broadcast_bytes):
         keyed = rows.withColumn(_KEY, F.when(wanted, key))
-        return keyed.join(F.broadcast(answers), _KEY, "left").drop(_KEY)
+        return keyed.join(F.broadcast(answers.select(*found)), _KEY, "left").drop(_KEY)
 
     nothing = F.lit(None).cast("double")
-    asked = rows.filter(wanted).withColumn(_KEY, key).join(answers, _KEY, "left").drop(_KEY)
     others = rows.filter(~F.coalesce(wanted, F.lit(False))).withColumns({FOUND_LAT: nothing, FOUND_LNG: nothing})
-    return others.unionByName(asked)
+    asking = rows.filter(wanted).withColumn(_KEY, key)
+    hinted = answers.select(*found).hint("merge")
+    if broadcast:
+        asking = written(asking)
+        cut = written(answers.join(asking.select(f"{_KEY}.*").distinct(), list(keys), "left_semi"))
+        small = fits_broadcast(cut, broadcast_bytes)
+        hinted = F.broadcast(cut.select(*found)) if small else cut.select(*found).hint("merge")
+    return others.unionByName(asking.join(hinted, _KEY, "left").drop(_KEY))
 
 
 def replace_incomplete(

@@ -45,8 +45,10 @@ def by_cell_date(
 
 
 def date_from_parts() -> Column:
-    """``yyyy-MM-dd`` text from the ``year``, ``month`` and ``day`` columns."""
-    return F.make_date(*(F.col(part).cast("int") for part in DATE_PARTS)).cast("string")
+    """``yyyy-MM-dd`` text from the ``year``, ``month`` and ``day`` columns; null where they
+    are no date."""
+    text = F.format_string("%04d-%02d-%02d", *(F.col(part).cast("int") for part in DATE_PARTS))
+    return text.try_cast("date").cast("string")
 
 
 def mean_per_cell(readings: DataFrame, column: str, cell: str = GEOHASH) -> DataFrame:

@@ -1,17 +1,20 @@
 """The batch jobs: read tables, apply operators, write tables.
 
-Every job writes its result once, answers with the number of rows written, and leaves
-previews to be taken from the files, so nothing is computed twice. The next job starts
-from those files rather than from lineage. Paths are arguments throughout.
+Every job writes its result once, answers with the number of rows written (and, as
+attributes of it, of rows read and to be mended), and leaves previews to be taken from the
+files, so nothing is computed twice. The next job starts from those files rather than from
+lineage. Intermediate tables are removed when a job ends. Paths are arguments throughout.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import wraps
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cellweave import sinks, sources
@@ -21,6 +24,43 @@ from cellweave.operators import geocode as geocoding
 from cellweave.operators import weather as weather_ops
 from cellweave.operators.sizing import fits_broadcast
 from cellweave.schemas import CITY_KEYS, DATE_PARTS, GEOHASH, PLACE_KEYS, RESTAURANT, TEXT_KEYS
+from cellweave.sources.weather_zip import copy_members
+
+_MENDED = "_to_mend"
+
+
+class Rows(int):
+    """Number of rows written; ``read`` and ``to_mend`` are None where a job does not tell."""
+
+    read: int | None = None
+    to_mend: int | None = None
+
+    def __new__(cls, written: int, read: int | None = None, to_mend: int | None = None):
+        made = super().__new__(cls, written)
+        made.read, made.to_mend = read, to_mend
+        return made
+
+
+def _tidy(job: Callable) -> Callable:
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with sinks.scratch(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
+def _write_mended(rows: DataFrame, mend: Callable[[DataFrame], DataFrame], wrong: Column, target: str) -> Rows:
+    """Write what ``mend`` makes of each row, and count rows that were ``wrong`` on the way.
+
+    A row in is a row out here, so both are counted where the result is written, however
+    often a lookup reads its source.
+    """
+    seen = Observation()
+    mended = mend(rows.withColumn(_MENDED, wrong))
+    counted = mended.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(_MENDED).alias("to_mend"))
+    return Rows(sinks.write_parquet(counted.drop(_MENDED), target), **seen.get)
+
 
 PREVIEW_COLUMNS = ("franchise_name", "city", "lat", "lng", GEOHASH)
 
@@ -34,9 +74,10 @@ def gazetteer_keys(gazetteer: DataFrame) -> Sequence[str]:
 
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
-    """A gazetteer, or stored geocoder replies (a ``reply`` column) turned into one."""
+    """A gazetteer, or stored geocoder replies (a ``reply`` column) turned into one, which is
+    written down so that measuring and using it do not decode them twice."""
     table = sources.parquet(spark, path)
-    return geocoding.gazetteer_from_replies(table) if "reply" in table.columns else table
+    return sinks.written(geocoding.gazetteer_from_replies(table)) if "reply" in table.columns else table
 
 
 def with_geohash(rows: DataFrame, precision: int = DEFAULT_PRECISION) -> DataFrame:
@@ -55,20 +96,25 @@ def complete(
     return with_geohash(geocoding.fill_gaps(restaurants, gazetteer, keys, broadcast), precision)
 
 
+@_tidy
 def count_restaurants(spark: SparkSession, restaurants: str, target: str, schema: StructType | None = None) -> int:
     """Counts per franchise and city. Without a schema, column types are inferred."""
     if schema is None:
         rows = sources.csv_inferred(spark, restaurants)
     else:
         rows = sources.restaurants_csv(spark, restaurants, schema)
-    return sinks.write_parquet(aggregates.restaurant_counts(rows), target)
+    seen = Observation()
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("read"))
+    return Rows(sinks.write_parquet(aggregates.restaurant_counts(rows), target), **seen.get)
 
 
+@_tidy
 def geocode(spark: SparkSession, restaurants: str, gazetteer: str, target: str, mode: str = "fill_gaps") -> int:
     """Coordinates from a gazetteer; ``mode`` is ``replace`` or ``fill_gaps``."""
     places = read_gazetteer(spark, gazetteer)
     rows = sources.restaurants_csv(spark, restaurants)
-    return sinks.write_parquet(geocoding.MODES[mode](rows, places, gazetteer_keys(places)), target)
+    mend = geocoding.MODES[mode]
+    return _write_mended(rows, lambda x: mend(x, places, gazetteer_keys(places)), filters.lacks_coords(), target)
 
 
 def tag_geohash(
@@ -82,18 +128,23 @@ def tag_geohash(
     return sinks.write_parquet(with_geohash(sources.parquet(spark, restaurants, schema), precision), target)
 
 
+@_tidy
 def complete_restaurants(
     spark: SparkSession, restaurants: str, gazetteer: str, target: str, precision: int = DEFAULT_PRECISION
 ) -> int:
     """Fill gaps and add the geohash in one pass over the CSV."""
     rows = sources.restaurants_csv(spark, restaurants)
-    return sinks.write_parquet(complete(rows, read_gazetteer(spark, gazetteer), precision), target)
+    places = read_gazetteer(spark, gazetteer)
+    return _write_mended(rows, lambda x: complete(x, places, precision), filters.lacks_coords(), target)
 
 
+@_tidy
 def unpack_weather(spark: SparkSession, archives: str, target: str) -> int:
-    """Archives to ``year=/month=/day=`` folders; the folder text stays as it was."""
-    # Members belong to one day each, so rows are written where they were read.
-    return sinks.write_by_date(sources.weather_zip(spark, archives, key_type="string"), target, gather=False)
+    """Archives to ``year=/month=/day=`` folders, each member as the file it is.
+
+    A later delivery adds to the target: only files of the same name and day are replaced.
+    """
+    return copy_members(spark, archives, target)
 
 
 def recompress(spark: SparkSession, weather: str, target: str, codec: str = "gzip") -> bool:
@@ -112,6 +163,7 @@ def recompress(spark: SparkSession, weather: str, target: str, codec: str = "gzi
 GRAINS = ("cell", "cell_date")
 
 
+@_tidy
 def enrich_restaurants(
     spark: SparkSession,
     restaurants: str,
@@ -126,12 +178,17 @@ def enrich_restaurants(
     """Join restaurants that carry a geohash with the weather, in ``geohash=`` folders.
 
     ``grain="cell"`` keeps one row per restaurant. ``grain="cell_date"`` gives one row
-    per restaurant and date. Weather in CSV costs an extra pass to infer its types
+    per restaurant and date. Restaurants may lie in ``geohash=`` folders; a geohash that is
+    not of the given precision is an error, as it could meet no weather. Weather in CSV costs an extra pass to infer its types
     unless ``weather_schema`` states them.
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
-    rows = sources.parquet(spark, restaurants)
+    rows = sources.by_geohash(spark, restaurants)
+    length = F.length(GEOHASH)
+    other = rows.agg(F.min(F.nullif(length, F.lit(precision)))).first()[0]
+    if other is not None:
+        raise ValueError(f"a geohash of {other} characters among the restaurants; precision is {precision}")
     if weather_format == "csv":
         readings = sources.weather_csv(spark, weather, weather_schema)
     else:

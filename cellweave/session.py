@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -64,12 +66,31 @@ def session(
 def shared_folder(spark: SparkSession) -> str:
     """A new folder, named but not created, below the one the cluster shares.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. A temporary folder
-    of this machine stands in only where the whole session runs on this machine.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where the whole session runs
+    on this machine, a folder in its warehouse stands in, and goes when the process ends.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="cellweave-")
+        base = _own_folder(spark.conf.get("spark.sql.warehouse.dir"))
     return f"{base.rstrip('/')}/cellweave-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder(warehouse: str) -> str:
+    folder = f"{warehouse.rstrip('/')}/_cellweave-{uuid.uuid4().hex}"
+    atexit.register(shutil.rmtree, folder.removeprefix("file:"), ignore_errors=True)
+    return folder
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has made."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system that Spark would look for it in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri().toString()

@@ -5,12 +5,17 @@ Rows are counted by the writing tasks as they pass, so no second read is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from cellweave.schemas import DATE_PARTS, GEOHASH
-from cellweave.session import shared_folder
+from cellweave.session import remove, shared_folder
+
+_scratch: list[list[str]] = []
 
 
 def _counted(df: DataFrame, codec: str) -> tuple[DataFrameWriter, Observation]:
@@ -29,13 +34,26 @@ def written(df: DataFrame) -> DataFrame:
     """The same rows as a table in the shared folder.
 
     What was computed once is then neither repeated for a second use nor lost with an
-    executor.
+    executor. Within ``scratch`` the table goes at its end.
     """
     path = shared_folder(df.sparkSession)
+    if _scratch:
+        _scratch[-1].append(path)
     write_parquet(df, path, codec="snappy")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``written`` makes inside, once what needs them is done."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
 def write_by_geohash(
     df: DataFrame,
     path: str,

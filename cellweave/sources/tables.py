@@ -66,9 +66,10 @@ def by_geohash(spark: SparkSession, path: str, schema: StructType | None = None)
 
     Guessing the folder type would turn cells such as ``0123`` or ``12e4`` into
     numbers, so the text type is stated. Without ``schema`` (the columns inside the
-    files) it is taken from a file footer.
+    files) it is that of all files together, as folders may be replaced one by one.
     """
     if schema is None:
-        schema = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+        files = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+        schema = files.parquet(path).schema
     fields = [f for f in schema.fields if f.name != GEOHASH]
     return spark.read.schema(StructType([*fields, StructField(GEOHASH, StringType())])).parquet(path)

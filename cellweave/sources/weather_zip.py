@@ -1,10 +1,10 @@
 """Weather archives: zip files with Parquet members below ``year=/month=/day=``.
 
-The work is spread by *member*, not by archive. Tasks first read only the tables of
-contents; the listing is written to the shared folder, and its members are then dealt
-out in even runs. A task opens the few archives of its run and seeks to its members, so
-one huge archive is read by many tasks and no archive is ever held in memory. A member
-is, up to a limit; a larger one is read through the archive a row group at a time.
+The work is spread by *member*, not by archive, in runs of about as many bytes each. Tasks
+first read the tables of contents, then the footer of each member; both are written to the
+shared folder. With the footers known, a member is unpacked once, from front to back, and
+held one row group at a time. So each member is unpacked twice in all, whatever its size,
+and neither an archive nor a member is ever held in memory.
 
 Archives are opened with Arrow's file systems, so they may lie on a folder mounted on
 every machine or in any store Arrow reaches (``s3``, ``gs``, ``abfss``, ``hdfs``).
@@ -14,20 +14,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cellweave.schemas import DATE_PARTS, WEATHER
+from cellweave.session import qualified
 from cellweave.sinks import written
 
 TASK_BYTES = 128 * 1024 * 1024
-HELD_BYTES = 512 * 1024 * 1024
+#: Bytes kept of the end of a member while it is unpacked for its footer.
+TAIL_BYTES = 4 * 1024 * 1024
 _LISTING = "archive string, position int, name string, bytes long"
-_FOOTER = "footer binary"
+_FOOTERS = "archive string, position int, name string, tail binary, layout binary"
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -63,23 +64,16 @@ def _list_members() -> Callable[[Batches], Batches]:
     return run
 
 
-def _read_members(wanted: pa.Schema | None, held_bytes: int) -> Callable[[Batches], Batches]:
-    """Rows of each member plus its folder keys; with no schema, only its Arrow schema.
-
-    A member of more than ``held_bytes`` is not unpacked into memory but read through the
-    archive, a row group at a time; seeking back then unpacks it again.
-    """
-    parts = DATE_PARTS
+def _opener() -> Callable:
+    """Gives (member's description, archive) for rows that come sorted by archive."""
 
-    def run(batches: Batches) -> Batches:
+    def members(batches):
         import contextlib
         import zipfile
 
-        import pyarrow as pa
-        import pyarrow.parquet as pq
         from pyarrow import fs
 
-        opened = {}  # the archive at hand; rows come sorted by archive
+        opened = {}  # the archive at hand
         with contextlib.ExitStack() as at_end:
             for row in (row for batch in batches for row in batch.to_pylist()):
                 if row["archive"] not in opened:
@@ -88,26 +82,148 @@ def _read_members(wanted: pa.Schema | None, held_bytes: int) -> Callable[[Batche
                     raw = at_end.enter_context(store.open_input_file(path))
                     opened = {row["archive"]: at_end.enter_context(zipfile.ZipFile(raw))}
                 archive = opened[row["archive"]]
-                info = archive.infolist()[row["position"]]
-                if info.file_size <= held_bytes:
-                    content = pa.BufferReader(archive.read(info))
-                else:
-                    content = at_end.enter_context(archive.open(info))
-                member = pq.ParquetFile(content, pre_buffer=False, coerce_int96_timestamp_unit="us")
-                if wanted is None:
-                    footer = member.schema_arrow.remove_metadata().serialize().to_pybytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([footer], pa.binary())], names=["footer"])
-                    continue
-                present = [name for name in wanted.names if name in member.schema_arrow.names]
-                for rows in member.iter_batches(columns=present):
-                    columns = [
-                        rows.column(field.name).cast(field.type)
-                        if field.name in present
-                        else pa.nulls(rows.num_rows, field.type)
-                        for field in wanted
-                    ]
-                    keys = [pa.repeat(pa.scalar(row[part], pa.string()), rows.num_rows) for part in parts]
-                    yield pa.RecordBatch.from_arrays(columns + keys, names=[*wanted.names, *parts])
+                yield row, archive, archive.infolist()[row["position"]]
+
+    return members
+
+
+def _read_footers(tail_bytes: int) -> Callable[[Batches], Batches]:
+    """The end of each member, with its footer, and its Arrow schema."""
+    members = _opener()
+
+    def run(batches: Batches) -> Batches:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        def tail_of(archive, info, size):
+            tail = b""
+            with archive.open(info) as stream:
+                while chunk := stream.read(1 << 20):
+                    tail = (tail + chunk)[-size:]
+            return tail
+
+        for row, archive, info in members(batches):
+            tail = tail_of(archive, info, tail_bytes)
+            needed = int.from_bytes(tail[-8:-4], "little") + 8
+            if needed > len(tail) < info.file_size:
+                tail = tail_of(archive, info, needed)
+            tail = tail[-needed:]
+            try:
+                footer = pq.ParquetFile(pa.BufferReader(b"PAR1" + tail), coerce_int96_timestamp_unit="us")
+            except pa.ArrowInvalid as error:
+                raise ValueError(f"{row['name']} in {row['archive']}: {error}") from error
+            layout = footer.schema_arrow.remove_metadata().serialize().to_pybytes()
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "archive": [row["archive"]],
+                    "position": pa.array([row["position"]], pa.int32()),
+                    "name": [row["name"]],
+                    "tail": pa.array([tail], pa.binary()),
+                    "layout": pa.array([layout], pa.binary()),
+                }
+            )
+
+    return run
+
+
+def _read_members(wanted: pa.Schema) -> Callable[[Batches], Batches]:
+    """Rows of each member plus its folder keys."""
+    parts, members = DATE_PARTS, _opener()
+
+    def run(batches: Batches) -> Batches:
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        class Held(io.RawIOBase):
+            """A file of which only the bytes of one row group are there."""
+
+            def __init__(self, size):
+                self.size, self.at, self.start, self.content = size, 0, 0, b""
+
+            def readable(self):
+                return True
+
+            def seekable(self):
+                return True
+
+            def tell(self):
+                return self.at
+
+            def seek(self, to, whence=0):
+                self.at = to + (0, self.at, self.size)[whence]
+                return self.at
+
+            def read(self, size=-1):
+                size = self.size - self.at if size is None or size < 0 else size
+                begin = self.at - self.start
+                if begin < 0 or begin + size > len(self.content):
+                    raise ValueError("a read outside of the row group at hand")
+                self.at += size
+                return self.content[begin : begin + size]
+
+        for row, archive, info in members(batches):
+            whole = pq.read_metadata(pa.BufferReader(b"PAR1" + row["tail"]))
+            places = []
+            for group in range(whole.num_row_groups):
+                chunks = [whole.row_group(group).column(i) for i in range(whole.num_columns)]
+                starts = [
+                    min(c.dictionary_page_offset or c.data_page_offset, c.data_page_offset) for c in chunks
+                ]
+                ends = [start + c.total_compressed_size for start, c in zip(starts, chunks)]
+                if chunks:
+                    places.append((min(starts), max(ends), group))
+            held, position = Held(info.file_size), 0
+            file = pq.ParquetFile(
+                pa.PythonFile(held, "r"), metadata=whole, pre_buffer=False, coerce_int96_timestamp_unit="us"
+            )
+            present = [name for name in wanted.names if name in file.schema_arrow.names]
+            with archive.open(info) as stream:
+                for start, end, group in sorted(places):
+                    while position < start:
+                        position += len(stream.read(min(1 << 20, start - position)))
+                    held.start, held.content = start, stream.read(end - start)
+                    position = end
+                    for rows in file.iter_batches(row_groups=[group], columns=present, use_threads=False):
+                        try:
+                            columns = [
+                                rows.column(field.name).cast(field.type)
+                                if field.name in present
+                                else pa.nulls(rows.num_rows, field.type)
+                                for field in wanted
+                            ]
+                        except pa.ArrowInvalid as error:
+                            raise ValueError(f"{info.filename} in {row['archive']}: {error}") from error
+                        keys = [pa.repeat(pa.scalar(row[part], pa.string()), rows.num_rows) for part in parts]
+                        yield pa.RecordBatch.from_arrays(columns + keys, names=[*wanted.names, *parts])
+
+    return run
+
+
+def _copy_members(target: str) -> Callable[[Batches], Batches]:
+    """Each member as it is, at its place below ``target``; its number of rows."""
+    members = _opener()
+
+    def run(batches: Batches) -> Batches:
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(target)
+        for row, archive, info in members(batches):
+            rows = pq.read_metadata(pa.BufferReader(b"PAR1" + row["tail"])).num_rows
+            folder = f"{base}/{row['place']}"
+            store.create_dir(folder, recursive=True)
+            # Readers pass over names that begin with "_"; only a whole file gets its name.
+            draft = f"{folder}/_{uuid.uuid4().hex}"
+            with archive.open(info) as stream, store.open_output_stream(draft) as out:
+                while chunk := stream.read(1 << 20):
+                    out.write(chunk)
+            store.move(draft, f"{folder}/{row['file']}")
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
 
     return run
 
@@ -132,7 +248,7 @@ def members(spark: SparkSession, root: str) -> DataFrame:
     keys = {
         part: F.nullif(F.regexp_extract("place", rf"(?:^|/){part}=([^/]*)", 1), F.lit("")) for part in DATE_PARTS
     }
-    last = F.max(F.struct("archive", "position", "bytes")).alias("last")
+    last = F.max(F.struct("archive", "position", "name", "bytes")).alias("last")
     return (
         found.filter(F.contains(folder, F.lit("year=")))
         .withColumns({"place": place, "file": F.regexp_extract("name", r"([^/]*)$", 1)})
@@ -143,40 +259,89 @@ def members(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _dealt(listing: DataFrame, task_bytes: int) -> DataFrame:
+    """Members in the order of the archives, cut into runs of about as many bytes, each a
+    partition. A member is never split, and large ones do not share a run with many others."""
+    spark = listing.sparkSession
+    count, size = listing.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    runs = max(1, min(count, max(spark.sparkContext.defaultParallelism, math.ceil((size or 0) / task_bytes))))
+    before = Window.orderBy("archive").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per archive; the members of each are summed up side by side.
+    sizes = listing.groupBy("archive").agg(F.sum(F.col("bytes") + 1).alias("_all"))
+    starts = sizes.select("archive", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("archive").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    # A member belongs where its middle lies.
+    middle = F.col("_start") + F.sum(F.col("bytes") + 1).over(within) - (F.col("bytes") + 1) / 2
+    total = max(1, (size or 0) + count)
+    run = F.least(F.floor(middle * runs / total), F.lit(runs - 1)).cast("int")
+    return (
+        listing.join(starts, "archive")
+        .withColumn("_run", run)
+        .repartitionById(runs, "_run")
+        .sortWithinPartitions("archive", "position")
+        .drop("_run", "_start")
+    )
+
+
+def _with_footers(spark: SparkSession, root: str, task_bytes: int, tail_bytes: int = TAIL_BYTES) -> DataFrame:
+    """The listing with the footer and layout of each member, as a stored table."""
+    listing = written(members(spark, root))
+    dealt = _dealt(listing, task_bytes).select("archive", "position", "name")
+    footers = dealt.mapInArrow(_read_footers(tail_bytes), _FOOTERS).drop("name")
+    return written(listing.join(footers, ["archive", "position"]))
+
+
 def weather_zip(
     spark: SparkSession,
     root: str,
     schema: StructType | None = None,
     key_type: str = "int",
     task_bytes: int = TASK_BYTES,
-    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """All readings in the archives plus ``year``, ``month`` and ``day``.
 
-    Without ``schema`` the columns are those in the footer of one member. As with any
-    file source, the listing is made when this is called, the reading later.
-    ``key_type="string"`` keeps the folder text (``01`` rather than 1).
+    Without ``schema`` the columns are those of all members together, each in the widest of
+    its types (whole numbers before fractions); a member lacking one has nulls there. Types
+    with nothing in common are an error that names a member, and so is a value that does
+    not fit into a given ``schema``. As with any file source, the listing is made when this
+    is called, the reading later. ``key_type="string"`` keeps the folder text (``01``
+    rather than 1).
     """
-    listing = written(members(spark, root))
-    count, size = listing.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    listing = _with_footers(spark, root, task_bytes)
     if schema is None:
-        schema = _stored_schema(listing, held_bytes) if count else WEATHER
+        schema = _common_schema(listing) or WEATHER
     wanted = StructType([f for f in schema.fields if f.name not in DATE_PARTS])
     result = StructType([*wanted.fields, *(StructField(part, StringType()) for part in DATE_PARTS)])
-
-    tasks = max(spark.sparkContext.defaultParallelism, math.ceil((size or 0) / task_bytes))
     readings = (
-        listing.select("archive", "position", *DATE_PARTS)
-        .repartitionByRange(max(1, min(count, tasks)), "archive", "position")
-        .sortWithinPartitions("archive", "position")
-        .mapInArrow(_read_members(to_arrow_schema(wanted), held_bytes), result)
+        _dealt(listing, task_bytes)
+        .select("archive", "position", "tail", *DATE_PARTS)
+        .mapInArrow(_read_members(to_arrow_schema(wanted)), result)
     )
     if key_type == "string":
         return readings
     return readings.withColumns({part: F.col(part).try_cast(IntegerType()) for part in DATE_PARTS})
 
 
-def _stored_schema(listing: DataFrame, held_bytes: int) -> StructType:
-    one = listing.orderBy("place", "file").limit(1).select("archive", "position", *DATE_PARTS)
-    footer = one.mapInArrow(_read_members(None, held_bytes), _FOOTER).first()["footer"]
-    return from_arrow_schema(pa.ipc.read_schema(pa.py_buffer(bytes(footer))))
+def copy_members(spark: SparkSession, root: str, target: str, task_bytes: int = TASK_BYTES) -> int:
+    """Members as they are into their folders below ``target``; the number of rows in them.
+
+    What is at the target stays, but for files of the same name in the same folder.
+    """
+    listing = _with_footers(spark, root, task_bytes)
+    place = qualified(spark, target)
+    copied = _dealt(listing, task_bytes).select("archive", "position", "tail", "place", "file")
+    return copied.mapInArrow(_copy_members(place), "rows long").agg(F.sum("rows")).first()[0] or 0
+
+
+def _common_schema(listing: DataFrame) -> StructType | None:
+    """Columns of all layouts in the order of the first place that has each; a row per
+    distinct layout is fetched."""
+    layouts = listing.groupBy("layout").agg(F.min(F.struct("place", "file", "archive")).alias("of"))
+    common = None
+    for row in sorted(layouts.collect(), key=lambda row: tuple(row.of)):
+        layout = pa.ipc.read_schema(pa.py_buffer(bytes(row.layout)))
+        try:
+            common = pa.unify_schemas([common, layout], promote_options="permissive") if common else layout
+        except (pa.ArrowInvalid, pa.ArrowTypeError) as error:
+            raise ValueError(f"{row.of.place}/{row.of.file} in {row.of.archive}: {error}") from error
+    return None if common is None else from_arrow_schema(common)

@@ -24,10 +24,10 @@ WEA = """
 select case when event_id % 97 = 0 then null
             else cast(-60 + (user_id % 25) * 5 as double) + cast(event_id % 8 as double) * 0.125 end as lat,
        cast(-150 + (user_id % 25) * 12 as double) + cast(event_id % 8 as double) * 0.25 as lng,
-       value as avg_tmpr_c,
-       value * 9.0 / 5.0 + 32.0 as avg_tmpr_f,
+       celsius as avg_tmpr_c,
+       floor((celsius * 9.0::double / 5.0::double + 32.0::double) * 64.0::double) / 64.0::double as avg_tmpr_f,
        cast(cast(ts as date) as varchar) as w_date
-from events
+from (select *, floor(value * 64.0::double) / 64.0::double as celsius from events)
 """
 
 DATED = """
@@ -99,14 +99,6 @@ from rest r left join gaz g on r.country = g.country and r.city = g.city
 CELL_MEANS = "avg(avg_tmpr_c) as avg_temp_c, avg(avg_tmpr_f) as avg_temp_f"
 
 
-def _round(value: str) -> str:
-    """The rounding of the queries, with their offset."""
-    return f"round({value} + 2.718281828e-7, 6)"
-
-
-ROUNDED = f"{_round('avg_temp_c')} as avg_temp_c, {_round('avg_temp_f')} as avg_temp_f"
-
-
 def _axis(value: str, limit: int) -> str:
     width = 2 * limit / 1024
     borders = f"list_filter(range(0, 1024), lambda k: k = 0 or {value} > {-limit} + k * {width}::double)"
@@ -145,19 +137,19 @@ COMPLETED = {"rest": REST, "gaz": GAZ, "filled": FILLED, "tagged": _tagged("fill
 WEATHER = {"wea": WEA, "tagged_wea": _tagged("wea")}
 
 BY_CELL = _with(
-    f"select t.*, {ROUNDED} from tagged t left join cells c on t.geohash = c.geohash",
+    "select t.*, avg_temp_c, avg_temp_f from tagged t left join cells c on t.geohash = c.geohash",
     **COMPLETED,
     **WEATHER,
     cells=_cells("geohash"),
 )
 BY_CELL_DATE = _with(
-    f"select t.*, c.w_date, {ROUNDED} from tagged t left join cells c on t.geohash = c.geohash",
+    "select t.*, c.w_date, avg_temp_c, avg_temp_f from tagged t left join cells c on t.geohash = c.geohash",
     **COMPLETED,
     **WEATHER,
     cells=_cells("geohash, w_date"),
 )
 BY_DATE_MEANS = _with(
-    f"select geohash, w_date, {ROUNDED} from cells", **WEATHER, cells=_cells("geohash, w_date")
+    "select geohash, w_date, avg_temp_c, avg_temp_f from cells", **WEATHER, cells=_cells("geohash, w_date")
 )
 COUNTS = _with(
     "select franchise_name, city, count(id) as restaurant_count from rest "
@@ -227,10 +219,10 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "geohash_weather": _with("select * from tagged_wea", **WEATHER),
     "geohash_edges": _with("select id, geohash from tagged", edges=EDGES, tagged=_tagged("edges")),
     "complete_restaurants": _with("select * from tagged", **COMPLETED),
-    "weather_by_cell": _with(f"select geohash, {ROUNDED} from cells", **WEATHER, cells=_cells("geohash")),
+    "weather_by_cell": _with("select geohash, avg_temp_c, avg_temp_f from cells", **WEATHER, cells=_cells("geohash")),
     "weather_by_cell_date": BY_DATE_MEANS,
     "weather_avg_auto_name": _with(
-        f'select geohash, {_round("avg(avg_tmpr_c)")} as "avg(avg_temp)" from tagged_wea group by geohash',
+        'select geohash, avg(avg_tmpr_c) as "avg(avg_temp)" from tagged_wea group by geohash',
         **WEATHER,
     ),
     "weather_date_from_parts": BY_DATE_MEANS,
@@ -238,7 +230,10 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "enrich_by_cell_merged": BY_CELL,
     "enrich_by_cell_date": BY_CELL_DATE,
     "csv_fixed_schema": _with("select * from rest", rest=REST),
-    "csv_inferred": _with("select * from rest", rest=REST),
+    "csv_inferred": _with("select * replace (cast(id as int) as id) from rest", rest=REST),
+    "csv_inferred_types": "select * from (values ('id', 'int'), ('franchise_id', 'int'), ('franchise_name', 'string'), "
+    "('restaurant_franchise_id', 'int'), ('country', 'string'), ('city', 'string'), ('lat', 'double'), "
+    "('lng', 'double')) t(name, type)",
     "weather_csv_by_cell_date": BY_DATE_MEANS,
     "parquet_with_schema": _with(
         "select * exclude (franchise_id), cast(null as int) as franchise_id from rest", rest=REST
@@ -247,6 +242,46 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "weather_by_date_read": DATED_ROWS,
     "recompress": DATED_ROWS,
     "zip_ingest": DATED_ROWS,
+    "zip_mixed_members": _with(
+        "select * replace (case when day % 2 = 1 then floor(avg_tmpr_c) else avg_tmpr_c end as avg_tmpr_c), "
+        "case when day % 2 = 0 then 'n' || month end as note from dated",
+        wea=WEA,
+        dated=DATED,
+    ),
+    "unpack_second_delivery": _with(
+        "select * replace (case when day <= 10 then avg_tmpr_c + 1 else avg_tmpr_c end as avg_tmpr_c) from dated",
+        wea=WEA,
+        dated=DATED,
+    ),
+    "counts_job": COUNTS,
+    "geocode_job_replace": _with("select * from replaced", rest=REST, gaz=GAZ, replaced=REPLACED),
+    "geocode_job_fill_gaps": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),
+    "geocode_job_counts": _with(
+        "select count(*) as rows_read, count(*) filter (lat is null or lng is null) as rows_to_mend, "
+        "count(*) as rows_written from rest",
+        rest=REST,
+    ),
+    "gzip_codec": "select unnest(['id', 'franchise_id', 'franchise_name', 'restaurant_franchise_id', 'country', "
+    "'city', 'lat', 'lng']) as name, 'GZIP' as codec",
+    "enrich_without_doubling": _with(
+        "select t.id, 1::bigint as n, c.avg_temp_c as mean from tagged t left join cells c on t.geohash = c.geohash",
+        **COMPLETED,
+        **WEATHER,
+        cells=_cells("geohash"),
+    ),
+    "enrich_job_from_cell_folders": _with(
+        "select t.*, avg_temp_c, avg_temp_f from tagged t left join cells c on t.geohash = c.geohash",
+        rest=REST,
+        corner="select * replace (-89.9::double + (id % 2) * 0.25::double as lat, "
+        "-179.9::double + (id % 4) * 0.125::double as lng) from rest",
+        tagged=_tagged("corner"),
+        wea=WEA,
+        dated=DATED,
+        corner_wea="select * replace (-89.9::double + ((month + day) % 2) * 0.25::double as lat, "
+        "-179.9::double + ((month + day) % 4) * 0.125::double as lng) from dated",
+        tagged_wea=_tagged("corner_wea"),
+        cells=_cells("geohash"),
+    ),
     "tag_geohash_job": _with("select * from tagged", rest=REST, tagged=_tagged("rest")),
     "enrich_job_by_cell_date": BY_CELL_DATE,
     "end_to_end": BY_CELL,

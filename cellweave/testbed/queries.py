@@ -1,16 +1,15 @@
 """One query per operator and job over the provided tables.
 
-Means are rounded here, and only here, so that engines which add in another order
-still agree. A mean that lies exactly halfway between two roundings would still depend
-on that order, so a fixed offset moves such means off the halfway line. Round trips
-write to the folder the cluster shares.
+The temperatures are such that sums are exact, so means are compared as they are. Round
+trips write to the folder the cluster shares; what a query only prepares is written once
+per session.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave import sinks, sources
@@ -23,16 +22,42 @@ from cellweave.testbed import archives, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-OFF_HALFWAY = 2.718281828e-7
+_prepared: dict[tuple[str, str, str], str] = {}
 
 
-def _round(name: str) -> Column:
-    return F.round(F.col(f"`{name}`") + OFF_HALFWAY, 6)
+def _once(spark: SparkSession, folder: str, name: str, write: Callable[[str], object]) -> str:
+    """Path of something that queries only prepare, written at the first use."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _prepared:
+        path = shared_folder(spark)
+        write(path)
+        _prepared[key] = path
+    return _prepared[key]
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    means = {name: _round(name) for name in df.columns if name.startswith("avg_temp_")}
-    return df.withColumns(means)
+def _restaurants_csv(spark: SparkSession, folder: str) -> str:
+    rows = tables.restaurants(spark, folder)
+    return _once(spark, folder, "restaurants_csv", lambda path: rows.write.csv(path, header=True))
+
+
+def _readings_csv(spark: SparkSession, folder: str) -> str:
+    rows = tables.readings(spark, folder)
+    return _once(spark, folder, "readings_csv", lambda path: rows.write.csv(path, header=True))
+
+
+def _gazetteer(spark: SparkSession, folder: str) -> str:
+    rows = tables.gazetteer(spark, folder)
+    return _once(spark, folder, "gazetteer", lambda path: sinks.write_parquet(rows, path))
+
+
+def _archives(spark: SparkSession, folder: str) -> str:
+    rows = tables.dated_readings(spark, folder)
+    return _once(spark, folder, "archives", lambda path: archives.write_archives(rows, path))
+
+
+def _completed_restaurants(spark: SparkSession, folder: str) -> str:
+    rows = _completed(spark, folder)
+    return _once(spark, folder, "completed", lambda path: sinks.write_parquet(rows, path))
 
 
 def _completed(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,7 +119,8 @@ def gazetteer_from_replies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def geocode_by_replies(spark: SparkSession, folder: str) -> DataFrame:
-    answers = geocode.gazetteer_from_replies(tables.replies(spark, folder).drop("id"))
+    # Made by joins, so it is written down before it is measured and used.
+    answers = sinks.written(geocode.gazetteer_from_replies(tables.replies(spark, folder).drop("id")))
     return geocode.replace_incomplete(tables.restaurants(spark, folder), answers, TEXT_KEYS)
 
 
@@ -126,9 +152,9 @@ def geocode_fill_gaps_shuffled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def geocode_asked_places(spark: SparkSession, folder: str) -> DataFrame:
-    rows, places = tables.restaurants(spark, folder), tables.gazetteer(spark, folder)
-    # No gazetteer is below this limit, so it is cut down to the places asked for.
-    return geocode.fill_gaps(rows, places, CITY_KEYS, broadcast_bytes=0)
+    rows, places = tables.restaurants(spark, folder), tables.wide_gazetteer(spark, folder)
+    # The gazetteer is above this limit, the places asked for are below it.
+    return geocode.fill_gaps(rows, places, CITY_KEYS, broadcast_bytes=18_000)
 
 
 def geohash_restaurants(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,49 +174,47 @@ def complete_restaurants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weather_by_cell(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(weather.by_cell(tables.readings(spark, folder)))
+    return weather.by_cell(tables.readings(spark, folder))
 
 
 def weather_by_cell_date(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(weather.by_cell_date(tables.readings(spark, folder)))
+    return weather.by_cell_date(tables.readings(spark, folder))
 
 
 def weather_avg_auto_name(spark: SparkSession, folder: str) -> DataFrame:
     rows = jobs.with_geohash(tables.readings(spark, folder)).withColumnRenamed("avg_tmpr_c", "avg_temp")
-    means = weather.mean_per_cell(rows, "avg_temp")
-    return means.withColumn("avg(avg_temp)", _round("avg(avg_temp)"))
+    return weather.mean_per_cell(rows, "avg_temp")
 
 
 def enrich_by_cell(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(enrich.by_cell(_completed(spark, folder), tables.readings(spark, folder)))
+    return enrich.by_cell(_completed(spark, folder), tables.readings(spark, folder))
 
 
 def enrich_by_cell_merged(spark: SparkSession, folder: str) -> DataFrame:
     rows, readings = _completed(spark, folder), tables.readings(spark, folder)
-    return _rounded(enrich.by_cell(rows, readings, broadcast=False))
+    return enrich.by_cell(rows, readings, broadcast=False)
 
 
 def enrich_by_cell_date(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(enrich.by_cell_date(_completed(spark, folder), tables.readings(spark, folder)))
+    return enrich.by_cell_date(_completed(spark, folder), tables.readings(spark, folder))
 
 
 def csv_fixed_schema(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark)
-    tables.restaurants(spark, folder).write.csv(path, header=True)
-    return sources.restaurants_csv(spark, path, RESTAURANT)
+    return sources.restaurants_csv(spark, _restaurants_csv(spark, folder), RESTAURANT)
 
 
 def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark)
-    tables.restaurants(spark, folder).write.csv(path, header=True)
-    inferred = sources.csv_inferred(spark, path)
-    return inferred.select(*(F.col(f.name).cast(f.dataType) for f in RESTAURANT))
+    return sources.csv_inferred(spark, _restaurants_csv(spark, folder))
+
+
+def csv_inferred_types(spark: SparkSession, folder: str) -> DataFrame:
+    inferred = sources.csv_inferred(spark, _restaurants_csv(spark, folder))
+    named = F.explode(F.create_map(*(F.lit(x) for pair in inferred.dtypes for x in pair))).alias("name", "type")
+    return inferred.limit(1).select(named)
 
 
 def weather_csv_by_cell_date(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark)
-    tables.readings(spark, folder).write.csv(path, header=True)
-    return _rounded(weather.by_cell_date(sources.weather_csv(spark, path, WEATHER)))
+    return weather.by_cell_date(sources.weather_csv(spark, _readings_csv(spark, folder), WEATHER))
 
 
 def parquet_with_schema(spark: SparkSession, folder: str) -> DataFrame:
@@ -216,7 +240,7 @@ def weather_by_date_read(spark: SparkSession, folder: str) -> DataFrame:
 
 def weather_date_from_parts(spark: SparkSession, folder: str) -> DataFrame:
     rows = tables.dated_readings(spark, folder)
-    return _rounded(weather.by_cell_date(rows, date=weather.date_from_parts()))
+    return weather.by_cell_date(rows, date=weather.date_from_parts())
 
 
 def recompress(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,33 +251,127 @@ def recompress(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def zip_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    return sources.weather_zip(spark, _archives(spark, folder))
+
+
+def zip_mixed_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Members of odd days have whole degrees, and those of one month a column more."""
+    rows = tables.dated_readings(spark, folder)
+    odd = rows.filter("day % 2 = 1").withColumn("avg_tmpr_c", F.floor("avg_tmpr_c"))
+    even = rows.filter("day % 2 = 0").withColumn("note", F.concat(F.lit("n"), "month"))
+
+    def write(path: str) -> None:
+        archives.write_archives(odd, f"{path}/odd")
+        archives.write_archives(even, f"{path}/even")
+
+    return sources.weather_zip(spark, _once(spark, folder, "mixed_archives", write))
+
+
+def unpack_second_delivery(spark: SparkSession, folder: str) -> DataFrame:
+    """A later delivery brings some days anew, in members of the same names."""
+    rows = tables.dated_readings(spark, folder).coalesce(1)
+    later = rows.filter("day <= 10").withColumn("avg_tmpr_c", F.col("avg_tmpr_c") + 1.0)
+
+    def write(path: str) -> None:
+        archives.write_archives(rows, f"{path}/first")
+        archives.write_archives(later, f"{path}/second")
+
+    deliveries, target = _once(spark, folder, "deliveries", write), shared_folder(spark)
+    jobs.unpack_weather(spark, f"{deliveries}/first", target)
+    jobs.unpack_weather(spark, f"{deliveries}/second", target)
+    return sources.weather_parquet(spark, target)
+
+
+def _job(spark: SparkSession, run: Callable[[str], object]) -> DataFrame:
+    target = shared_folder(spark)
+    run(target)
+    return sources.parquet(spark, target)
+
+
+def counts_job(spark: SparkSession, folder: str) -> DataFrame:
+    return _job(spark, lambda target: jobs.count_restaurants(spark, _restaurants_csv(spark, folder), target))
+
+
+def geocode_job_replace(spark: SparkSession, folder: str) -> DataFrame:
+    rows, places = _restaurants_csv(spark, folder), _gazetteer(spark, folder)
+    return _job(spark, lambda target: jobs.geocode(spark, rows, places, target, "replace"))
+
+
+def geocode_job_fill_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    rows, places = _restaurants_csv(spark, folder), _gazetteer(spark, folder)
+    return _job(spark, lambda target: jobs.geocode(spark, rows, places, target, "fill_gaps"))
+
+
+def geocode_job_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What the job says of itself: rows read, to be mended and written."""
+    rows, places, target = _restaurants_csv(spark, folder), _gazetteer(spark, folder), shared_folder(spark)
+    done = jobs.geocode(spark, rows, places, target)
+    values = (done.read, done.to_mend, int(done))
+    return spark.createDataFrame([values], "rows_read long, rows_to_mend long, rows_written long")
+
+
+def gzip_codec(spark: SparkSession, folder: str) -> DataFrame:
+    """The codec that the footers of a written table name, per column."""
     path = shared_folder(spark)
-    archives.write_archives(tables.dated_readings(spark, folder), path)
-    return sources.weather_zip(spark, path)
+    sinks.write_parquet(tables.restaurants(spark, folder), path)
+
+    def footers(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for content in batch.column("content"):
+                whole = pq.ParquetFile(pa.BufferReader(content.as_py())).metadata
+                chunks = [whole.row_group(g).column(i) for g in range(whole.num_row_groups) for i in range(whole.num_columns)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "name": pa.array([c.path_in_schema for c in chunks], pa.string()),
+                        "codec": pa.array([c.compression for c in chunks], pa.string()),
+                    }
+                )
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("content")
+    return files.mapInArrow(footers, "name string, codec string").distinct()
+
+
+def enrich_without_doubling(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings of a cell are averaged first, so a restaurant stays one row."""
+    means = weather.mean_per_cell(jobs.with_geohash(tables.readings(spark, folder)), "avg_tmpr_c")
+    joined = enrich.left_join_cells(_completed(spark, folder), means.filter("geohash is not null"))
+    return joined.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("avg(avg_tmpr_c)").alias("mean"))
 
 
 def tag_geohash_job(spark: SparkSession, folder: str) -> DataFrame:
-    source, target = shared_folder(spark), shared_folder(spark)
-    sinks.write_parquet(tables.restaurants(spark, folder), source)
-    jobs.tag_geohash(spark, source, target)
-    return sources.parquet(spark, target)
+    rows = tables.restaurants(spark, folder)
+    source = _once(spark, folder, "restaurants", lambda path: sinks.write_parquet(rows, path))
+    return _job(spark, lambda target: jobs.tag_geohash(spark, source, target))
 
 
 def enrich_job_by_cell_date(spark: SparkSession, folder: str) -> DataFrame:
-    restaurants, weather_csv, target = (shared_folder(spark) for _ in range(3))
-    sinks.write_parquet(_completed(spark, folder), restaurants)
-    tables.readings(spark, folder).write.csv(weather_csv, header=True)
+    restaurants, weather_csv, target = _completed_restaurants(spark, folder), _readings_csv(spark, folder), shared_folder(spark)
     jobs.enrich_restaurants(spark, restaurants, weather_csv, target, grain="cell_date", weather_format="csv")
-    return _rounded(sources.by_geohash(spark, target)).withColumn("w_date", F.col("w_date").cast("string"))
+    return sources.by_geohash(spark, target).withColumn("w_date", F.col("w_date").cast("string"))
+
+
+def enrich_job_from_cell_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """Restaurants and weather near one corner of the map, where cells are all digits."""
+
+    def corner(rows: DataFrame, key: str) -> DataFrame:
+        return rows.withColumns({"lat": F.lit(-89.9) + (F.col(key) % 2) * 0.25, "lng": F.lit(-179.9) + (F.col(key) % 4) * 0.125})
+
+    rows = jobs.with_geohash(corner(tables.restaurants(spark, folder), "id"))
+    stored = _once(spark, folder, "cell_folders", lambda path: sinks.write_by_geohash(rows, path))
+    near = tables.dated_readings(spark, folder).withColumn("key", (F.col("month") + F.col("day")))
+    near = corner(near, "key").drop("key")
+    days = _once(spark, folder, "corner_weather", lambda path: sinks.write_by_date(near, path))
+    target = shared_folder(spark)
+    jobs.enrich_restaurants(spark, stored, days, target)
+    return sources.by_geohash(spark, target)
 
 
 def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
-    base = shared_folder(spark)
-    tables.restaurants(spark, folder).write.csv(f"{base}/csv", header=True)
-    sinks.write_parquet(tables.gazetteer(spark, folder), f"{base}/gazetteer")
-    archives.write_archives(tables.dated_readings(spark, folder), f"{base}/archives")
-    enriched = jobs.pipeline(spark, f"{base}/csv", f"{base}/gazetteer", f"{base}/archives", f"{base}/out")
-    return _rounded(sources.by_geohash(spark, enriched))
+    rows, places, zips = (f(spark, folder) for f in (_restaurants_csv, _gazetteer, _archives))
+    return sources.by_geohash(spark, jobs.pipeline(spark, rows, places, zips, shared_folder(spark)))
 
 
 QUERIES: dict[str, Query] = {
@@ -288,12 +406,22 @@ QUERIES: dict[str, Query] = {
     "enrich_by_cell_date": enrich_by_cell_date,
     "csv_fixed_schema": csv_fixed_schema,
     "csv_inferred": csv_inferred,
+    "csv_inferred_types": csv_inferred_types,
     "weather_csv_by_cell_date": weather_csv_by_cell_date,
     "parquet_with_schema": parquet_with_schema,
     "partitioned_roundtrip": partitioned_roundtrip,
     "weather_by_date_read": weather_by_date_read,
     "recompress": recompress,
     "zip_ingest": zip_ingest,
+    "zip_mixed_members": zip_mixed_members,
+    "unpack_second_delivery": unpack_second_delivery,
+    "counts_job": counts_job,
+    "geocode_job_replace": geocode_job_replace,
+    "geocode_job_fill_gaps": geocode_job_fill_gaps,
+    "geocode_job_counts": geocode_job_counts,
+    "gzip_codec": gzip_codec,
+    "enrich_without_doubling": enrich_without_doubling,
+    "enrich_job_from_cell_folders": enrich_job_from_cell_folders,
     "tag_geohash_job": tag_geohash_job,
     "enrich_job_by_cell_date": enrich_job_by_cell_date,
     "end_to_end": end_to_end,

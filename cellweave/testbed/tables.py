@@ -1,11 +1,12 @@
 """Restaurants, weather readings and a gazetteer derived from the provided tables.
 
-All coordinates are binary fractions, so any engine computes the same doubles.
+Coordinates and temperatures are binary fractions, so any engine computes the same doubles,
+and the same means in whatever order it adds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions.geocoding import query_text
@@ -44,15 +45,20 @@ def restaurants(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _sixty_fourths(value: Column) -> Column:
+    return F.floor(value * 64.0).cast("double") / 64.0
+
+
 def readings(spark: SparkSession, folder: str) -> DataFrame:
     """One weather reading per event; every 97th has no latitude."""
     event, user = F.col("event_id"), F.col("user_id")
     near = (event % 8).cast("double")
+    celsius = _sixty_fourths(F.col("value"))
     return table(spark, folder, "events").select(
         F.when(event % 97 != 0, -60 + (user % 25) * 5 + near * 0.125).alias("lat"),
         (-150 + (user % 25) * 12 + near * 0.25).alias("lng"),
-        F.col("value").alias("avg_tmpr_c"),
-        (F.col("value") * 9.0 / 5.0 + 32.0).alias("avg_tmpr_f"),
+        celsius.alias("avg_tmpr_c"),
+        _sixty_fourths(celsius * 9.0 / 5.0 + 32.0).alias("avg_tmpr_f"),
         F.col("ts").cast("date").cast("string").alias("w_date"),
     )
 
@@ -87,6 +93,22 @@ def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def wide_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
+    """The gazetteer and, for each customer, a place where no restaurant is."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    elsewhere = (
+        table(spark, folder, "customer")
+        .join(table(spark, folder, "nation"), nation == F.col("n_nationkey"))
+        .select(
+            F.col("n_name").alias("country"),
+            F.concat("n_name", F.lit("_X"), key).alias("city"),
+            (key % 90).cast("double").alias("lat"),
+            (key % 180).cast("double").alias("lng"),
+        )
+    )
+    return gazetteer(spark, folder).unionByName(elsewhere)
+
+
 def replies(spark: SparkSession, folder: str) -> DataFrame:
     """A stored geocoder reply per restaurant: good, empty, broken or null."""
     key = F.col("id")

@@ -1,4 +1,5 @@
 import datetime as dt
+import importlib
 import zipfile
 
 import pyarrow as pa
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cellweave import sources
+from cellweave.plans import jobs
 from cellweave.schemas import RESTAURANT, WEATHER
 from cellweave.sources.weather_zip import members
 from cellweave.testbed.archives import write_archives
 
+# The package has a function of the module's name.
+archive_reader = importlib.import_module("cellweave.sources.weather_zip")
 HEADER = ",".join(RESTAURANT.names)
 
 
@@ -145,17 +149,112 @@ def test_zip_rows_and_keys(spark, zips):
     ]
 
 
-@pytest.mark.parametrize("packing", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
-def test_large_members_are_read_through_the_archive(spark, tmp_path, packing):
+def grouped(rows, groups):
+    """A Parquet file of so many row groups."""
     sink = pa.BufferOutputStream()
-    numbers = [float(i) for i in range(5000)]
-    pq.write_table(pa.table({"lat": numbers, "lng": numbers}), sink, row_group_size=700)
+    numbers = [float(i * 7 % 1000) for i in range(rows)]
+    table = pa.table({"lat": numbers, "lng": numbers, "text": [f"t{i}" for i in range(rows)]})
+    pq.write_table(table, sink, row_group_size=rows // groups)
+    return sink.getvalue().to_pybytes()
+
+
+@pytest.mark.parametrize("packing", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+@pytest.mark.parametrize("groups", [1, 2, 40])
+def test_members_of_any_number_of_row_groups(spark, tmp_path, packing, groups):
     with zipfile.ZipFile(tmp_path / "one.zip", "w", packing) as archive:
         for day in (1, 2):
-            archive.writestr(f"weather/year=2016/month=10/day={day}/a.parquet", sink.getvalue().to_pybytes())
-    through = sources.weather_zip(spark, str(tmp_path), held_bytes=0)
-    assert values(through) == values(sources.weather_zip(spark, str(tmp_path)))
-    assert through.count() == 10000
+            archive.writestr(f"weather/year=2016/month=10/day={day}/a.parquet", grouped(4000, groups))
+    rows = sources.weather_zip(spark, str(tmp_path))
+    assert rows.count() == 8000
+    assert values(rows.filter("day = 2"), "lat", "text") == sorted(
+        ((float(i * 7 % 1000), f"t{i}") for i in range(4000)), key=repr
+    )
+
+
+@pytest.mark.parametrize("groups", [2, 40])
+def test_a_member_is_unpacked_twice(tmp_path, monkeypatch, groups):
+    content = grouped(200_000, groups)
+    path = tmp_path / "one.zip"
+    make_zip(path, {"weather/year=2016/month=10/day=1/a.parquet": content})
+    unpacked = []
+    plain = zipfile.ZipExtFile.read
+
+    def read(self, n=-1):
+        got = plain(self, n)
+        unpacked.append(len(got))
+        return got
+
+    monkeypatch.setattr(zipfile.ZipExtFile, "read", read)
+    row = {"archive": [str(path)], "position": [0], "name": ["a"], "year": ["2016"], "month": ["10"], "day": ["1"]}
+    batch = pa.RecordBatch.from_pydict(row)
+    footer = next(archive_reader._read_footers(1 << 16)(iter([batch]))).to_pylist()[0]
+    batch = batch.append_column("tail", pa.array([footer["tail"]], pa.binary()))
+    wanted = pa.schema([("lat", pa.float64()), ("text", pa.string())])
+    assert sum(len(x) for x in archive_reader._read_members(wanted)(iter([batch]))) == 200_000
+    assert 1.9 * len(content) <= sum(unpacked) <= 2 * len(content)
+
+
+def test_long_footers_are_found(tmp_path):
+    content = grouped(2000, 200)
+    make_zip(tmp_path / "one.zip", {"a.parquet": content})
+    batch = pa.RecordBatch.from_pydict({"archive": [str(tmp_path / "one.zip")], "position": [0], "name": ["a"]})
+    tails = [next(archive_reader._read_footers(size)(iter([batch]))).to_pylist()[0]["tail"] for size in (16, 1 << 22)]
+    assert tails[0] == tails[1] == content[-len(tails[0]) :]
+
+
+def test_columns_and_types_of_all_members(spark, tmp_path):
+    make_zip(
+        tmp_path / "one.zip",
+        {
+            "weather/year=2016/month=10/day=01/a.parquet": parquet_bytes(lat=[1], lng=[1.5]),
+            "weather/year=2016/month=10/day=02/a.parquet": parquet_bytes(lat=[2.5], lng=[3], wind=["n"]),
+            "weather/year=2016/month=10/day=03/a.parquet": parquet_bytes(lat=pa.array([4], pa.int32())),
+        },
+    )
+    rows = sources.weather_zip(spark, str(tmp_path))
+    assert [t for _, t in rows.dtypes[:3]] == ["double", "double", "string"]
+    assert values(rows, "lat", "lng", "wind", "day") == [
+        (1.0, 1.5, None, 1),
+        (2.5, 3.0, "n", 2),
+        (4.0, None, None, 3),
+    ]
+
+
+def test_members_that_do_not_go_together_are_named(spark, tmp_path):
+    make_zip(
+        tmp_path / "one.zip",
+        {
+            "weather/year=2016/month=10/day=01/a.parquet": parquet_bytes(lat=[1.0]),
+            "weather/year=2016/month=10/day=02/odd.parquet": parquet_bytes(lat=["north"]),
+        },
+    )
+    with pytest.raises(ValueError, match=r"day=02/odd\.parquet"):
+        sources.weather_zip(spark, str(tmp_path))
+
+
+def test_uneven_members_make_even_tasks(spark, tmp_path):
+    small = {f"weather/year=2016/month=10/day={d:02d}/a.parquet": grouped(200, 1) for d in range(1, 25)}
+    large = {f"weather/year=2016/month=11/day={d:02d}/a.parquet": grouped(4000, 1) for d in range(1, 5)}
+    make_zip(tmp_path / "a.zip", small)
+    make_zip(tmp_path / "b.zip", large)
+    rows = sources.weather_zip(spark, str(tmp_path))
+    sizes = sorted(row["count"] for row in rows.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 4
+    assert sizes[-1] <= 2 * sum(sizes) / 4
+
+
+def test_second_delivery_replaces_files_of_the_same_name(spark, tmp_path):
+    first, second, target = tmp_path / "1", tmp_path / "2", str(tmp_path / "out")
+    day = "weather/year=2016/month=10/day=0"
+    make_zip(first / "a.zip", {f"{day}1/a.parquet": reading(1.0), f"{day}1/b.parquet": reading(2.0), f"{day}2/a.parquet": reading(3.0)})
+    make_zip(second / "a.zip", {f"x/{day}1/b.parquet": reading(4.0), f"{day}3/a.parquet": reading(5.0)})
+    assert jobs.unpack_weather(spark, str(first), target) == 3
+    untouched = tmp_path / "out/year=2016/month=10/day=02/a.parquet"
+    before = untouched.stat().st_mtime_ns
+    assert jobs.unpack_weather(spark, str(second), target) == 2
+    assert untouched.stat().st_mtime_ns == before
+    assert values(sources.weather_parquet(spark, target), "lat", "day") == [(1.0, 1), (3.0, 2), (4.0, 1), (5.0, 3)]
+    assert sorted(p.name for p in (tmp_path / "out/year=2016/month=10/day=01").iterdir()) == ["a.parquet", "b.parquet"]
 
 
 def test_zip_under_a_schema(spark, zips):
