@@ -20,8 +20,8 @@ BASE = 0x9E3779B97F4A7C15  # odd, hence invertible
 INVERSE = pow(BASE, -1, 1 << 64)
 
 #: Text handled in one go; a longer text counts as one go, and is still cut into blocks.
-SLICE_BYTES = 4 << 20
-BLOCK_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
+BLOCK_BYTES = (1 << 18) - (1 << 12)
 
 
 class Letters(NamedTuple):
@@ -109,7 +109,7 @@ def windows(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
 def window_hashes(values: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
     """Hashes of ``values[start:start + length]``, in blocks that bound the memory."""
     out = np.empty(len(start), U64)
-    step = 1 << 19
+    step = 1 << 17
     for at in range(0, len(start), step):
         part = start[at : at + step]
         low, high = int(part[0]), int(part[-1]) + length
@@ -174,7 +174,7 @@ def split_words(column: pa.Array, kind: Letters, places: bool = False) -> Words:
 def byte_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Hashes of the bytes ``begin`` to ``end``, both in order, some at a time."""
     out = np.empty(len(begin), U64)
-    step = 1 << 17
+    step = 1 << 15
     for at in range(0, len(begin), step):
         low, high = int(begin[at]), int(end[at : at + step][-1])
         out[at : at + step] = sequence_hashes(
