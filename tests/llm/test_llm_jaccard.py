@@ -1,0 +1,132 @@
+import random
+
+import numpy as np
+import pytest
+from plain import groups, linked
+from pyspark.sql import functions as F
+
+from cellweave.llm import jaccard
+from cellweave.llm.components import components
+
+
+def near_copies(seed=1, count=60):
+    """Texts of many sizes, copies of them with a few words changed, and a common passage."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    common = " ".join(rng.choice(words) for _ in range(30))
+    texts = []
+    for _ in range(count):
+        own = [rng.choice(words) for _ in range(rng.choice([1, 3, 4, 5, 6, 8, 12, 30, 80, 200]))]
+        texts.append(" ".join(own))
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            copy = list(own)
+            for _ in range(rng.choice([0, 1, 1, 2, 4])):
+                at = rng.randrange(len(copy))
+                copy[at : at + rng.choice([0, 1])] = [rng.choice(words)]
+            texts.append(rng.choice([" ", "\n", "  "]).join(copy) + rng.choice(["", " " + common]))
+    return texts
+
+
+ODD = [None, "", "  \n", "One two", "one TWO", "one two three", "É a b c d e", "é a b c d e", "x " * 5000, "x " * 70000]
+
+
+def check(spark, docs, **options):
+    df = spark.createDataFrame([(i, t, "other", -1) for i, t in docs], "doc_id long, text string, node string, n int")
+    rows = jaccard.groups(df.repartition(5), **options).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(groups(docs, options.get("percent", 80)), key=repr)
+
+
+def test_groups_are_those_of_all_pairs(spark):
+    texts = near_copies() + ODD
+    ids = random.Random(2).sample(range(10_000), len(texts))
+    docs = list(zip(ids, texts))
+    docs += docs[5:9] + [(None, docs[0][1]), (None, "no other has this"), (ids[3], docs[7][1])]
+    check(spark, docs, count_bits=15)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_tiles_of_several_blocks(spark, percent):
+    docs = list(enumerate(near_copies(3, 40)))
+    check(spark, docs, block_rows=2, percent=percent, count_bits=15)
+
+
+def test_a_large_group_of_near_copies(spark):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(300)}" for _ in range(120)]
+    docs = []
+    for i in range(300):
+        own = list(base)
+        own[rng.randrange(120)] = f"x{i}"
+        docs.append((i, " ".join(own)))
+    docs += [(1000 + i, docs[7][1]) for i in range(200)] + [(2000, "something else altogether, of a few words")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = jaccard.groups(df, count_bits=15).collect()
+    assert {row.component_id for row in rows if row.doc_id < 2000} == {0}
+    # Stars merge the group, so hardly any pair is left to be compared.
+    shared = [F.lit(i).alias(c) for i, c in enumerate(("a", "b"))]
+    assert df.select(*shared).count() == 501
+
+
+def test_nothing_to_compare(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert jaccard.groups(none, count_bits=15).count() == 0
+    assert jaccard.keep_one(none, jaccard.groups(none, count_bits=15)).count() == 0
+
+
+def test_one_document_of_each_group_stays(spark):
+    docs = list(enumerate(near_copies(5, 30) + ODD))
+    df = spark.createDataFrame([(i, t, "s") for i, t in docs], "doc_id long, text string, source string")
+    kept = jaccard.keep_one(df, jaccard.groups(df, count_bits=15))
+    assert kept.columns == df.columns
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(i for i, _, c in groups(docs) if i == c)
+
+
+def test_a_lower_similarity_is_refused(spark):
+    with pytest.raises(ValueError):
+        jaccard.groups(spark.createDataFrame([], "doc_id long, text string"), percent=70)
+
+
+def test_bitmaps_bound_the_overlap():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        n, m, common = rng.integers(1, 400), rng.integers(1, 400), rng.integers(0, 400)
+        values = rng.integers(0, 1 << 63, n + m + common, dtype=np.uint64)
+        a, b = values[: n + common], np.concatenate([values[:common], values[n + common :]])
+        marks = [jaccard.parity_bitmap(np.unique(x)) for x in (a, b)]
+        sizes = [np.array([len(np.unique(x))]) for x in (a, b)]
+        if linked(set(a.tolist()), set(b.tolist())):
+            assert jaccard.may_link(marks, np.array([0]), np.array([1]), *sizes, 80)[0]
+
+
+def test_bitmaps_keep_most_other_pairs_away():
+    rng = np.random.default_rng(2)
+    away = 0
+    for _ in range(100):
+        values = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+        a, b = values[:600], values[300:]
+        marks = [jaccard.parity_bitmap(x) for x in (a, b)]
+        away += not jaccard.may_link(marks, np.array([0]), np.array([1]), np.array([600]), np.array([600]), 80)[0]
+    assert away > 90
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    links = [(rng.randrange(150), rng.randrange(150)) for _ in range(100)]
+    links += [(i, i + 1) for i in range(200, 260)] + [(300, 300), (-5, 10)]
+    parent = {x: x for link in links for x in link}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in links:
+        a, b = sorted((root(u), root(v)))
+        parent[b] = a
+    got = {row.node: row.component for row in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    alone = {u for u, v in links if u == v} - {x for u, v in links if u != v for x in (u, v)}
+    assert got == {x: root(x) for x in parent if x not in alone}
+
+
+def test_no_links(spark):
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
