@@ -101,7 +101,7 @@ def test_op7(spark, documents):
 
 def test_op8(spark, duck):
     got = {row.doc_id: row for row in result(spark, "op8_toxicity")}
-    assert len(got) == duck.sql("select count(*) from documents").fetchone()[0]
+    assert len(got) == duck.sql("select count(*) from documents").fetchall()[0][0]
     labels = duck.sql("select doc_id, toxic from labels").fetchall()
     assert sum(got[doc].is_toxic == bool(toxic) for doc, toxic in labels) >= 0.95 * len(labels)
 
