@@ -34,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         upper = both.join(_lowest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        upper = upper.filter("u <> v").distinct()
+        upper = upper.filter("u <> v")
         lowest = _lowest(upper)
         lower = upper.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = stored(lower.unionByName(lowest.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())

@@ -7,9 +7,10 @@ Jaccard similarity is at least 80 / 100. The steps, none of which drops a link:
 2. Two sets that link share a shingle among the rarest fifth of each. How rare a shingle is
    says a table of counts of fixed size, so any two documents order shingles alike.
 3. Nodes that share such a shingle, and are of a size that allows a link, form a tile: of
-   one size band and the band above it. In every tile the first node of a band is compared
-   with the others. Those that link merge, so a large group of near copies is one component
-   from here on, at the cost of one comparison per member.
+   one size band and the band above it. In every tile the node that shares most with others,
+   over all tiles, is compared with the rest: among near copies, that is one with few changes
+   of its own. Those that link merge, so most of a large group of near copies is one
+   component from here on, at the cost of a comparison per member.
 4. In tiles that still hold several components, nodes of different ones are compared.
 
 A comparison begins with parity bitmaps of the sets (a bit is the parity of the number of
@@ -48,8 +49,9 @@ COUNT_CHUNK = 1 << 15
 NODE_BITS = 26
 #: Rows of a tile that are compared in one task; larger tiles are cut into pairs of blocks.
 BLOCK_ROWS = 1024
-#: Bits of the smallest and the largest bitmap of a set.
-LEAST_WIDTH, MOST_WIDTH = 64, 1 << 15
+#: Bits of a set's bitmap: at least so many for each shingle, within these bounds.
+BITS_EACH = 4
+LEAST_WIDTH, MOST_WIDTH = 256, 1 << 17
 
 
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -178,36 +180,31 @@ def band(n: Column) -> Column:
 
 
 def _shared(rarest: DataFrame, percent: int) -> DataFrame:
-    """(key, n, node, leader, leader_n) for rows whose key another node of a fitting size has.
+    """(key, band, n, node) for rows whose key another node of a fitting size has.
 
     Rows come sorted by key, size and node and are read as a stream, so a key that very many
-    nodes have is never held as a whole. The leader is the first row of a key and band.
+    nodes have is never held as a whole.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "band", "n", "node", "leader", "leader_n")
+        names = ("key", "band", "n", "node")
         held = {x: np.zeros(0, np.int64) for x in names}
         fits = np.zeros(0, bool)  # whether the held row fits the one before it
 
         def emitted(rows, keep):
             return pa.RecordBatch.from_pydict(
-                {x: pa.array(rows[x][keep].astype(np.int32 if x in ("n", "leader_n", "band") else np.int64)) for x in names}
+                {x: pa.array(rows[x][keep].astype(np.int32 if x in ("n", "band") else np.int64)) for x in names}
             )
 
         for batch in batches:
             if not len(batch):
                 continue
-            new = {x: batch.column(x).to_numpy().astype(np.int64) for x in names[:4]}
-            rows = {x: np.concatenate([held[x], new[x]]) for x in names[:4]}
+            new = {x: batch.column(x).to_numpy().astype(np.int64) for x in names}
+            rows = {x: np.concatenate([held[x], new[x]]) for x in names}
             # The same node may come from several tasks.
             fresh = np.append(True, (np.diff(rows["key"]) != 0) | (np.diff(rows["node"]) != 0))
             rows = {x: v[fresh] for x, v in rows.items()}
             size = len(rows["key"])
-            starts = np.append(True, (np.diff(rows["key"]) != 0) | (np.diff(rows["band"]) != 0))
-            at = np.maximum.accumulate(np.where(starts, np.arange(size), 0))
-            rows["leader"], rows["leader_n"] = rows["node"][at], rows["n"][at]
-            if len(held["key"]):  # what continues the held row's band has its leader
-                rows["leader"][at == 0], rows["leader_n"][at == 0] = held["leader"][0], held["leader_n"][0]
             fit = (np.diff(rows["key"]) == 0) & (100 * rows["n"][:-1] >= percent * rows["n"][1:])
             before = np.append(fits if len(fits) else [False], fit)[:size]
             after = np.append(fit, False)
@@ -219,11 +216,18 @@ def _shared(rarest: DataFrame, percent: int) -> DataFrame:
 
     dealt = rarest.withColumn("band", band(F.col("n"))).repartition(shuffle_partitions(rarest.sparkSession), "key")
     ordered = dealt.sortWithinPartitions("key", "n", "node").select("key", "band", "n", "node")
-    return ordered.mapInArrow(run, "key long, band int, n int, node long, leader long, leader_n int")
+    return ordered.mapInArrow(run, "key long, band int, n int, node long")
+
+
+def _placed(shared: DataFrame) -> DataFrame:
+    """(key, tile, n, node, visits): a row is in the tile of its band, and a visitor in that of
+    the band below."""
+    both = F.explode(F.array(*(F.struct((F.col("band") - i).alias("tile"), F.lit(bool(i)).alias("visits")) for i in (0, 1))))
+    return shared.select("key", "n", "node", both.alias("t")).select("key", "t.tile", "n", "node", "t.visits")
 
 
 def width_of(n: int) -> int:
-    return min(MOST_WIDTH, max(LEAST_WIDTH, 1 << max(n - 1, 0).bit_length()))
+    return min(MOST_WIDTH, max(LEAST_WIDTH, 1 << (BITS_EACH * n - 1).bit_length()))
 
 
 def parity_bitmap(shingles: np.ndarray) -> bytes:
@@ -264,23 +268,38 @@ def _folded(bits: np.ndarray, width: int) -> np.ndarray:
     return bits
 
 
-def may_link(
-    marks: list[bytes], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int
-) -> np.ndarray:
+class Marks:
+    """Bitmaps of several sets; ``cut(width, most)`` gives those of ``width`` to ``most`` bits
+    at ``width`` bits, and where each set's is."""
+
+    def __init__(self, values: list[bytes]):
+        self.values = values
+        self.widths = np.array([len(x) for x in values], np.int64) * 8
+        self.made: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def cut(self, width: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        if (width, most) not in self.made:
+            at = np.flatnonzero((self.widths >= width) & (self.widths <= most))
+            where = np.full(len(self.values), -1)
+            where[at] = np.arange(len(at))
+            bits = np.stack([_folded(np.frombuffer(self.values[i], np.uint8), width) for i in at]).view(U64)
+            self.made[width, most] = bits, where
+        return self.made[width, most]
+
+
+def may_link(marks: Marks, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     """Whether sizes and bitmaps allow that sets ``a`` and ``b`` (indices into ``marks``) link.
     Of two bitmaps, the longer is cut down to the shorter."""
     out = np.zeros(len(a), bool)
-    widths = np.array([len(x) for x in marks], np.int64) * 8
-    shorter = np.minimum(widths[a], widths[b])
+    shorter = np.minimum(marks.widths[a], marks.widths[b])
+    longer = np.maximum(marks.widths[a], marks.widths[b])
     for width in np.unique(shorter).tolist():
         at = np.flatnonzero(shorter == width)
-        used, where = np.unique(np.concatenate([a[at], b[at]]), return_inverse=True)
-        bits = np.stack([_folded(np.frombuffer(marks[i], np.uint8), width) for i in used]).view(U64)
-        x, y = where[: len(at)], where[len(at) :]
-        step = max(1, (1 << 25) // width)
+        bits, where = marks.cut(width, int(longer[at].max()))
+        step = max(1, (1 << 24) // width)
         for i in range(0, len(at), step):
-            some = slice(i, i + step)
-            out[at[some]] = _bounded(bits[x[some]], bits[y[some]], n_a[at[some]], n_b[at[some]], percent)
+            some = at[i : i + step]
+            out[some] = _bounded(bits[where[a[some]]], bits[where[b[some]]], n_a[some], n_b[some], percent)
     return out
 
 
@@ -311,16 +330,21 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _stars(shared: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """(u, v): each node with the leaders it may link with."""
-    pairs = shared.filter((F.col("node") != F.col("leader")) & (100 * F.col("leader_n") >= percent * F.col("n")))
+def _stars(placed: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each node with the leaders of its tiles that it may link with."""
+    weight = placed.groupBy("node").agg(F.count(F.lit(1)).alias("shares"))
+    most = F.max(F.struct("shares", "node", "n")).alias("most")
+    leaders = placed.join(weight, "node").groupBy("key", "tile").agg(most)
+    leaders = leaders.select("key", "tile", F.col("most.node").alias("leader"), F.col("most.n").alias("leader_n"))
+    small, large = F.least("n", "leader_n"), F.greatest("n", "leader_n")
+    pairs = placed.join(leaders, ["key", "tile"]).filter((F.col("node") != F.col("leader")) & (100 * small >= percent * large))
     pairs = pairs.select(F.col("node").alias("u"), F.col("leader").alias("v"), "n", "leader_n").distinct()
     left = marks.select(F.col("node").alias("u"), F.col("value").alias("a"))
     right = marks.select(F.col("node").alias("v"), F.col("value").alias("b"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [x for name in ("a", "b") for x in batch.column(name).to_pylist()]
+            marks = Marks([x for name in ("a", "b") for x in batch.column(name).to_pylist()])
             n, m = (batch.column(x).to_numpy() for x in ("n", "leader_n"))
             at = np.arange(len(batch))
             keep = may_link(marks, at, at + len(batch), n, m, percent)
@@ -329,16 +353,9 @@ def _stars(shared: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").select("u", "v", "n", "leader_n", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _across(shared: DataFrame, marks: DataFrame, merged: DataFrame, percent: int, block_rows: int) -> DataFrame:
+def _across(placed: DataFrame, marks: DataFrame, merged: DataFrame, percent: int, block_rows: int) -> DataFrame:
     """(u, v): nodes of different components that share a key and may link."""
-    rows = (
-        shared.select("key", "band", "n", "node")
-        .join(merged, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    # A row is in the tile of its band, and a visitor in that of the band below.
-    both = F.explode(F.array(*(F.struct((F.col("band") - i).alias("tile"), F.lit(bool(i)).alias("visits")) for i in (0, 1))))
-    placed = stored(rows.select("key", "n", "node", "component", both.alias("t")).select("*", "t.*").drop("t"))
+    placed = stored(placed.join(merged, "node", "left").withColumn("component", F.coalesce("component", "node")))
     mixed = (
         placed.groupBy("key", "tile")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("visits").alias("v"))
@@ -353,12 +370,12 @@ def _across(shared: DataFrame, marks: DataFrame, merged: DataFrame, percent: int
         .select("key", "tile", "n", "node", "component", "visits", "block", others)
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
         .join(marks.withColumnRenamed("value", "mark"), "node")
-        .repartition(shuffle_partitions(shared.sparkSession), "key", "tile", "i", "j")
+        .repartition(shuffle_partitions(placed.sparkSession), "key", "tile", "i", "j")
         .sortWithinPartitions("key", "tile", "i", "j", "n", "node")
     )
     names = ["key", "tile", "i", "j", "n", "node", "component", "visits", "block", "mark"]
 
-    def pairs(rows: dict[str, np.ndarray], marks: list[bytes]) -> pa.RecordBatch:
+    def pairs(rows: dict[str, np.ndarray], marks: Marks) -> pa.RecordBatch:
         size = len(rows["key"])
         new = np.append(True, np.any([np.diff(rows[x]) != 0 for x in ("key", "tile", "i", "j")], axis=0))[:size]
         run_id = np.cumsum(new)
@@ -405,8 +422,8 @@ def _across(shared: DataFrame, marks: DataFrame, merged: DataFrame, percent: int
     return tiles.select(*names).mapInArrow(run, "u long, v long").distinct()
 
 
-def _columns(table: pa.Table, names: list[str]) -> tuple[dict[str, np.ndarray], list[bytes]]:
-    return {x: table.column(x).to_numpy() for x in names[:-1]}, table.column(names[-1]).to_pylist()
+def _columns(table: pa.Table, names: list[str]) -> tuple[dict[str, np.ndarray], Marks]:
+    return {x: table.column(x).to_numpy() for x in names[:-1]}, Marks(table.column(names[-1]).to_pylist())
 
 
 def groups(
@@ -432,11 +449,12 @@ def groups(
     slim = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     found = stored(_sets_and_counts(slim, shingle, count_bits))
     base = found.filter("n is not null").select("id", "n", "node")
-    shared = stored(_shared(_rarest(slim, _rarity(found, count_bits), shingle, percent), percent))
-    marks = stored(_of_nodes(slim, shared.select("node").distinct(), shingle, parity_bitmap, "binary"))
-    stars = stored(_verified(_stars(shared, marks, percent), slim, shingle, percent))
+    shared = _shared(_rarest(slim, _rarity(found, count_bits), shingle, percent), percent)
+    placed = stored(_placed(shared))
+    marks = stored(_of_nodes(slim, placed.select("node").distinct(), shingle, parity_bitmap, "binary"))
+    stars = stored(_verified(_stars(placed, marks, percent), slim, shingle, percent))
     merged = components(stars)
-    more = _verified(_across(shared, marks, merged, percent, block_rows), slim, shingle, percent)
+    more = _verified(_across(placed, marks, merged, percent, block_rows), slim, shingle, percent)
     joined = stored(components(stars.unionByName(more)))
     # A component is named by the smallest id of any row in it.
     nodes = base.filter("node is not null").groupBy("node").agg(F.min("id").alias("lowest"))

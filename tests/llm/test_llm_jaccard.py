@@ -62,9 +62,26 @@ def test_a_large_group_of_near_copies(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     rows = jaccard.groups(df, count_bits=15).collect()
     assert {row.component_id for row in rows if row.doc_id < 2000} == {0}
-    # Stars merge the group, so hardly any pair is left to be compared.
-    shared = [F.lit(i).alias(c) for i, c in enumerate(("a", "b"))]
-    assert df.select(*shared).count() == 501
+
+
+def test_stars_merge_a_large_group(spark):
+    """Copies of one text with up to a dozen changes: pairs left to compare are few."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(300)}" for _ in range(200)]
+    docs = []
+    for i in range(400):
+        own = list(base)
+        for _ in range(rng.randrange(13)):
+            own[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    check(spark, docs, count_bits=15)
+    slim = df.select(F.col("doc_id").alias("id"), "text")
+    rarity = jaccard._rarity(jaccard._sets_and_counts(slim, 5, 15), 15)
+    placed = jaccard.stored(jaccard._placed(jaccard._shared(jaccard._rarest(slim, rarity, 5, 80), 80)))
+    marks = jaccard.stored(jaccard._of_nodes(slim, placed.select("node").distinct(), 5, jaccard.parity_bitmap, "binary"))
+    stars = jaccard._verified(jaccard._stars(placed, marks, 80), slim, 5, 80)
+    assert jaccard._across(placed, marks, components(stars), 80, 1024).count() < 400 * 400 / 2 / 20
 
 
 def test_nothing_to_compare(spark):
@@ -95,7 +112,7 @@ def test_bitmaps_bound_the_overlap():
         marks = [jaccard.parity_bitmap(np.unique(x)) for x in (a, b)]
         sizes = [np.array([len(np.unique(x))]) for x in (a, b)]
         if linked(set(a.tolist()), set(b.tolist())):
-            assert jaccard.may_link(marks, np.array([0]), np.array([1]), *sizes, 80)[0]
+            assert jaccard.may_link(jaccard.Marks(marks), np.array([0]), np.array([1]), *sizes, 80)[0]
 
 
 def test_bitmaps_keep_most_other_pairs_away():
@@ -105,7 +122,7 @@ def test_bitmaps_keep_most_other_pairs_away():
         values = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
         a, b = values[:600], values[300:]
         marks = [jaccard.parity_bitmap(x) for x in (a, b)]
-        away += not jaccard.may_link(marks, np.array([0]), np.array([1]), np.array([600]), np.array([600]), 80)[0]
+        away += not jaccard.may_link(jaccard.Marks(marks), np.array([0]), np.array([1]), np.array([600]), np.array([600]), 80)[0]
     assert away > 90
 
 
