@@ -219,11 +219,21 @@ def _shared(rarest: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "key long, band int, n int, node long")
 
 
+def _of_distinct_sets(shared: DataFrame) -> DataFrame:
+    """Rows of one key only where several keys have the same nodes, as those of two near copies
+    mostly do: they allow the same pairs. ``copies`` is the number of such keys."""
+    folded = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"h{i}") for i in (1, 2)]
+    keys = shared.groupBy("key").agg(*folded, F.count(F.lit(1)).alias("rows"))
+    kept = keys.groupBy("h1", "h2", "rows").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"))
+    return shared.join(kept.select("key", "copies"), "key")
+
+
 def _placed(shared: DataFrame) -> DataFrame:
-    """(key, tile, n, node, visits): a row is in the tile of its band, and a visitor in that of
-    the band below."""
+    """(key, tile, n, node, visits, copies): a row is in the tile of its band, and a visitor in
+    that of the band below."""
     both = F.explode(F.array(*(F.struct((F.col("band") - i).alias("tile"), F.lit(bool(i)).alias("visits")) for i in (0, 1))))
-    return shared.select("key", "n", "node", both.alias("t")).select("key", "t.tile", "n", "node", "t.visits")
+    rows = _of_distinct_sets(stored(shared)).select("key", "n", "node", "copies", both.alias("t"))
+    return rows.select("key", "t.tile", "n", "node", "t.visits", "copies")
 
 
 def width_of(n: int) -> int:
@@ -332,7 +342,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
 def _stars(placed: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """(u, v): each node with the leaders of its tiles that it may link with."""
-    weight = placed.groupBy("node").agg(F.count(F.lit(1)).alias("shares"))
+    weight = placed.groupBy("node").agg(F.sum("copies").alias("shares"))
     most = F.max(F.struct("shares", "node", "n")).alias("most")
     leaders = placed.join(weight, "node").groupBy("key", "tile").agg(most)
     leaders = leaders.select("key", "tile", F.col("most.node").alias("leader"), F.col("most.n").alias("leader_n"))
