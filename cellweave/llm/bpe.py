@@ -17,6 +17,10 @@ from cellweave.llm.batches import with_arrays
 
 #: Texts of more characters are split before they are encoded.
 LONG_TEXT = 1 << 16
+#: Runs of so much white space are not left to the library, whose matching fails at some 1,000,000.
+LONG_SPACE = 100_000
+#: How a pattern must end for that: nothing else in it takes white space but one blank before something else.
+SPACE_RULE = r" ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 IDS = T.ArrayType(T.IntegerType(), False)
 
@@ -48,10 +52,27 @@ def safe_parts(text: str, limit: int = LONG_TEXT) -> Iterator[str]:
     yield text[at:]
 
 
+def encode_part(enc: tiktoken.Encoding, part: str, limit: int = LONG_SPACE) -> Iterator[int]:
+    """Ids of a part, with runs of ``limit`` and more white space cut out and encoded as they
+    match: up to the last character, which goes with what follows, or whole at the end.
+
+    Patterns that do not end with SPACE_RULE may match such a run otherwise and are left to
+    the library.
+    """
+    at = 0
+    if len(part) >= limit and enc._pat_str.endswith(SPACE_RULE):
+        for run in regex.finditer(rf"(?<!\s)\s{{{limit},}}+", part):
+            end = run.end() if run.end() == len(part) else run.end() - 1
+            yield from enc.encode_ordinary(part[at : run.start()])
+            yield from enc._encode_single_piece(part[run.start() : end])
+            at = end
+    yield from enc.encode_ordinary(part[at:])
+
+
 def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
     if len(text) <= LONG_TEXT:
         return enc.encode_ordinary(text)
-    return [i for part in safe_parts(text) for i in enc.encode_ordinary(part)]
+    return [i for part in safe_parts(text) for i in encode_part(enc, part)]
 
 
 def _id_arrays(column: pa.Array, ranks_path: str, pattern: str) -> pa.Array:

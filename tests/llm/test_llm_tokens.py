@@ -72,6 +72,24 @@ def test_parts_encode_as_the_whole(text, limit):
     assert [i for part in parts for i in enc.encode_ordinary(part)] == enc.encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("a1!' \n\t　\x1c"), max_size=40), st.integers(2, 5))
+def test_runs_of_white_space_encode_as_in_the_library(text, limit):
+    enc = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    assert list(bpe.encode_part(enc, text, limit)) == enc.encode_ordinary(text)
+
+
+def test_very_long_white_space(spark):
+    enc = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    for space in (" " * 200_000, "\n \t" * 50_000):
+        for text in (f"x{space}y", f"{space}!", f"x{space}", f"a b{space}c{space}"):
+            assert bpe.encode_text(enc, text) == enc.encode_ordinary(text)
+    # Beyond what the library itself takes.
+    texts = [f"x{' ' * 1_200_000}y z", "\n " * 600_000]
+    coded = bpe.round_trip(spark.createDataFrame([(t,) for t in texts], "text string"), RANKS, public_tokenizers.PATTERN)
+    assert all(bytes(row.decoded) == row.text.encode() for row in coded.collect())
+
+
 def test_counts_are_those_of_the_library(odd):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rows = tokencount.count_tokens(odd, PIECES).collect()
