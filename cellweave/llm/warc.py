@@ -19,6 +19,8 @@ from cellweave.llm.batches import stored
 LEAST_BYTES = 1000
 #: Payload bytes an archive file is aimed at; reading takes one file into memory at a time.
 FILE_BYTES = 4 << 20
+#: Bytes that a record takes besides its payload, about.
+HEAD_BYTES = 512
 
 # Fixed values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
@@ -123,8 +125,9 @@ def write(
 
     Headers are stored and resolved on their own. Payloads move once, dealt evenly by record
     id over files of about ``file_bytes``, and meet the resolved headers in that shuffle. A
-    page that is itself larger has a file that is larger. Columns beyond these three are not
-    written. No pages, no archives. Control characters in a url become %20, a null url is
+    page that is itself larger has a file that is larger; rows that repeat a page_id and
+    payload and together exceed a file are dealt over as many as they fill. Columns beyond
+    these three are not written. No pages, no archives. Control characters in a url become %20, a null url is
     left out of the record.
     """
     record_id = _record_id(F.col("page_id"), F.col("payload_digest"))
@@ -133,7 +136,20 @@ def write(
     total = head.agg(F.sum("payload_bytes")).first()[0] or 0
     files = max(1, -(-total // file_bytes))
     roles = resolve(head, least).filter("refers_to is not null").select("record_id", "refers_to").distinct()
-    dealt = pages.repartition(files, "record_id").join(roles.hint("merge"), "record_id", "left")
+    # Each of these fills a file and more, so they are fewer than the files, however many rows there are.
+    heavy = (
+        head.groupBy("record_id")
+        .agg(F.count(F.lit(1)).alias("__rows"), F.sum(F.col("payload_bytes") + HEAD_BYTES).alias("__bytes"))
+        .filter((F.col("__rows") > 1) & (F.col("__bytes") > file_bytes))
+        .select("record_id", F.least("__rows", F.ceil(F.col("__bytes") / file_bytes)).cast("int").alias("__spread"))
+    )
+    heavy = F.broadcast(stored(heavy))
+    spread = F.coalesce("__spread", F.lit(1))
+    # Any row of a record may take any of its salts, as its role is there for each.
+    salted = pages.join(heavy, "record_id", "left").withColumn("__salt", F.floor(F.rand(0) * spread).cast("int"))
+    roles = roles.join(heavy, "record_id", "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+    dealt = salted.drop("__spread").repartition(files, "record_id", "__salt")
+    dealt = dealt.join(roles.drop("__spread").hint("merge"), ["record_id", "__salt"], "left")
     made = records(dealt, datetime.now(timezone.utc), payload)
     made.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").text(path)
 

@@ -48,6 +48,17 @@ def test_records_come_back(spark, tmp_path, pages, file_bytes):
     assert values(got) == sorted(want, key=repr)
 
 
+def test_repeated_rows_are_dealt_over_many_files(spark, tmp_path):
+    rows = [(1, "http://a/1", LONG)] * 300 + [(2, "http://a/2", LONG)] + [(None, None, "z" * 1500)] * 300
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = f"{tmp_path}/warc"
+    warc.write(pages, path, file_bytes=30_000)
+    sizes = spark.read.text(path, lineSep=warc.END_OF_RECORD + "WARC/1.1").groupBy("_metadata.file_path").count().collect()
+    assert max(row["count"] for row in sizes) < 150
+    got = warc.join_revisits(warc.read(spark, path)).groupBy("page_id", "record_type", "refers_to").count()
+    assert values(got) == sorted([(1, "revisit", 2, 300), (2, "response", None, 1), (None, "response", None, 300)], key=repr)
+
+
 def test_headers_can_not_be_smuggled_in(spark, tmp_path, pages):
     warc.write(pages.filter("page_id = 3"), f"{tmp_path}/warc")
     row = warc.read(spark, f"{tmp_path}/warc").first()
