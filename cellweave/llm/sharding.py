@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.batches import stored
+from cellweave.llm.batches import shuffle_partitions, stored
 
 #: Rows are numbered in the order of so many hash buckets, and by key within each. The
 #: table of where the buckets begin has one row for each, which bounds what is broadcast.
 BUCKETS = 4096
+#: Rows alike in all keys are split into so many parts for each shuffle partition.
+SALTS = 4
 ROUNDS = 6
 #: Repeated applications tried at first to come back below the number of rows.
 WALK = 8
@@ -21,11 +23,14 @@ def number_rows(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataF
     """``df`` with ``row_number`` (0, 1, ... without gaps) and ``total_rows``.
 
     The number depends on the values of ``keys`` and the other rows alone, not on files or
-    tasks; rows alike in all ``keys`` take neighbouring numbers in any order. Nulls count as
-    values. Existing columns of these names are replaced.
+    tasks; rows alike in all ``keys`` take neighbouring numbers in any order, and are numbered
+    in as many parts as there are salts, however many they are. Nulls count as values.
+    Existing columns of these names are replaced.
     """
-    hashed = F.xxhash64(*keys)
-    df = df.drop(NUMBER, TOTAL).withColumn("__bucket", F.pmod(hashed, F.lit(buckets)).cast("int"))
+    salt = F.floor(F.rand(0) * (SALTS * shuffle_partitions(df.sparkSession))).cast("int")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    # Written down, as a row needs the same salt where it is counted and where it is numbered.
+    df = stored(df.drop(NUMBER, TOTAL).withColumns({"__bucket": bucket, "__salt": salt}))
     sizes = df.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__rows"))
     # One row per bucket, so one task is enough for the running sum.
     upto = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -34,12 +39,28 @@ def number_rows(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataF
         F.coalesce(F.sum("__rows").over(upto), F.lit(0)).alias("__start"),
         F.sum("__rows").over(Window.partitionBy(F.lit(0))).alias(TOTAL),
     )
-    within = Window.partitionBy("__bucket").orderBy(*keys)
+    # Rows before those of each (keys, salt) in its bucket.
+    alike = {f"__key{i}": key for i, key in enumerate(keys)}
+    parts = df.groupBy("__bucket", *(F.col(key).alias(name) for name, key in alike.items()), "__salt").agg(
+        F.count(F.lit(1)).alias("__rows")
+    )
+    within = Window.partitionBy("__bucket").orderBy(*alike, "__salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(
+        F.col("__bucket").alias("__of"),
+        *alike,
+        F.col("__salt").alias("__part"),
+        F.coalesce(F.sum("__rows").over(within), F.lit(0)).alias("__before"),
+    )
+    same = (F.col("__bucket") == F.col("__of")) & (F.col("__salt") == F.col("__part"))
+    for name, key in alike.items():
+        same &= F.col(key).eqNullSafe(F.col(name))
+    place = F.row_number().over(Window.partitionBy("__bucket", *keys, "__salt").orderBy("__salt"))
     return (
-        df.withColumn("__place", F.row_number().over(within))
+        df.withColumn("__place", place)
+        .join(before, same)
         .join(F.broadcast(starts), "__bucket")
-        .withColumn(NUMBER, F.col("__start") + F.col("__place") - 1)
-        .drop("__bucket", "__place", "__start")
+        .withColumn(NUMBER, F.col("__start") + F.col("__before") + F.col("__place") - 1)
+        .drop("__bucket", "__salt", "__of", "__part", "__place", "__before", "__start", *alike)
     )
 
 

@@ -80,6 +80,19 @@ def test_no_rows(docs):
     assert sharding.shard_rows(docs.limit(0), ["doc_id"], 3).count() == 0
 
 
+def test_rows_that_are_alike_are_numbered_in_many_tasks(spark, settings):
+    settings(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 5 == 0, F.col("id")).alias("doc_id"), F.lit("one text").alias("text")
+    )
+    numbered = sharding.number_rows(rows, ["doc_id", "text"]).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(row.row_number for row in numbered) == list(range(5000))
+    alike = [row for row in numbered if row.doc_id is None]
+    assert max(Counter(row.task for row in alike).values()) < 0.7 * len(alike)
+    numbers = [row.row_number for row in alike]
+    assert max(numbers) - min(numbers) == len(alike) - 1
+
+
 def test_no_python_in_the_plan(docs):
     plan = sharding.shard_rows(docs, ["doc_id", "text"], 3)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
