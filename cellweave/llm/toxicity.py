@@ -138,7 +138,8 @@ def sample(
     docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_id: str, text: str, rows_per_class: int, folds: int
 ) -> DataFrame:
     """Labelled documents with distinct features, fold and weight, at most ``rows_per_class``
-    for each combination of labels. Weights undo that choice. Equal texts share a fold."""
+    for each combination of labels. Weights undo that choice. Equal texts share a fold. Of rows
+    with one ``doc_id`` a single text is taken, the one with the smallest hash."""
     labels = labels.groupBy(doc_id).agg(*(F.max(c).cast("int").alias(c) for c in categories)).dropna()
     labels = stored(labels.withColumn("__class", F.concat_ws(",", *categories)))
     chosen = None
@@ -155,6 +156,8 @@ def sample(
         return {"features": pa.array([found[a:b].tobytes() for a, b in zip(borders, borders[1:])], pa.binary())}
 
     joined = docs.select(doc_id, text).join(F.broadcast(chosen.drop("__class")), doc_id)
+    alike = [doc_id, *categories, "weight"]
+    joined = joined.groupBy(*alike).agg(F.min_by(text, F.xxhash64(text)).alias(text))
     placed = joined.withColumn("fold", F.pmod(F.xxhash64(text), F.lit(folds)).cast("int"))
     placed = placed.withColumn("row", F.monotonically_increasing_id())
     return with_arrays(placed, text, {"features": T.BinaryType()}, compute, (text, doc_id))

@@ -87,6 +87,15 @@ def test_without_labels_nothing_is_toxic(spark):
     assert toxicity.train_and_score(docs.limit(0), alike).count() == 0
 
 
+def test_repeated_documents_are_learnt_from_once(spark):
+    rows = [(1, "b text")] * 50 + [(1, "a text")] * 50 + [(2, "other")] * 3 + [(3, None)] * 2 + [(None, "no id")] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    taken = toxicity.sample(docs, labels, toxicity.CATEGORIES, "doc_id", "text", 3000, 3)
+    assert sorted((r.quality, r.toxic, len(r.features) // 4) for r in taken.collect()) == [(0, 0, 1), (0, 1, 0), (1, 0, 2)]
+    assert toxicity.train_and_score(docs, labels).count() == len(rows)
+
+
 def nearest(rows, k, every):
     """By hand: [(query, rank, id, score)]."""
     kept = {}
