@@ -482,7 +482,8 @@ def keep_one(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataF
     """``docs`` without the documents that ``groups`` put with a smaller id.
 
     Texts of documents that stay are not moved: a bitmap of the others tells most of them,
-    and only what it cannot tell is joined.
+    and only what it cannot tell is joined. Rows that repeat the smallest id of a group all
+    stay. So do rows without an id, copies of others included, as ``found`` can not name them.
     """
     goes = stored(found.filter(F.col(doc_id) > F.col("component_id")).select(doc_id).distinct())
     hashed = F.xxhash64(F.col(doc_id).cast("long"))

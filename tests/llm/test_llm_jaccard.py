@@ -98,6 +98,14 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(row.doc_id for row in kept.collect()) == sorted(i for i, _, c in groups(docs) if i == c)
 
 
+def test_rows_that_keep_one_can_not_tell_apart_stay(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, text), (3, text), (5, text), (5, text), (None, text), (None, text), (None, "alone"), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.keep_one(df, jaccard.groups(df, count_bits=15))
+    assert sorted((row.doc_id for row in kept.collect()), key=repr) == [3, 3, 7, None, None, None]
+
+
 def test_a_lower_similarity_is_refused(spark):
     with pytest.raises(ValueError):
         jaccard.groups(spark.createDataFrame([], "doc_id long, text string"), percent=70)
