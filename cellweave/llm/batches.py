@@ -50,5 +50,23 @@ def stored(df: DataFrame, bucket: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def same_name(a: str, b: str) -> bool:
+    """Whether Spark takes two column names for one."""
+    return a.lower() == b.lower()
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """Names like those wanted that differ from all that are taken, in whatever case."""
+    used = {name.lower() for name in taken}
+    out = []
+    for name in names:
+        name = f"__{name}"
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

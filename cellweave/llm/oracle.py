@@ -121,10 +121,37 @@ select doc_id, coalesce(len(every), 0) as n_lines,
 from cut
 """
 
+OP12 = f"""
+with words as (
+    select doc_id, regexp_extract_all({LOWER}, {ALPHANUMERIC}) as w from documents
+), sizes as (
+    select count(*) filter (len(w) > 0) as n_docs, sum(len(w))::bigint as n_terms from words
+), item_terms as (
+    select item_id, term, count(*) as repeats
+    from (select item_id, unnest(regexp_extract_all({LOWER}, {ALPHANUMERIC})) as term from benchmark) group by 1, 2
+), counts as (
+    select doc_id, n, term, count(*) as tf
+    from (select doc_id, len(w) as n, unnest(w) as term from words)
+    where term in (select term from item_terms) group by 1, 2, 3
+), weights as (
+    select term, floor(1000 * ln((2.0::double * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint as weight
+    from counts cross join sizes group by 1
+), parts as (
+    select doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) as part
+    from counts join weights using (term) cross join sizes
+), scores as (
+    select item_id, doc_id, sum(repeats * part)::bigint as score from item_terms join parts using (term) group by 1, 2
+), ranked as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op2_warc": OP2,
     "op3_jaccard_join": OP3,
     "op4_substring_dedup": OP4,
     "op9_line_dedup": OP9,
     "op5_decontamination": OP5,
+    "op12_lexical_search": OP12,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, decontaminate, jaccard, linededup, multiindex, sharding, substring, tokencount, toxicity, warc
+from cellweave.llm import (
+    bpe,
+    chunkbpe,
+    decontaminate,
+    jaccard,
+    lexical,
+    linededup,
+    multiindex,
+    sharding,
+    spelling,
+    substring,
+    tokencount,
+    toxicity,
+    warc,
+)
 from cellweave.llm.oracle import ORACLE  # noqa: F401
 from cellweave.session import shared_folder
 
@@ -118,6 +132,26 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = chunkbpe.decode(chunkbpe.encode(docs, path, drop=("text",), packed=True), path)
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
@@ -129,4 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_chunk_bpe": op13_chunk_bpe,
 }

@@ -11,6 +11,8 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 from plain import groups, hits, sha256, without_shared_lines
+from test_llm_words import plain_variants, variant_rows
+from tokenizers import Tokenizer
 
 import __spark_entry__ as registered
 import corpus_pipeline
@@ -43,7 +45,7 @@ def result(spark, name):
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries())
     assert set(ORACLE) <= set(registered.oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -72,6 +74,21 @@ def test_op10(spark, documents):
     assert [tuple(row) for row in result(spark, "op10_token_counts")] == want
 
 
+def test_op13(spark, documents):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for doc, text, *_ in documents:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want.append((doc, len(ids), sha256(np.array(ids, "<u4").tobytes()), sha256(decoded)))
+    assert [tuple(row) for row in result(spark, "op13_chunk_bpe")] == want
+
+
+def test_op11(spark, documents):
+    got = variant_rows(QUERIES["op11_spelling_variants"](spark, FOLDER))
+    assert got == plain_variants([d[:2] for d in documents])
+
+
 def test_op6(spark, duck):
     vectors = duck.sql("select vec_id, embedding from embeddings order by vec_id").fetchnumpy()
     ids, x = vectors["vec_id"], np.stack(vectors["embedding"]).astype(float)
