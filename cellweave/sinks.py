@@ -30,15 +30,20 @@ def write_parquet(df: DataFrame, path: str, codec: str = "gzip") -> int:
     return counted.get["rows"]
 
 
+def to_be_removed(path: str) -> str:
+    """A folder that goes at the end of ``scratch``, if inside one."""
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """The same rows as a table in the shared folder.
 
     What was computed once is then neither repeated for a second use nor lost with an
     executor. Within ``scratch`` the table goes at its end.
     """
-    path = shared_folder(df.sparkSession)
-    if _scratch:
-        _scratch[-1].append(path)
+    path = to_be_removed(shared_folder(df.sparkSession))
     write_parquet(df, path, codec="snappy")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

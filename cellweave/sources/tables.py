@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cellweave.schemas import DATE_PARTS, GEOHASH, RESTAURANT
+from cellweave.sources import layouts
 
 
 def restaurants_csv(
@@ -48,10 +49,11 @@ def weather_parquet(
 ) -> DataFrame:
     """Weather below ``year=/month=/day=`` folders, which become columns.
 
-    The optional days (inclusive) are compared on the folder columns alone, so other
-    folders are never opened.
+    Files may differ in columns and types, as deliveries do, see ``layouts``. The optional
+    days (inclusive) are compared on the folder columns alone, so nothing but the footers of
+    other folders is ever opened.
     """
-    readings = spark.read.parquet(path)
+    readings = layouts.read(spark, path)
     year, month, day = (F.col(part) for part in DATE_PARTS)
     number = year * 10000 + month * 100 + day
     if first_day is not None:

@@ -1,10 +1,10 @@
 """Weather archives: zip files with Parquet members below ``year=/month=/day=``.
 
 The work is spread by *member*, not by archive, in runs of about as many bytes each. Tasks
-first read the tables of contents, then the footer of each member; both are written to the
-shared folder. With the footers known, a member is unpacked once, from front to back, and
-held one row group at a time. So each member is unpacked twice in all, whatever its size,
-and neither an archive nor a member is ever held in memory.
+first read the tables of contents; then each member is unpacked once, in a stream, to the
+Parquet file it is, and its footer is looked at in that file. What reads the archives reads
+these files: Spark splits them, skips the days and row groups that a filter excludes, and
+takes the columns a query wants. Neither an archive nor a member is ever held in memory.
 
 Archives are opened with Arrow's file systems, so they may lie on a folder mounted on
 every machine or in any store Arrow reaches (``s3``, ``gs``, ``abfss``, ``hdfs``).
@@ -14,21 +14,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cellweave.schemas import DATE_PARTS, WEATHER
-from cellweave.session import qualified
-from cellweave.sinks import written
+from cellweave.session import qualified, shared_folder
+from cellweave.sinks import to_be_removed, written
+from cellweave.sources import layouts
 
 TASK_BYTES = 128 * 1024 * 1024
-#: Bytes kept of the end of a member while it is unpacked for its footer.
-TAIL_BYTES = 4 * 1024 * 1024
 _LISTING = "archive string, position int, name string, bytes long"
-_FOOTERS = "archive string, position int, name string, tail binary, layout binary"
+_COPIES = f"{layouts.LAYOUT}, rows long"
+#: The folder text that stands for no key.
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -87,122 +88,8 @@ def _opener() -> Callable:
     return members
 
 
-def _read_footers(tail_bytes: int) -> Callable[[Batches], Batches]:
-    """The end of each member, with its footer, and its Arrow schema."""
-    members = _opener()
-
-    def run(batches: Batches) -> Batches:
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-
-        def tail_of(archive, info, size):
-            tail = b""
-            with archive.open(info) as stream:
-                while chunk := stream.read(1 << 20):
-                    tail = (tail + chunk)[-size:]
-            return tail
-
-        for row, archive, info in members(batches):
-            tail = tail_of(archive, info, tail_bytes)
-            needed = int.from_bytes(tail[-8:-4], "little") + 8
-            if needed > len(tail) < info.file_size:
-                tail = tail_of(archive, info, needed)
-            tail = tail[-needed:]
-            try:
-                footer = pq.ParquetFile(pa.BufferReader(b"PAR1" + tail), coerce_int96_timestamp_unit="us")
-            except pa.ArrowInvalid as error:
-                raise ValueError(f"{row['name']} in {row['archive']}: {error}") from error
-            layout = footer.schema_arrow.remove_metadata().serialize().to_pybytes()
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "archive": [row["archive"]],
-                    "position": pa.array([row["position"]], pa.int32()),
-                    "name": [row["name"]],
-                    "tail": pa.array([tail], pa.binary()),
-                    "layout": pa.array([layout], pa.binary()),
-                }
-            )
-
-    return run
-
-
-def _read_members(wanted: pa.Schema) -> Callable[[Batches], Batches]:
-    """Rows of each member plus its folder keys."""
-    parts, members = DATE_PARTS, _opener()
-
-    def run(batches: Batches) -> Batches:
-        import io
-
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-
-        class Held(io.RawIOBase):
-            """A file of which only the bytes of one row group are there."""
-
-            def __init__(self, size):
-                self.size, self.at, self.start, self.content = size, 0, 0, b""
-
-            def readable(self):
-                return True
-
-            def seekable(self):
-                return True
-
-            def tell(self):
-                return self.at
-
-            def seek(self, to, whence=0):
-                self.at = to + (0, self.at, self.size)[whence]
-                return self.at
-
-            def read(self, size=-1):
-                size = self.size - self.at if size is None or size < 0 else size
-                begin = self.at - self.start
-                if begin < 0 or begin + size > len(self.content):
-                    raise ValueError("a read outside of the row group at hand")
-                self.at += size
-                return self.content[begin : begin + size]
-
-        for row, archive, info in members(batches):
-            whole = pq.read_metadata(pa.BufferReader(b"PAR1" + row["tail"]))
-            places = []
-            for group in range(whole.num_row_groups):
-                chunks = [whole.row_group(group).column(i) for i in range(whole.num_columns)]
-                starts = [
-                    min(c.dictionary_page_offset or c.data_page_offset, c.data_page_offset) for c in chunks
-                ]
-                ends = [start + c.total_compressed_size for start, c in zip(starts, chunks)]
-                if chunks:
-                    places.append((min(starts), max(ends), group))
-            held, position = Held(info.file_size), 0
-            file = pq.ParquetFile(
-                pa.PythonFile(held, "r"), metadata=whole, pre_buffer=False, coerce_int96_timestamp_unit="us"
-            )
-            present = [name for name in wanted.names if name in file.schema_arrow.names]
-            with archive.open(info) as stream:
-                for start, end, group in sorted(places):
-                    while position < start:
-                        position += len(stream.read(min(1 << 20, start - position)))
-                    held.start, held.content = start, stream.read(end - start)
-                    position = end
-                    for rows in file.iter_batches(row_groups=[group], columns=present, use_threads=False):
-                        try:
-                            columns = [
-                                rows.column(field.name).cast(field.type)
-                                if field.name in present
-                                else pa.nulls(rows.num_rows, field.type)
-                                for field in wanted
-                            ]
-                        except pa.ArrowInvalid as error:
-                            raise ValueError(f"{info.filename} in {row['archive']}: {error}") from error
-                        keys = [pa.repeat(pa.scalar(row[part], pa.string()), rows.num_rows) for part in parts]
-                        yield pa.RecordBatch.from_arrays(columns + keys, names=[*wanted.names, *parts])
-
-    return run
-
-
 def _copy_members(target: str) -> Callable[[Batches], Batches]:
-    """Each member as it is, at its place below ``target``; its number of rows."""
+    """Each member as it is, at its place below ``target``; its path, layout and rows."""
     members = _opener()
 
     def run(batches: Batches) -> Batches:
@@ -214,16 +101,31 @@ def _copy_members(target: str) -> Callable[[Batches], Batches]:
 
         store, base = fs.FileSystem.from_uri(target)
         for row, archive, info in members(batches):
-            rows = pq.read_metadata(pa.BufferReader(b"PAR1" + row["tail"])).num_rows
             folder = f"{base}/{row['place']}"
             store.create_dir(folder, recursive=True)
             # Readers pass over names that begin with "_"; only a whole file gets its name.
             draft = f"{folder}/_{uuid.uuid4().hex}"
-            with archive.open(info) as stream, store.open_output_stream(draft) as out:
-                while chunk := stream.read(1 << 20):
-                    out.write(chunk)
+            try:
+                with archive.open(info) as stream, store.open_output_stream(draft) as out:
+                    while chunk := stream.read(1 << 20):
+                        out.write(chunk)
+                with store.open_input_file(draft) as file:
+                    whole = pq.ParquetFile(file)
+                    rows, columns = whole.metadata.num_rows, whole.schema_arrow
+            except BaseException as error:
+                store.delete_file(draft)
+                if isinstance(error, pa.ArrowInvalid):
+                    raise ValueError(f"{info.filename} in {row['archive']}: {error}") from error
+                raise
             store.move(draft, f"{folder}/{row['file']}")
-            yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
+            layout = pa.schema([f.remove_metadata() for f in columns]).serialize().to_pybytes()
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "path": [f"{target}/{row['place']}/{row['file']}"],
+                    "layout": pa.array([layout], pa.binary()),
+                    "rows": pa.array([rows], pa.int64()),
+                }
+            )
 
     return run
 
@@ -283,12 +185,10 @@ def _dealt(listing: DataFrame, task_bytes: int) -> DataFrame:
     )
 
 
-def _with_footers(spark: SparkSession, root: str, task_bytes: int, tail_bytes: int = TAIL_BYTES) -> DataFrame:
-    """The listing with the footer and layout of each member, as a stored table."""
-    listing = written(members(spark, root))
-    dealt = _dealt(listing, task_bytes).select("archive", "position", "name")
-    footers = dealt.mapInArrow(_read_footers(tail_bytes), _FOOTERS).drop("name")
-    return written(listing.join(footers, ["archive", "position"]))
+def _copied(spark: SparkSession, listing: DataFrame, target: str, task_bytes: int) -> DataFrame:
+    """(path, layout, rows) of the files that members are copied to, below ``target``."""
+    dealt = _dealt(listing, task_bytes).select("archive", "position", "place", "file")
+    return written(dealt.mapInArrow(_copy_members(qualified(spark, target)), _COPIES))
 
 
 def weather_zip(
@@ -303,20 +203,23 @@ def weather_zip(
     Without ``schema`` the columns are those of all members together, each in the widest of
     its types (whole numbers before fractions); a member lacking one has nulls there. Types
     with nothing in common are an error that names a member, and so is a value that does
-    not fit into a given ``schema``. As with any file source, the listing is made when this
-    is called, the reading later. ``key_type="string"`` keeps the folder text (``01``
-    rather than 1).
+    not fit into a given ``schema`` (it names the column). ``key_type="string"`` keeps the
+    folder text (``01`` rather than 1).
+
+    The members are unpacked to the shared folder when this is called. The files stay as long
+    as the result may be read; within a job they go at its end.
     """
-    listing = _with_footers(spark, root, task_bytes)
-    if schema is None:
-        schema = _common_schema(listing) or WEATHER
-    wanted = StructType([f for f in schema.fields if f.name not in DATE_PARTS])
-    result = StructType([*wanted.fields, *(StructField(part, StringType()) for part in DATE_PARTS)])
-    readings = (
-        _dealt(listing, task_bytes)
-        .select("archive", "position", "tail", *DATE_PARTS)
-        .mapInArrow(_read_members(to_arrow_schema(wanted)), result)
-    )
+    listing = members(spark, root)
+    # Members of one day and name from different places are different files.
+    days = F.concat_ws("/", *(F.concat(F.lit(f"{part}="), F.coalesce(part, F.lit(_NO_KEY))) for part in DATE_PARTS))
+    own = F.concat(F.regexp_replace("file", r"\.parquet$", ""), F.lit("-"), F.hex(F.xxhash64("place")), F.lit(".parquet"))
+    listing = listing.withColumns({"file": F.when(F.col("place") == days, F.col("file")).otherwise(own), "place": days})
+    spool = to_be_removed(qualified(spark, shared_folder(spark)))
+    files = _copied(spark, written(listing), spool, task_bytes)
+    keys = StructType([StructField(part, StringType()) for part in DATE_PARTS])
+    if schema is None and files.isEmpty():
+        schema = WEATHER
+    readings = layouts.scan(spark, spool, files, keys, schema)
     if key_type == "string":
         return readings
     return readings.withColumns({part: F.col(part).try_cast(IntegerType()) for part in DATE_PARTS})
@@ -327,21 +230,5 @@ def copy_members(spark: SparkSession, root: str, target: str, task_bytes: int =
 
     What is at the target stays, but for files of the same name in the same folder.
     """
-    listing = _with_footers(spark, root, task_bytes)
-    place = qualified(spark, target)
-    copied = _dealt(listing, task_bytes).select("archive", "position", "tail", "place", "file")
-    return copied.mapInArrow(_copy_members(place), "rows long").agg(F.sum("rows")).first()[0] or 0
-
-
-def _common_schema(listing: DataFrame) -> StructType | None:
-    """Columns of all layouts in the order of the first place that has each; a row per
-    distinct layout is fetched."""
-    layouts = listing.groupBy("layout").agg(F.min(F.struct("place", "file", "archive")).alias("of"))
-    common = None
-    for row in sorted(layouts.collect(), key=lambda row: tuple(row.of)):
-        layout = pa.ipc.read_schema(pa.py_buffer(bytes(row.layout)))
-        try:
-            common = pa.unify_schemas([common, layout], promote_options="permissive") if common else layout
-        except (pa.ArrowInvalid, pa.ArrowTypeError) as error:
-            raise ValueError(f"{row.of.place}/{row.of.file} in {row.of.archive}: {error}") from error
-    return None if common is None else from_arrow_schema(common)
+    copied = _copied(spark, written(members(spark, root)), target, task_bytes)
+    return copied.agg(F.sum("rows")).first()[0] or 0

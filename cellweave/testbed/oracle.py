@@ -158,6 +158,13 @@ COUNTS = _with(
 )
 DATED_ROWS = _with("select * from dated", wea=WEA, dated=DATED)
 
+MIXED_ROWS = _with(
+    "select * replace (case when day % 2 = 1 then floor(avg_tmpr_c) else avg_tmpr_c end as avg_tmpr_c), "
+    "case when day % 2 = 0 then 'n' || month end as note from dated",
+    wea=WEA,
+    dated=DATED,
+)
+
 ORACLE: dict[str, str] = {
     "restaurant_counts": COUNTS,
     "restaurant_counts_top5": COUNTS
@@ -242,11 +249,17 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "weather_by_date_read": DATED_ROWS,
     "recompress": DATED_ROWS,
     "zip_ingest": DATED_ROWS,
-    "zip_mixed_members": _with(
-        "select * replace (case when day % 2 = 1 then floor(avg_tmpr_c) else avg_tmpr_c end as avg_tmpr_c), "
-        "case when day % 2 = 0 then 'n' || month end as note from dated",
+    "zip_mixed_members": MIXED_ROWS,
+    "unpack_mixed_read": MIXED_ROWS,
+    "recompress_mixed": MIXED_ROWS,
+    "unpack_mixed_then_enrich": _with(
+        "select t.*, c.w_date, avg_temp_c, avg_temp_f from tagged t left join cells c on t.geohash = c.geohash",
+        **COMPLETED,
         wea=WEA,
-        dated=DATED,
+        mixed="select * replace (case when day(cast(w_date as date)) % 2 = 1 then floor(avg_tmpr_c) "
+        "else avg_tmpr_c end as avg_tmpr_c) from wea",
+        tagged_wea=_tagged("mixed"),
+        cells=_cells("geohash, w_date"),
     ),
     "unpack_second_delivery": _with(
         "select * replace (case when day <= 10 then avg_tmpr_c + 1 else avg_tmpr_c end as avg_tmpr_c) from dated",

@@ -16,7 +16,7 @@ from cellweave import sinks, sources
 from cellweave.functions import geohash, packed_lat, packed_lng, query_text
 from cellweave.operators import aggregates, enrich, filters, geocode, weather
 from cellweave.plans import jobs
-from cellweave.schemas import CITY_KEYS, RESTAURANT, TEXT_KEYS, WEATHER
+from cellweave.schemas import CITY_KEYS, DATE_PARTS, RESTAURANT, TEXT_KEYS, WEATHER
 from cellweave.session import shared_folder
 from cellweave.testbed import archives, tables
 
@@ -254,8 +254,9 @@ def zip_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return sources.weather_zip(spark, _archives(spark, folder))
 
 
-def zip_mixed_members(spark: SparkSession, folder: str) -> DataFrame:
-    """Members of odd days have whole degrees, and those of one month a column more."""
+def _mixed_archives(spark: SparkSession, folder: str) -> str:
+    """Deliveries ``odd`` and ``even``: members of odd days have whole degrees, those of even
+    days fractions and a column more."""
     rows = tables.dated_readings(spark, folder)
     odd = rows.filter("day % 2 = 1").withColumn("avg_tmpr_c", F.floor("avg_tmpr_c"))
     even = rows.filter("day % 2 = 0").withColumn("note", F.concat(F.lit("n"), "month"))
@@ -264,17 +265,50 @@ def zip_mixed_members(spark: SparkSession, folder: str) -> DataFrame:
         archives.write_archives(odd, f"{path}/odd")
         archives.write_archives(even, f"{path}/even")
 
-    return sources.weather_zip(spark, _once(spark, folder, "mixed_archives", write))
+    return _once(spark, folder, "mixed_archives", write)
+
+
+def zip_mixed_members(spark: SparkSession, folder: str) -> DataFrame:
+    return sources.weather_zip(spark, _mixed_archives(spark, folder))
+
+
+def _unpacked_mixed(spark: SparkSession, folder: str) -> str:
+    deliveries, target = _mixed_archives(spark, folder), shared_folder(spark)
+    for delivery in ("odd", "even"):
+        jobs.unpack_weather(spark, f"{deliveries}/{delivery}", target)
+    return target
+
+
+def unpack_mixed_read(spark: SparkSession, folder: str) -> DataFrame:
+    return sources.weather_parquet(spark, _unpacked_mixed(spark, folder))
+
+
+def unpack_mixed_then_enrich(spark: SparkSession, folder: str) -> DataFrame:
+    restaurants, target = _completed_restaurants(spark, folder), shared_folder(spark)
+    jobs.enrich_restaurants(spark, restaurants, _unpacked_mixed(spark, folder), target, grain="cell_date")
+    return sources.by_geohash(spark, target).withColumn("w_date", F.col("w_date").cast("string"))
+
+
+def recompress_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    target = shared_folder(spark)
+    jobs.recompress(spark, _unpacked_mixed(spark, folder), target)
+    return sources.parquet(spark, target)
 
 
 def unpack_second_delivery(spark: SparkSession, folder: str) -> DataFrame:
-    """A later delivery brings some days anew, in members of the same names."""
-    rows = tables.dated_readings(spark, folder).coalesce(1)
+    """A later delivery brings some days anew, in members of the same names: both deal days
+    to archives alike, and members are numbered within a day."""
+
+    def by_day(rows: DataFrame) -> DataFrame:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return rows.repartition(parts, *DATE_PARTS).sortWithinPartitions(*DATE_PARTS)
+
+    rows = tables.dated_readings(spark, folder)
     later = rows.filter("day <= 10").withColumn("avg_tmpr_c", F.col("avg_tmpr_c") + 1.0)
 
     def write(path: str) -> None:
-        archives.write_archives(rows, f"{path}/first")
-        archives.write_archives(later, f"{path}/second")
+        archives.write_archives(by_day(rows), f"{path}/first")
+        archives.write_archives(by_day(later), f"{path}/second")
 
     deliveries, target = _once(spark, folder, "deliveries", write), shared_folder(spark)
     jobs.unpack_weather(spark, f"{deliveries}/first", target)
@@ -414,6 +448,9 @@ QUERIES: dict[str, Query] = {
     "recompress": recompress,
     "zip_ingest": zip_ingest,
     "zip_mixed_members": zip_mixed_members,
+    "unpack_mixed_read": unpack_mixed_read,
+    "unpack_mixed_then_enrich": unpack_mixed_then_enrich,
+    "recompress_mixed": recompress_mixed,
     "unpack_second_delivery": unpack_second_delivery,
     "counts_job": counts_job,
     "geocode_job_replace": geocode_job_replace,

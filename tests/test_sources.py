@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import plan_of, values
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cellweave import sources
 from cellweave.plans import jobs
@@ -172,7 +172,7 @@ def test_members_of_any_number_of_row_groups(spark, tmp_path, packing, groups):
 
 
 @pytest.mark.parametrize("groups", [2, 40])
-def test_a_member_is_unpacked_twice(tmp_path, monkeypatch, groups):
+def test_a_member_is_unpacked_once(tmp_path, monkeypatch, groups):
     content = grouped(200_000, groups)
     path = tmp_path / "one.zip"
     make_zip(path, {"weather/year=2016/month=10/day=1/a.parquet": content})
@@ -185,21 +185,57 @@ def test_a_member_is_unpacked_twice(tmp_path, monkeypatch, groups):
         return got
 
     monkeypatch.setattr(zipfile.ZipExtFile, "read", read)
-    row = {"archive": [str(path)], "position": [0], "name": ["a"], "year": ["2016"], "month": ["10"], "day": ["1"]}
-    batch = pa.RecordBatch.from_pydict(row)
-    footer = next(archive_reader._read_footers(1 << 16)(iter([batch]))).to_pylist()[0]
-    batch = batch.append_column("tail", pa.array([footer["tail"]], pa.binary()))
-    wanted = pa.schema([("lat", pa.float64()), ("text", pa.string())])
-    assert sum(len(x) for x in archive_reader._read_members(wanted)(iter([batch]))) == 200_000
-    assert 1.9 * len(content) <= sum(unpacked) <= 2 * len(content)
+    row = {"archive": [str(path)], "position": [0], "place": ["year=2016/month=10/day=1"], "file": ["a.parquet"]}
+    copied = next(archive_reader._copy_members(f"{tmp_path}/out")(iter([pa.RecordBatch.from_pydict(row)]))).to_pylist()
+    assert [x["rows"] for x in copied] == [200_000]
+    assert (tmp_path / "out/year=2016/month=10/day=1/a.parquet").read_bytes() == content
+    assert sum(unpacked) == len(content)
 
 
-def test_long_footers_are_found(tmp_path):
-    content = grouped(2000, 200)
-    make_zip(tmp_path / "one.zip", {"a.parquet": content})
-    batch = pa.RecordBatch.from_pydict({"archive": [str(tmp_path / "one.zip")], "position": [0], "name": ["a"]})
-    tails = [next(archive_reader._read_footers(size)(iter([batch]))).to_pylist()[0]["tail"] for size in (16, 1 << 22)]
-    assert tails[0] == tails[1] == content[-len(tails[0]) :]
+def test_a_member_is_read_by_several_tasks_and_pruned(spark, tmp_path, settings):
+    make_zip(
+        tmp_path / "one.zip",
+        {f"weather/year=2016/month=10/day={day}/a.parquet": grouped(200_000, 40) for day in (1, 2)},
+    )
+    settings(files__maxPartitionBytes="64k", files__openCostInBytes="1k")
+    some = sources.weather_zip(spark, str(tmp_path)).filter("day = 2 and lat > 500").select("lng")
+    assert some.groupBy(F.spark_partition_id()).count().count() > 4
+    plan = plan_of(some)
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1
+    assert "day#" in scans[0].split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "GreaterThan(lat,500.0)" in scans[0]
+    assert "ReadSchema: struct<lat:double,lng:double>" in scans[0]
+
+
+def test_a_member_that_is_no_parquet_is_named_and_leaves_nothing(spark, tmp_path):
+    make_zip(tmp_path / "in/one.zip", {"weather/year=2016/month=10/day=02/odd.parquet": b"PAR1 or so"})
+    with pytest.raises(Exception, match=r"day=02/odd\.parquet"):
+        jobs.unpack_weather(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert [x for x in (tmp_path / "out").rglob("*") if x.is_file()] == []
+
+
+def test_a_value_that_does_not_fit_is_an_error(spark, tmp_path):
+    make_zip(tmp_path / "one.zip", {"weather/year=2016/month=10/day=02/a.parquet": parquet_bytes(lat=[1.0, 2.5])})
+    whole = sources.weather_zip(spark, str(tmp_path), StructType([StructField("lat", LongType())]))
+    with pytest.raises(Exception, match="lat is to be bigint, but holds 2.5"):
+        whole.collect()
+
+
+def test_members_of_one_name_from_different_places(spark, tmp_path):
+    make_zip(
+        tmp_path / "one.zip",
+        {
+            "weather/a/year=2016/month=10/day=01/x.parquet": reading(1.0),
+            "weather/b/year=2016/month=10/day=01/x.parquet": reading(2.0),
+            "weather/year=2016/x.parquet": reading(3.0),
+        },
+    )
+    assert values(sources.weather_zip(spark, str(tmp_path)), "lat", "year", "month", "day") == [
+        (1.0, 2016, 10, 1),
+        (2.0, 2016, 10, 1),
+        (3.0, 2016, None, None),
+    ]
 
 
 def test_columns_and_types_of_all_members(spark, tmp_path):
@@ -237,10 +273,11 @@ def test_uneven_members_make_even_tasks(spark, tmp_path):
     large = {f"weather/year=2016/month=11/day={d:02d}/a.parquet": grouped(4000, 1) for d in range(1, 5)}
     make_zip(tmp_path / "a.zip", small)
     make_zip(tmp_path / "b.zip", large)
-    rows = sources.weather_zip(spark, str(tmp_path))
-    sizes = sorted(row["count"] for row in rows.groupBy(F.spark_partition_id()).count().collect())
+    dealt = archive_reader._dealt(members(spark, str(tmp_path)), archive_reader.TASK_BYTES)
+    sizes = sorted(row.all for row in dealt.groupBy(F.spark_partition_id()).agg(F.sum("bytes").alias("all")).collect())
     assert len(sizes) == 4
     assert sizes[-1] <= 2 * sum(sizes) / 4
+    assert sources.weather_zip(spark, str(tmp_path)).count() == 24 * 200 + 4 * 4000
 
 
 def test_second_delivery_replaces_files_of_the_same_name(spark, tmp_path):
