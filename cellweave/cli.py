@@ -42,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("gazetteer")
     job.add_argument("target")
     job.add_argument("--mode", choices=sorted(jobs.geocoding.MODES), default="fill_gaps")
+    job.add_argument("--most-edits", type=int, help="also find places that are written another way, with so many wrong letters")
     job.add_argument("--franchise", help="print the result for this franchise")
 
     job = add("geohash", help="add a geohash to geocoded restaurants")
@@ -85,7 +86,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[object, str]:
         schema = RESTAURANT if args.fixed_schema else None
         return jobs.count_restaurants(spark, args.restaurants, args.target, schema), args.target
     if args.job == "geocode":
-        return jobs.geocode(spark, args.restaurants, args.gazetteer, args.target, args.mode), args.target
+        return jobs.geocode(spark, args.restaurants, args.gazetteer, args.target, args.mode, args.most_edits), args.target
     if args.job == "geohash":
         return jobs.tag_geohash(spark, args.restaurants, args.target), args.target
     if args.job == "complete":

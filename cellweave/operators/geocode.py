@@ -30,7 +30,8 @@ FOUND_LAT, FOUND_LNG = "found_lat", "found_lng"
 _KEY = "_place"
 
 
-def _key_values(keys: Sequence[str]) -> dict[str, Column]:
+def key_values(keys: Sequence[str]) -> dict[str, Column]:
+    """What a restaurant asks for under each key of a gazetteer."""
     if tuple(keys) == TEXT_KEYS:
         return {TEXT_KEYS[0]: query_text()}
     return {name: F.col(name) for name in keys}
@@ -62,7 +63,7 @@ def lookup(
     ``asks`` says which rows are looked up (by default, those lacking a coordinate).
     A null in any key column finds nothing.
     """
-    values = _key_values(keys)
+    values = key_values(keys)
     wanted = lacks_coords() if asks is None else asks
     for value in values.values():
         wanted = wanted & value.isNotNull()

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from cellweave import sinks, sources
 from cellweave.functions.geohash import DEFAULT_PRECISION, geohash
-from cellweave.operators import aggregates, enrich, filters
+from cellweave.operators import aggregates, enrich, filters, forgiving
 from cellweave.operators import geocode as geocoding
 from cellweave.operators import weather as weather_ops
 from cellweave.operators.sizing import fits_broadcast
@@ -109,10 +109,21 @@ def count_restaurants(spark: SparkSession, restaurants: str, target: str, schema
 
 
 @_tidy
-def geocode(spark: SparkSession, restaurants: str, gazetteer: str, target: str, mode: str = "fill_gaps") -> int:
-    """Coordinates from a gazetteer; ``mode`` is ``replace`` or ``fill_gaps``."""
+def geocode(
+    spark: SparkSession,
+    restaurants: str,
+    gazetteer: str,
+    target: str,
+    mode: str = "fill_gaps",
+    most_edits: int | None = None,
+) -> int:
+    """Coordinates from a gazetteer; ``mode`` is ``replace`` or ``fill_gaps``. With
+    ``most_edits`` places may be written another way than in the gazetteer, see ``forgiving``."""
     places = read_gazetteer(spark, gazetteer)
     rows = sources.restaurants_csv(spark, restaurants)
+    if most_edits is not None:
+        keys = gazetteer_keys(places)
+        places = sinks.written(forgiving.answers(rows, places, keys, most_edits=most_edits).select(*keys, "lat", "lng"))
     mend = geocoding.MODES[mode]
     return _write_mended(rows, lambda x: mend(x, places, gazetteer_keys(places)), filters.lacks_coords(), target)
 

@@ -96,6 +96,46 @@ select r.id, r.franchise_id, r.franchise_name, r.restaurant_franchise_id, r.coun
 from rest r left join gaz g on r.country = g.country and r.city = g.city
 """
 
+MISSPELT = """
+select id, franchise_id, franchise_name, restaurant_franchise_id, country,
+       case id % 11
+            when 1 then lower(city)
+            when 2 then ' ' || translate(city, 'AEIOU_', 'ÁÈÎÕÜ-') || ' !'
+            when 3 then substr(city, 1, 1) || substr(city, 3)
+            when 4 then substr(city, 1, 1) || city
+            when 5 then substr(city, 1, 1) || 'q' || substr(city, 3)
+            when 6 then substr(city, 2, 1) || substr(city, 1, 1) || substr(city, 3)
+            when 7 then substr(city, 3)
+            when 8 then city || '7'
+            when 9 then '?!'
+            when 10 then city || ' city'
+            else city end as city
+from rest
+"""
+
+PLAIN = "trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', ' ', 'g'))"
+DIGITS = "regexp_replace({0}, '[^0-9]+', ' ', 'g')"
+
+
+def _similar(edits: int) -> str:
+    """CTE body: for each asked place the most similar one, every pair compared."""
+    a, b = (f"{PLAIN.format(f'{side}.city')} || '|' || {PLAIN.format(f'{side}.country')}" for side in "ab")
+    distance = " + ".join(f"levenshtein({PLAIN.format(f'a.{x}')}, {PLAIN.format(f'b.{x}')})" for x in ("city", "country"))
+    letters = f"length(regexp_replace({a}, '[^a-z]+', '', 'g'))"
+    return f"""
+select city, country, lat, lng, edits::int as edits, place from (
+    select a.city, a.country, b.lat, b.lng, b.city || ', ' || b.country as place,
+           case when a.city = b.city and a.country = b.country then 0 else {distance} end as edits,
+           case when a.city = b.city and a.country = b.country then 0 else 1 end as other,
+           row_number() over (partition by a.city, a.country order by other, edits, b.city, b.country) as nth
+    from (select distinct city, country from misspelt where city is not null and country is not null) a, gaz b
+    where (a.city = b.city and a.country = b.country)
+       or ({PLAIN.format('a.city')} <> '' and {DIGITS.format(a)} = {DIGITS.format(b)}
+           and {distance} <= least({edits}, {letters} // 4))
+) where nth = 1
+"""
+
+
 CELL_MEANS = "avg(avg_tmpr_c) as avg_temp_c, avg(avg_tmpr_f) as avg_temp_f"
 
 
@@ -222,6 +262,15 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "geocode_fill_gaps": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),
     "geocode_fill_gaps_shuffled": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),
     "geocode_asked_places": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),
+    "geocode_forgiving": _with("select * from matched", rest=REST, misspelt=MISSPELT, gaz=GAZ, matched=_similar(2)),
+    "geocode_job_forgiving": _with(
+        "select m.id, franchise_id, franchise_name, restaurant_franchise_id, m.country, m.city, s.lat, s.lng "
+        "from misspelt m left join matched s on m.city = s.city and m.country = s.country",
+        rest=REST,
+        misspelt=MISSPELT,
+        gaz=GAZ,
+        matched=_similar(1),
+    ),
     "geohash_restaurants": _with("select * from tagged", rest=REST, tagged=_tagged("rest")),
     "geohash_weather": _with("select * from tagged_wea", **WEATHER),
     "geohash_edges": _with("select id, geohash from tagged", edges=EDGES, tagged=_tagged("edges")),

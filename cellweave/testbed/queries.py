@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cellweave import sinks, sources
 from cellweave.functions import geohash, packed_lat, packed_lng, query_text
-from cellweave.operators import aggregates, enrich, filters, geocode, weather
+from cellweave.operators import aggregates, enrich, filters, forgiving, geocode, weather
 from cellweave.plans import jobs
 from cellweave.schemas import CITY_KEYS, DATE_PARTS, RESTAURANT, TEXT_KEYS, WEATHER
 from cellweave.session import shared_folder
@@ -157,6 +157,22 @@ def geocode_asked_places(spark: SparkSession, folder: str) -> DataFrame:
     return geocode.fill_gaps(rows, places, CITY_KEYS, broadcast_bytes=18_000)
 
 
+def geocode_forgiving(spark: SparkSession, folder: str) -> DataFrame:
+    """Which place each way to write a city is taken for."""
+    found = forgiving.answers(
+        tables.misspelt_restaurants(spark, folder), tables.gazetteer(spark, folder), CITY_KEYS, most_edits=2
+    )
+    place = F.concat_ws(", ", "place.city", "place.country")
+    return found.select("city", "country", "lat", "lng", "edits", place.alias("place"))
+
+
+def geocode_job_forgiving(spark: SparkSession, folder: str) -> DataFrame:
+    rows, places = tables.misspelt_restaurants(spark, folder), _gazetteer(spark, folder)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    source = _once(spark, folder, "misspelt_csv", lambda path: rows.write.csv(path, header=True, **blanks))
+    return _job(spark, lambda target: jobs.geocode(spark, source, places, target, most_edits=1))
+
+
 def geohash_restaurants(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.with_geohash(tables.restaurants(spark, folder))
 
@@ -427,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "geocode_fill_gaps": geocode_fill_gaps,
     "geocode_fill_gaps_shuffled": geocode_fill_gaps_shuffled,
     "geocode_asked_places": geocode_asked_places,
+    "geocode_forgiving": geocode_forgiving,
+    "geocode_job_forgiving": geocode_job_forgiving,
     "geohash_restaurants": geohash_restaurants,
     "geohash_weather": geohash_weather,
     "geohash_edges": geohash_edges,

@@ -130,6 +130,33 @@ def replies(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def misspelt_restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    """Restaurants without coordinates whose city is written in one of eleven ways: as it is,
+    in other case, with accents or blanks, with a letter missing, doubled, replaced, or two
+    swapped, with two missing, with another number, and as nothing but signs."""
+    way, city = F.col("id") % 11, F.col("city")
+    first, second, rest = F.substring(city, 1, 1), F.substring(city, 2, 1), F.substr(city, F.lit(3))
+    return (
+        restaurants(spark, folder)
+        .drop("lat", "lng")
+        .withColumns({"lat": F.lit(None).cast("double"), "lng": F.lit(None).cast("double")})
+        .withColumn(
+            "city",
+            F.when(way == 1, F.lower(city))
+            .when(way == 2, F.concat(F.lit(" "), F.translate(city, "AEIOU_", "ÁÈÎÕÜ-"), F.lit(" !")))
+            .when(way == 3, F.concat(first, rest))
+            .when(way == 4, F.concat(first, first, second, rest))
+            .when(way == 5, F.concat(first, F.lit("q"), rest))
+            .when(way == 6, F.concat(second, first, rest))
+            .when(way == 7, F.substr(city, F.lit(3)))
+            .when(way == 8, F.concat(city, F.lit("7")))
+            .when(way == 9, F.lit("?!"))
+            .when(way == 10, F.concat(city, F.lit(" city")))
+            .otherwise(city),
+        )
+    )
+
+
 def edge_points(spark: SparkSession, folder: str) -> DataFrame:
     """Points on, just above and just below cell borders, outside the ranges, NaN,
     infinite and null, one per event."""
