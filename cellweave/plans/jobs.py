@@ -161,7 +161,8 @@ def unpack_weather(spark: SparkSession, archives: str, target: str) -> int:
 def recompress(spark: SparkSession, weather: str, target: str, codec: str = "gzip") -> bool:
     """Rewrite weather under another codec; the folder keys become stored columns.
 
-    A failure is reported and not raised, and the answer is then False.
+    A failure is reported and not raised, and the answer is then False; the target is then
+    as it was. It may be the folder that is read.
     """
     try:
         sinks.write_parquet(sources.weather_parquet(spark, weather), target, codec)

@@ -84,13 +84,47 @@ def _own_folder(warehouse: str) -> str:
     return folder
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the file system that Spark would look for it in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has made."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, store = _place(spark, path)
+    store.delete(place, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with the file system that Spark would look for it in."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri().toString()
+    place, store = _place(spark, path)
+    return store.makeQualified(place).toUri().toString()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, store = _place(spark, path)
+    return store.exists(place)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; nothing may be at the target."""
+    place, store = _place(spark, path)
+    if not store.rename(place, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {path} to {target}")
+
+
+def siblings(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What lies beside a path under a name that begins so, by name."""
+    place, store = _place(spark, path)
+    parent = place.getParent()
+    if parent is None or not store.exists(parent):
+        return []
+    names = (status.getPath().getName() for status in store.listStatus(parent))
+    return sorted(f"{parent.toString().rstrip('/')}/{name}" for name in names if name.startswith(prefix))
+
+
+def beside(spark: SparkSession, path: str, name: str) -> str:
+    """A place in the folder that a path is in."""
+    place, _ = _place(spark, path)
+    return f"{place.getParent().toString().rstrip('/')}/{name}"

@@ -1,10 +1,13 @@
 """Writers. All replace what is at the target and return the number of rows written.
 
+A table is written to a draft beside its target and takes its place when it is whole. A write
+that fails leaves the target as it was, and a table may be written over one it is made from.
 Rows are counted by the writing tasks as they pass, so no second read is needed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,20 +16,69 @@ from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from cellweave.schemas import DATE_PARTS, GEOHASH
-from cellweave.session import remove, shared_folder
+from cellweave.session import beside, exists, move, remove, shared_folder, siblings
 
 _scratch: list[list[str]] = []
 
+#: Names beside a target; readers pass over what begins with "_".
+_DRAFT, _OLD = "_cellweave-draft-", "_cellweave-old-"
+
+
+def _name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put a table back that was moved aside for a new one, if the new one never came; whether
+    there was one. Tables that a new one has replaced, and were only not deleted, go."""
+    # What follows the prefix is 32 digits and then the whole name.
+    left = [x for x in siblings(spark, path, _OLD) if _name(x)[len(_OLD) + 32 :] == f"-{_name(path)}"]
+    back = bool(left) and not exists(spark, path)
+    if back:
+        move(spark, left.pop(), path)
+    for old in left:
+        remove(spark, old)
+    return back
+
+
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """Gives a draft to write to. Once that is done without an error, it replaces ``path``.
+
+    The old table is moved aside, the draft moved in, the old table deleted. Where folders are
+    renamed at once, as in HDFS, readers see the one or the other, or for a moment none; in a
+    store that copies they may see part of the new one. A process that ends between the two
+    moves leaves the old table aside, and the next write to this target, or ``recover``, puts
+    it back. Two writers at a time are not kept apart.
+    """
+    recover(spark, path)
+    own = f"{uuid.uuid4().hex}-{_name(path)}"
+    draft, old = beside(spark, path, _DRAFT + own), beside(spark, path, _OLD + own)
+    try:
+        yield draft
+        if exists(spark, path):
+            move(spark, path, old)
+        try:
+            move(spark, draft, path)
+        except BaseException:
+            recover(spark, path)
+            raise
+    except BaseException:
+        remove(spark, draft)
+        raise
+    remove(spark, old)
+
 
 def _counted(df: DataFrame, codec: str) -> tuple[DataFrameWriter, Observation]:
     counted = Observation()
     df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    return df.write.mode("overwrite").option("compression", codec), counted
+    return df.write.option("compression", codec), counted
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "gzip") -> int:
-    writer, counted = _counted(df, codec)
-    writer.parquet(path)
+    with replacing(df.sparkSession, path) as draft:
+        writer, counted = _counted(df, codec)
+        writer.parquet(draft)
     return counted.get["rows"]
 
 
@@ -44,7 +96,7 @@ def written(df: DataFrame) -> DataFrame:
     executor. Within ``scratch`` the table goes at its end.
     """
     path = to_be_removed(shared_folder(df.sparkSession))
-    write_parquet(df, path, codec="snappy")
+    df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -77,9 +129,13 @@ def write_by_geohash(
     writer, counted = _counted(df.hint("rebalance", GEOHASH), codec)
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer = writer.partitionBy(GEOHASH)
     if only_these_cells:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(GEOHASH).parquet(path)
+        # Spark itself writes these folders aside and moves them in at the end.
+        writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    else:
+        with replacing(df.sparkSession, path) as draft:
+            writer.parquet(draft)
     return counted.get["rows"]
 
 
@@ -90,5 +146,6 @@ def write_by_date(df: DataFrame, path: str, codec: str = "gzip", gather: bool =
     run time). Rows that already come a day at a time, as from archives, need no shuffle.
     """
     writer, counted = _counted(df.hint("rebalance", *DATE_PARTS) if gather else df, codec)
-    writer.partitionBy(*DATE_PARTS).parquet(path)
+    with replacing(df.sparkSession, path) as draft:
+        writer.partitionBy(*DATE_PARTS).parquet(draft)
     return counted.get["rows"]
