@@ -63,12 +63,16 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("target")
     job.add_argument("--codec", default="gzip")
 
+    job = add("averages", help="take new and changed days of weather into kept averages")
+    job.add_argument("weather")
+    job.add_argument("state")
+
     job = add("enrich", help="join restaurants with the weather of their cell")
     job.add_argument("restaurants")
     job.add_argument("weather")
     job.add_argument("target")
     job.add_argument("--grain", choices=jobs.GRAINS, default="cell")
-    job.add_argument("--weather-format", choices=("parquet", "csv"), default="parquet")
+    job.add_argument("--weather-format", choices=jobs.WEATHER_FORMATS, default="parquet")
     job.add_argument("--weather-schema", metavar="DDL", help="column names and types of weather in CSV")
     job.add_argument("--no-broadcast", dest="broadcast", action="store_false")
 
@@ -95,6 +99,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[object, str]:
         return jobs.unpack_weather(spark, args.archives, args.target), args.target
     if args.job == "recompress":
         return jobs.recompress(spark, args.weather, args.target, args.codec), args.target
+    if args.job == "averages":
+        return jobs.update_averages(spark, args.weather, args.state), f"{args.state}/days"
     if args.job == "enrich":
         rows = jobs.enrich_restaurants(
             spark,

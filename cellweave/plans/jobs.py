@@ -23,6 +23,7 @@ from cellweave.operators import aggregates, enrich, filters, forgiving
 from cellweave.operators import geocode as geocoding
 from cellweave.operators import weather as weather_ops
 from cellweave.operators.sizing import fits_broadcast
+from cellweave.plans import averages
 from cellweave.schemas import CITY_KEYS, DATE_PARTS, GEOHASH, PLACE_KEYS, RESTAURANT, TEXT_KEYS
 from cellweave.sources.weather_zip import copy_members
 
@@ -172,7 +173,21 @@ def recompress(spark: SparkSession, weather: str, target: str, codec: str = "gzi
     return True
 
 
+def update_averages(spark: SparkSession, weather: str, state: str, precision: int = DEFAULT_PRECISION) -> dict[str, int]:
+    """Take new and changed days of a weather folder into kept averages, see ``averages``."""
+    return averages.update(spark, weather, state, precision)
+
+
+def _kept_means(spark: SparkSession, state: str, grain: str, precision: int) -> DataFrame:
+    kept = averages.precision_of(spark, state)
+    if kept != precision:
+        raise ValueError(f"{state} holds cells of precision {kept}, not {precision}")
+    means = averages.by_cell(spark, state) if grain == "cell" else averages.by_cell_date(spark, state)
+    return means.filter(F.col(GEOHASH).isNotNull())
+
+
 GRAINS = ("cell", "cell_date")
+WEATHER_FORMATS = ("parquet", "csv", "averages")
 
 
 @_tidy
@@ -191,32 +206,38 @@ def enrich_restaurants(
 
     ``grain="cell"`` keeps one row per restaurant. ``grain="cell_date"`` gives one row
     per restaurant and date. Restaurants may lie in ``geohash=`` folders; a geohash that is
-    not of the given precision is an error, as it could meet no weather. Weather in CSV costs an extra pass to infer its types
-    unless ``weather_schema`` states them.
+    not of the given precision is an error, as it could meet no weather. Weather in CSV costs an
+    extra pass to infer its types unless ``weather_schema`` states them. With the format
+    ``averages``, ``weather`` is a state that ``update_averages`` keeps, and no reading is read.
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
+    if weather_format not in WEATHER_FORMATS:
+        raise ValueError(f"weather_format must be one of {WEATHER_FORMATS}")
     rows = sources.by_geohash(spark, restaurants)
     length = F.length(GEOHASH)
     other = rows.agg(F.min(F.nullif(length, F.lit(precision)))).first()[0]
     if other is not None:
         raise ValueError(f"a geohash of {other} characters among the restaurants; precision is {precision}")
-    if weather_format == "csv":
-        readings = sources.weather_csv(spark, weather, weather_schema)
-    else:
-        readings = sources.weather_parquet(spark, weather)
-    readings = enrich.near_restaurants(enrich.with_point(readings), rows, precision)
-    if grain == "cell":
-        averages = weather_ops.by_cell(readings, precision)
+    if weather_format == "averages":
+        means = _kept_means(spark, weather, grain, precision)
     else:
-        stored = "w_date" in readings.columns or not set(DATE_PARTS) <= set(readings.columns)
-        date = "w_date" if stored else weather_ops.date_from_parts()
-        averages = weather_ops.by_cell_date(readings, precision, date)
+        if weather_format == "csv":
+            readings = sources.weather_csv(spark, weather, weather_schema)
+        else:
+            readings = sources.weather_parquet(spark, weather)
+        readings = enrich.near_restaurants(enrich.with_point(readings), rows, precision)
+        if grain == "cell":
+            means = weather_ops.by_cell(readings, precision)
+        else:
+            stored = "w_date" in readings.columns or not set(DATE_PARTS) <= set(readings.columns)
+            date = "w_date" if stored else weather_ops.date_from_parts()
+            means = weather_ops.by_cell_date(readings, precision, date)
     # Written down, the averages are not computed again if an executor is lost, and
     # their size is known before the join is planned.
-    averages = sinks.written(averages)
-    choice = False if not broadcast else (True if fits_broadcast(averages) else None)
-    return sinks.write_by_geohash(enrich.left_join_cells(rows, averages, choice), target)
+    means = sinks.written(means)
+    choice = False if not broadcast else (True if fits_broadcast(means) else None)
+    return sinks.write_by_geohash(enrich.left_join_cells(rows, means, choice), target)
 
 
 def pipeline(spark: SparkSession, restaurants: str, gazetteer: str, archives: str, folder: str) -> str:

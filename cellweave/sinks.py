@@ -149,3 +149,11 @@ def write_by_date(df: DataFrame, path: str, codec: str = "gzip", gather: bool =
     with replacing(df.sparkSession, path) as draft:
         writer.partitionBy(*DATE_PARTS).parquet(draft)
     return counted.get["rows"]
+
+
+def write_days(df: DataFrame, path: str, codec: str = "gzip") -> int:
+    """Replace the folders of just those days that ``df`` has rows for."""
+    writer, counted = _counted(df.hint("rebalance", *DATE_PARTS), codec)
+    # Spark writes these folders aside and moves them in at the end.
+    writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*DATE_PARTS).parquet(path)
+    return counted.get["rows"]

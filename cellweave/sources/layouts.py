@@ -146,18 +146,27 @@ def footers() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     return run
 
 
+def files_below(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modificationTime) of the files below a folder; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # The scan would make a task of each 128 MB of files.
+    return files.select("path", "length", "modificationTime").coalesce(4 * spark.sparkContext.defaultParallelism)
+
+
+def with_layouts(files: DataFrame) -> DataFrame:
+    """(path, layout) of files given by their paths. Only footers are read, by the tasks."""
+    return files.select("path").mapInArrow(footers(), LAYOUT)
+
+
 def listed(spark: SparkSession, root: str) -> DataFrame:
-    """(path, layout) of the files below a folder. Only footers are read, by the tasks."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    # The scan would make a task of each 128 MB of files, of which nothing but the end is read.
-    few = files.coalesce(4 * spark.sparkContext.defaultParallelism)
-    return few.mapInArrow(footers(), LAYOUT)
+    return with_layouts(files_below(spark, root))
 
 
-def places(files: DataFrame) -> dict[int, list[str]]:
+def places(files: DataFrame, part: bool = False) -> dict[int, list[str]]:
     """For each group in ``files`` (path, kind) the topmost folders or files it has to itself.
 
-    A folder counts if it is the one of a file, or above folders named ``key=value`` only.
+    A folder counts if it is the one of a file, or above folders named ``key=value`` only. Of
+    ``files`` that are a ``part`` of what there is, in whole folders, only these folders count.
     ``files`` is looked at twice. A row per such a place comes to the driver.
     """
     # How many folders above a file are named key=value, from the file upwards.
@@ -168,7 +177,7 @@ def places(files: DataFrame) -> dict[int, list[str]]:
         return F.array_join(F.slice("names", F.lit(1), F.size("names") - steps), "/")
 
     folders = (
-        files.select("kind", F.split("path", "/").alias("names"), keyed.alias("keyed"))
+        files.select("kind", F.split("path", "/").alias("names"), (F.lit(0) if part else keyed).alias("keyed"))
         .select("*", F.explode(F.sequence(F.lit(0), F.col("keyed") + 1)).alias("up"))
         .select(
             "kind",
@@ -202,8 +211,10 @@ def scan(
     files: DataFrame,
     keys: T.StructType,
     wanted: T.StructType | None = None,
+    part: bool = False,
 ) -> DataFrame:
     """The rows of ``files`` (path, layout) below ``base``, with the folder keys ``keys``.
+    These are all files there, or a ``part`` of them, in whole folders.
 
     Without ``wanted`` the columns are those of all layouts, in the order of the first file
     that has each; types with nothing in common are an error that names a file. With it they
@@ -232,13 +243,14 @@ def scan(
     if not kinds:
         return spark.createDataFrame([], T.StructType([*columns, *keys]))
     paths: dict[int, list[str]] = {}
-    if len(kinds) > 1:
+    whole = len(kinds) == 1 and not part
+    if not whole:
         listing = spark.createDataFrame(list(kind_of.items()), "layout long, kind int")
-        paths = places(files.join(F.broadcast(listing), "layout").select("path", "kind"))
+        paths = places(files.join(F.broadcast(listing), "layout").select("path", "kind"), part)
     scans = []
     for i, kind in enumerate(kinds):
         reader = spark.read.schema(T.StructType([*kind, *keys]))
-        rows = reader.parquet(base) if len(kinds) == 1 else reader.option("basePath", base).parquet(*paths[i])
+        rows = reader.parquet(base) if whole else reader.option("basePath", base).parquet(*paths[i])
         own = _by_name(kind)
         scans.append(
             rows.select(

@@ -198,6 +198,9 @@ COUNTS = _with(
 )
 DATED_ROWS = _with("select * from dated", wea=WEA, dated=DATED)
 
+TWICE = """
+select * replace (case when day(cast(w_date as date)) <= 10 then avg_tmpr_c + 1 else avg_tmpr_c end as avg_tmpr_c) from wea
+"""
 MIXED_ROWS = _with(
     "select * replace (case when day % 2 = 1 then floor(avg_tmpr_c) else avg_tmpr_c end as avg_tmpr_c), "
     "case when day % 2 = 0 then 'n' || month end as note from dated",
@@ -315,6 +318,21 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
         wea=WEA,
         dated=DATED,
     ),
+    "averages_second_delivery": _with(
+        "select geohash, w_date, avg_temp_c, avg_temp_f from cells",
+        wea=WEA,
+        twice=TWICE,
+        tagged_wea=_tagged("twice"),
+        cells=_cells("geohash, w_date"),
+    ),
+    "enrich_job_from_averages": _with(
+        "select t.*, avg_temp_c, avg_temp_f from tagged t left join cells c on t.geohash = c.geohash",
+        **COMPLETED,
+        wea=WEA,
+        twice=TWICE,
+        tagged_wea=_tagged("twice"),
+        cells=_cells("geohash"),
+    ),
     "counts_job": COUNTS,
     "geocode_job_replace": _with("select * from replaced", rest=REST, gaz=GAZ, replaced=REPLACED),
     "geocode_job_fill_gaps": _with("select * from filled", rest=REST, gaz=GAZ, filled=FILLED),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cellweave import sinks, sources
 from cellweave.functions import geohash, packed_lat, packed_lng, query_text
 from cellweave.operators import aggregates, enrich, filters, forgiving, geocode, weather
-from cellweave.plans import jobs
+from cellweave.plans import averages, jobs
 from cellweave.schemas import CITY_KEYS, DATE_PARTS, RESTAURANT, TEXT_KEYS, WEATHER
 from cellweave.session import shared_folder
 from cellweave.testbed import archives, tables
@@ -311,9 +311,9 @@ def recompress_mixed(spark: SparkSession, folder: str) -> DataFrame:
     return sources.parquet(spark, target)
 
 
-def unpack_second_delivery(spark: SparkSession, folder: str) -> DataFrame:
-    """A later delivery brings some days anew, in members of the same names: both deal days
-    to archives alike, and members are numbered within a day."""
+def _deliveries(spark: SparkSession, folder: str) -> str:
+    """Archives ``first`` and ``second``. The later delivery brings some days anew, in members
+    of the same names: both deal days to archives alike, and members are numbered within a day."""
 
     def by_day(rows: DataFrame) -> DataFrame:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -326,12 +326,35 @@ def unpack_second_delivery(spark: SparkSession, folder: str) -> DataFrame:
         archives.write_archives(by_day(rows), f"{path}/first")
         archives.write_archives(by_day(later), f"{path}/second")
 
-    deliveries, target = _once(spark, folder, "deliveries", write), shared_folder(spark)
+    return _once(spark, folder, "deliveries", write)
+
+
+def unpack_second_delivery(spark: SparkSession, folder: str) -> DataFrame:
+    deliveries, target = _deliveries(spark, folder), shared_folder(spark)
     jobs.unpack_weather(spark, f"{deliveries}/first", target)
     jobs.unpack_weather(spark, f"{deliveries}/second", target)
     return sources.weather_parquet(spark, target)
 
 
+def _kept_averages(spark: SparkSession, folder: str) -> str:
+    """Averages after the first delivery, brought up to date after the second."""
+    deliveries, weather_folder, state = _deliveries(spark, folder), shared_folder(spark), shared_folder(spark)
+    for delivery in ("first", "second"):
+        jobs.unpack_weather(spark, f"{deliveries}/{delivery}", weather_folder)
+        jobs.update_averages(spark, weather_folder, state)
+    return state
+
+
+def averages_second_delivery(spark: SparkSession, folder: str) -> DataFrame:
+    return averages.by_cell_date(spark, _kept_averages(spark, folder))
+
+
+def enrich_job_from_averages(spark: SparkSession, folder: str) -> DataFrame:
+    restaurants, target = _completed_restaurants(spark, folder), shared_folder(spark)
+    jobs.enrich_restaurants(spark, restaurants, _kept_averages(spark, folder), target, weather_format="averages")
+    return sources.by_geohash(spark, target)
+
+
 def _job(spark: SparkSession, run: Callable[[str], object]) -> DataFrame:
     target = shared_folder(spark)
     run(target)
@@ -470,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "unpack_mixed_then_enrich": unpack_mixed_then_enrich,
     "recompress_mixed": recompress_mixed,
     "unpack_second_delivery": unpack_second_delivery,
+    "averages_second_delivery": averages_second_delivery,
+    "enrich_job_from_averages": enrich_job_from_averages,
     "counts_job": counts_job,
     "geocode_job_replace": geocode_job_replace,
     "geocode_job_fill_gaps": geocode_job_fill_gaps,

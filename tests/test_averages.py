@@ -1,0 +1,147 @@
+"""Averages that are kept and take in what a delivery changed."""
+
+import os
+from pathlib import Path
+
+import pytest
+from conftest import plan_of, values
+from pyspark.sql import functions as F
+
+from cellweave import sinks, sources
+from cellweave.operators import weather
+from cellweave.plans import averages, jobs
+
+
+def readings(spark, days, shift=0.0):
+    rows = spark.range(40 * len(days)).withColumn("d", F.element_at(F.array(*map(F.lit, days)), (F.col("id") % len(days) + 1).cast("int")))
+    return rows.select(
+        F.when(F.col("id") % 9 != 0, (F.col("id") % 7) * 10.0).alias("lat"),
+        ((F.col("id") % 5) * 20.0).alias("lng"),
+        F.when(F.col("id") % 4 != 0, F.col("id") * 0.25 + shift).alias("avg_tmpr_c"),
+        F.when(F.col("id") % 40 > 20, F.col("id") * 0.5 + shift).alias("avg_tmpr_f"),
+        F.lit(2016).alias("year"),
+        F.lit(10).alias("month"),
+        F.col("d").alias("day"),
+    )
+
+
+def full(spark, path):
+    rows = sources.weather_parquet(spark, path)
+    return values(weather.by_cell(rows)), values(weather.by_cell_date(rows, date=weather.date_from_parts()))
+
+
+def kept(spark, state):
+    return values(averages.by_cell(spark, state)), values(averages.by_cell_date(spark, state))
+
+
+@pytest.fixture
+def place(spark, tmp_path):
+    path, state = f"{tmp_path}/weather", f"{tmp_path}/state"
+    sinks.write_by_date(readings(spark, [1, 2, 3]), path)
+    assert averages.update(spark, path, state) == {"days_read": 3, "days_gone": 0}
+    return path, state
+
+
+def test_kept_averages_are_those_of_all_readings(spark, place):
+    path, state = place
+    assert kept(spark, state) == full(spark, path)
+    assert len(kept(spark, state)[1]) > 60
+
+
+def test_nothing_new_reads_nothing(spark, place):
+    path, state = place
+    before = {f: f.stat().st_mtime_ns for f in Path(state, "cells").rglob("*.parquet")}
+    assert averages.update(spark, path, state) == {"days_read": 0, "days_gone": 0}
+    assert {f: f.stat().st_mtime_ns for f in Path(state, "cells").rglob("*.parquet")} == before
+
+
+def test_a_delivery_reads_its_days_alone(spark, place):
+    path, state = place
+    # Files of other days could not even be opened.
+    for day in (1, 3):
+        for file in Path(path, f"year=2016/month=10/day={day}").glob("*.parquet"):
+            info = file.stat()
+            file.write_bytes(b"x" * info.st_size)
+            os.utime(file, ns=(info.st_atime_ns, info.st_mtime_ns))
+    before = dict((row[:2], row[2:]) for row in kept(spark, state)[1])
+    sinks.write_days(readings(spark, [2, 4], shift=8.0), path)
+    assert averages.update(spark, path, state) == {"days_read": 2, "days_gone": 0}
+    new = readings(spark, [2, 4], shift=8.0)
+    want = dict((row[:2], row[2:]) for row in values(weather.by_cell_date(new, date=weather.date_from_parts())))
+    got = dict((row[:2], row[2:]) for row in kept(spark, state)[1])
+    assert got == {k: v for k, v in before.items() if k[1][-2:] in ("01", "03")} | want
+
+
+def test_deliveries_of_other_layouts(spark, place):
+    path, state = place
+    whole = readings(spark, [5]).withColumn("avg_tmpr_c", F.floor("avg_tmpr_c")).withColumn("note", F.lit("n"))
+    sinks.write_days(whole, path)
+    assert averages.update(spark, path, state)["days_read"] == 1
+    assert kept(spark, state) == full(spark, path)
+
+
+def test_days_that_are_gone_and_days_without_readings(spark, place):
+    path, state = place
+    folder = Path(path, "year=2016/month=10")
+    for file in (folder / "day=1").iterdir():
+        file.unlink()
+    (folder / "day=1").rmdir()
+    for file in (folder / "day=2").iterdir():
+        file.unlink()
+    readings(spark, [2]).drop("year", "month", "day").filter("false").coalesce(1).write.mode("append").parquet(str(folder / "day=2"))
+    assert averages.update(spark, path, state) == {"days_read": 1, "days_gone": 1}
+    assert kept(spark, state) == full(spark, path)
+    assert {row[1] for row in kept(spark, state)[1]} == {"2016-10-03"}
+
+
+def test_a_run_that_ends_half_way_is_done_again(spark, place, monkeypatch):
+    path, state = place
+    sinks.write_days(readings(spark, [2], shift=1.0), path)
+    with monkeypatch.context() as patch:
+        def fail(*args, **kwargs):
+            raise OSError("no more room")
+
+        patch.setattr(sinks, "write_parquet", fail)
+        with pytest.raises(OSError):
+            averages.update(spark, path, state)
+    assert averages.update(spark, path, state)["days_read"] == 1
+    assert kept(spark, state) == full(spark, path)
+
+
+def test_one_state_one_precision(spark, place):
+    path, state = place
+    with pytest.raises(ValueError, match="precision 4"):
+        averages.update(spark, path, state, precision=5)
+    with pytest.raises(ValueError, match="precision 4"):
+        restaurants = spark.createDataFrame([("R", "u09tv")], "name string, geohash string")
+        sinks.write_parquet(restaurants, f"{state}-r")
+        jobs.enrich_restaurants(spark, f"{state}-r", state, f"{state}-out", weather_format="averages", precision=5)
+
+
+def test_files_outside_of_day_folders_are_named(spark, tmp_path):
+    sinks.write_parquet(spark.range(1), f"{tmp_path}/w")
+    with pytest.raises(ValueError, match="parquet is not below"):
+        averages.update(spark, f"{tmp_path}/w", f"{tmp_path}/s")
+
+
+def test_an_empty_state(spark, tmp_path):
+    assert averages.by_cell(spark, f"{tmp_path}/none").count() == 0
+    assert averages.by_cell_date(spark, f"{tmp_path}/none").count() == 0
+
+
+@pytest.mark.parametrize("grain", jobs.GRAINS)
+def test_enrich_from_averages(spark, place, tmp_path, grain):
+    path, state = place
+    rows = spark.createDataFrame([("A", 0.0, 0.0), ("B", 10.0, 20.0), ("C", None, 1.0)], "name string, lat double, lng double")
+    sinks.write_parquet(jobs.with_geohash(rows), f"{tmp_path}/r")
+    for kind, source in (("parquet", path), ("averages", state)):
+        jobs.enrich_restaurants(spark, f"{tmp_path}/r", source, f"{tmp_path}/{kind}", grain=grain, weather_format=kind)
+    a, b = (sources.by_geohash(spark, f"{tmp_path}/{kind}") for kind in ("parquet", "averages"))
+    columns = ["name", "avg_temp_c", "avg_temp_f"] + (["w_date"] if grain == "cell_date" else [])
+    a, b = (x.select(*(F.col(c).cast("string") for c in columns)) for x in (a, b))
+    assert values(a) == values(b)
+
+
+def test_partial_sums_come_before_the_shuffle(spark, place):
+    plan = plan_of(averages.day_sums(sources.weather_parquet(spark, place[0])))
+    assert "partial_sum" in plan.split("Exchange")[-1]
