@@ -3,12 +3,13 @@
 Texts are cut where a rolling hash of the last bytes says so, hence equal passages are cut
 alike wherever they stand. Spark counts the chunks; those that occur more than once are
 encoded once each and joined back. A cut falls anywhere, mostly within a word, so what lies
-around a join is encoded again from the text: from the last white space of one chunk to the
-first of the next, together with a word that the chunk has encoded by itself on either side.
-If the ids of these words agree, the join is right; if not, that chunk is given up at this
-place and the span grows over it, until there is agreement or nothing but the text itself.
+around a join is encoded again from the text, out to the last white space of one chunk and to
+the first of the next. There the library is given the words on both sides in one piece: if
+their ids are those that the span and the chunk have on their own, the join is right; if not,
+the span grows over the whole text, which is then encoded in one piece.
 
-Texts without a shared chunk are encoded where they are read and move nowhere.
+Texts without a shared chunk are encoded where they are read and move nowhere. A process
+gives the library each distinct word once, as far as it remembers them.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +31,7 @@ from tokenizers import Tokenizer
 
 from cellweave.llm import bitmaps
 from cellweave.llm.batches import fresh, same_name, stored
-from cellweave.llm.words import U64, buffers, slices, window_hashes
+from cellweave.llm.words import BASE, INVERSE, U64, buffers, powers, slices
 
 #: Bytes the rolling hash sees, the mean distance of its cuts as a power of two, and the least size of a chunk.
 ROLLING = 32
@@ -37,13 +39,19 @@ CUT_BITS = 9
 LEAST = 128
 #: Bitmap of the shared chunks: 8 MB. Too small a one lets single chunks take the way of shared ones.
 FILTER_BITS = 26
-#: The library holds a hundred bytes and more for each one of a text; longer ones go in by parts.
-PART_BYTES = 1 << 16
+#: Words, and bytes of words, that a process remembers the ids of; when there are more, it forgets
+#: those met once.
+REMEMBERED_WORDS = 300_000
+REMEMBERED_BYTES = 16 << 20
+#: Texts that go to Python in one go.
+BATCH_TEXTS = 1000
 
 #: White space that surely parts words. No match of these tokenizers' patterns holds any, no
 #: special token does, and neither composition nor lower-casing reaches over it.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0D]] = True
+#: Hashes below this, one in 2 ** CUT_BITS, end a chunk.
+CUT_BELOW = U64(1 << (64 - CUT_BITS))
 ROLL_VALUE = np.random.default_rng(20250611).integers(1, 1 << 63, 256, dtype=U64)
 
 IDS = T.ArrayType(T.IntegerType(), False)
@@ -58,15 +66,26 @@ class Chunks(NamedTuple):
     text: np.ndarray
 
 
+def rolling(data: np.ndarray) -> np.ndarray:
+    """A hash of every ``ROLLING`` bytes in a row: the sum of a value per byte times a power of
+    its place. Sums over all windows are differences of running totals."""
+    size = len(data)
+    total = np.zeros(size + 1, U64)
+    np.cumsum(ROLL_VALUE[data] * powers(BASE, size), out=total[1:])
+    out = total[ROLLING:] - total[:-ROLLING]
+    out *= powers(INVERSE, size)[: len(out)]
+    return out
+
+
 def cut(column: pa.Array) -> Chunks:
     """Every text of a column in chunks that depend on nothing but nearby bytes of that text."""
     data, offsets = buffers(column)
-    low, high = int(offsets[0]), int(offsets[-1])
+    # A slice of a batch comes with the bytes of all of it.
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    high = len(data)
     found = [np.zeros(0, np.int64)]
-    for at in range(low, high - ROLLING, 1 << 18):
-        to = min(high, at + (1 << 18) + ROLLING - 1)
-        hashes = window_hashes(ROLL_VALUE[data[at:to]], np.arange(to - at - ROLLING + 1), ROLLING)
-        found.append(np.flatnonzero(hashes >> U64(64 - CUT_BITS) == 0) + (at + ROLLING))
+    for at in range(0, high - ROLLING, 1 << 16):
+        found.append(np.flatnonzero(rolling(data[at : at + (1 << 16) + ROLLING - 1]) < CUT_BELOW) + (at + ROLLING))
     places = np.concatenate(found)
     places = places[places < high]
     places = places[data[places] & 0xC0 != 0x80]
@@ -113,32 +132,86 @@ def _inner(chunks: Chunks) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """The tokenizer of a file, on one thread."""
+    """The tokenizer of a file, on one thread.
+
+    Words between white space are given to the library once and remembered, as far as memory
+    is set aside for it; ``whole`` gives it a text as it is.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.word = lru_cache(maxsize=100_000)(lambda text: self.encode([text])[0])
+        self.agree = lru_cache(maxsize=50_000)(self._agree)
         self.token = lru_cache(maxsize=None)(self.tokenizer.id_to_token)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Long texts go to the library by parts that end at white space."""
-        parts: list[str] = []
-        count = []
-        for text in texts:
-            own = [text] if len(text) <= PART_BYTES else list(_parts(text))
-            parts += own
-            count.append(len(own))
-        coded = [
-            np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        ]
-        out, at = [], 0
-        for n in count:
-            out.append(coded[at] if n == 1 else np.concatenate(coded[at : at + n]))
-            at += n
-        return out
+        self._start()
+
+    def _start(self) -> None:
+        self.place: dict[bytes, int] = {}
+        #: The ids of the n-th word are ``ids[first[n]:first[n + 1]]``; the arrays have room to spare.
+        self.first, self.ids = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.uint32)
+        self.hits, self.size = np.zeros(1 << 12, np.int64), 0
+
+    def _forget(self) -> None:
+        """Keep of the words only those met more than once, and half of what there is room for."""
+        known, words = len(self.place), list(self.place)
+        often = np.sort(self.hits[:known])[-REMEMBERED_WORDS // 2 :][0]
+        keep = np.flatnonzero(self.hits[:known] > max(1, often))
+        sizes = np.cumsum([len(words[n]) for n in keep])
+        keep = keep[: np.searchsorted(sizes, REMEMBERED_BYTES // 2)]
+        begin, length = self.first[keep], self.first[keep + 1] - self.first[keep]
+        ends = np.cumsum(length)
+        ids = self.ids[np.repeat(begin - (ends - length), length) + np.arange(length.sum())]
+        hits = self.hits[keep] // 2
+        self.place = {words[n]: i for i, n in enumerate(keep.tolist())}
+        self.first, self.hits = np.concatenate([[0], ends, np.zeros(1, np.int64)]), np.append(hits, [0, 0])
+        self.ids, self.size = np.append(ids, np.uint32(0)), int(sizes[len(keep) - 1]) if len(keep) else 0
+
+    def _put(self, words: list[bytes], ids: list) -> None:
+        known = len(self.place)
+        ends = self.first[known] + np.cumsum([len(x) for x in ids])
+        while len(self.first) <= known + len(words):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            self.hits = np.concatenate([self.hits, np.zeros_like(self.hits)])
+        while len(self.ids) < ends[-1]:
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.first[known] : ends[-1]] = list(chain.from_iterable(ids))
+        self.first[known + 1 : known + 1 + len(words)] = ends
+        self.place.update(zip(words, range(known, known + len(words))))
+        self.size += sum(map(len, words))
+
+    def _learn(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            self._put(some, [x.ids for x in coded])
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text, put together from those of its words."""
+        if len(self.place) > REMEMBERED_WORDS or self.size > REMEMBERED_BYTES:
+            self._forget()
+        # Without an argument, split() on bytes parts them at ASCII white space alone.
+        words = [text.split() for text in texts]
+        every = list(chain.from_iterable(words))
+        new = set(every).difference(self.place)
+        if new:
+            self._learn(list(new))
+        place = np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))
+        self.hits[: len(self.place)] += np.bincount(place, minlength=len(self.place))
+        begin = self.first[place]
+        length = self.first[place + 1] - begin
+        end = np.concatenate([[0], np.cumsum(length)])
+        out = self.ids[np.repeat(begin - end[:-1], length) + np.arange(end[-1])]
+        borders = end[np.concatenate([[0], np.cumsum([len(own) for own in words])]).astype(np.int64)].tolist()
+        return [out[a:b] for a, b in zip(borders, borders[1:])]
+
+    def whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
+
+    def _agree(self, left: bytes, right: bytes) -> bool:
+        """Whether two texts side by side have the ids that each has by itself."""
+        return np.array_equal(self.whole(left + right), np.concatenate([self.whole(left), self.whole(right)]))
 
     def decode(self, ids: np.ndarray) -> str:
         if self.tokenizer.decoder is not None:
@@ -147,27 +220,12 @@ class Encoder:
         return " ".join([t for t in map(self.token, ids.tolist()) if t is not None])
 
 
-def _parts(text: str, limit: int = PART_BYTES) -> Iterator[str]:
-    at = 0
-    while len(text) - at > limit:
-        ends = [x for x in (text.find(c, at + limit) for c in " \t\n\r") if x >= 0]
-        if not ends:
-            break
-        yield text[at : min(ends)]
-        at = min(ends)
-    yield text[at:]
-
-
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """Built once per process."""
     return Encoder(path)
 
 
-def _string(data: np.ndarray, begin: int, end: int) -> str:
-    return data[begin:end].tobytes().decode()
-
-
 def _word_after(data: np.ndarray, begin: int, end: int) -> int:
     """Where the first word from the white space at ``begin`` on ends."""
     at = begin
@@ -200,43 +258,48 @@ class Piece(NamedTuple):
 def pieces(coder: Encoder, chunks: Chunks, shared: np.ndarray, keys: list[bytes], texts: int) -> list[list[Piece]]:
     """The pieces of each text. Joined, they are the ids of the whole text.
 
-    All spans between shared chunks are encoded in one go; those that do not agree with a
-    neighbour are done again without it, which is repeated until all agree.
+    Spans between shared chunks are encoded again. Where such a chunk begins or ends, the
+    library is asked for the last word before and the first after in one piece.
     """
     data = chunks.data
     first, last = _inner(chunks)
-    shared = shared & (last > first)
-    bounds = np.searchsorted(chunks.text, np.arange(texts + 1))
-    out: list[list[Piece]] = [[] for _ in range(texts)]
-    todo = [i for i in range(texts) if bounds[i] < bounds[i + 1]]
-    while todo:
-        spans: list[tuple[int, int, int, int, int, int]] = []  # text, chunk before or -1, chunk after or -1, places
-        for i in todo:
-            low, high = int(bounds[i]), int(bounds[i + 1])
-            own = [-1, *(low + np.flatnonzero(shared[low:high])).tolist(), -1]
-            for left, right in zip(own, own[1:]):
-                begin = int(last[left]) if left >= 0 else int(chunks.begin[low])
-                end = int(first[right]) if right >= 0 else int(chunks.end[high - 1])
-                spans.append((i, left, right, begin, end, 0))
-        before = [_word_before(data, int(first[x[1]]), x[3]) if x[1] >= 0 else x[3] for x in spans]
-        after = [_word_after(data, x[4], int(last[x[2]])) if x[2] >= 0 else x[4] for x in spans]
-        coded = coder.encode([_string(data, a, b) for a, b in zip(before, after)])
-        again: set[int] = set()
-        for i in todo:
-            out[i] = []
-        for (i, left, right, begin, end, _), a, b, ids in zip(spans, before, after, coded):
-            head = coder.word(_string(data, a, begin)) if a < begin else ids[:0]
-            tail = coder.word(_string(data, end, b)) if end < b else ids[:0]
-            if len(head) + len(tail) > len(ids) or not np.array_equal(ids[: len(head)], head):
-                shared[left if left >= 0 else right] = False
-                again.add(i)
-            elif not np.array_equal(ids[len(ids) - len(tail) :], tail):
-                shared[right] = False
-                again.add(i)
-            out[i].append(Piece(None, ids[len(head) : len(ids) - len(tail)]))
+    lent = np.flatnonzero(shared & (last > first)).tolist()
+    bounds = np.searchsorted(chunks.text, np.arange(texts + 1)).tolist()
+    spans: list[tuple[int, int, int]] = []  # text, begin, end
+    after: list[int] = []  # the chunk after each, or -1
+    wrong: set[int] = set()
+    nth = 0
+    for i in range(texts):
+        low, high = bounds[i], bounds[i + 1]
+        if low == high:
+            continue
+        begin, stop = int(chunks.begin[low]), int(chunks.end[high - 1])
+        before = None
+        while True:
+            right = lent[nth] if nth < len(lent) and lent[nth] < high else -1
+            end = int(first[right]) if right >= 0 else stop
+            if before is not None:
+                near = data[_word_before(data, before, begin) : begin].tobytes()
+                if not coder.agree(near, data[begin : _word_after(data, begin, end)].tobytes()):
+                    wrong.add(i)
             if right >= 0:
-                out[i].append(Piece(keys[right], None))
-        todo = sorted(again)
+                near = data[_word_before(data, begin, end) : end].tobytes()
+                if not coder.agree(near, data[end : _word_after(data, end, int(last[right]))].tobytes()):
+                    wrong.add(i)
+            spans.append((i, begin, end))
+            after.append(right)
+            if right < 0:
+                break
+            nth += 1
+            before, begin = end, int(last[right])
+    out: list[list[Piece]] = [[] for _ in range(texts)]
+    for (i, _, _), right, ids in zip(spans, after, coder.encode([data[a:b].tobytes() for _, a, b in spans])):
+        out[i].append(Piece(None, ids))
+        if right >= 0:
+            out[i].append(Piece(keys[right], None))
+    for i in wrong:
+        text = data[chunks.begin[bounds[i]] : chunks.end[bounds[i + 1] - 1]].tobytes()
+        out[i] = [Piece(None, coder.whole(text))]
     return out
 
 
@@ -280,13 +343,27 @@ def encoded_chunks(texts: DataFrame, known, model_path: str) -> DataFrame:
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model_path)
         for part in slices(batches, "inner"):
-            ids = coder.encode([x.decode() for x in part.column("inner").to_pylist()])
+            ids = coder.encode(part.column("inner").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), pa.array([x.tobytes() for x in ids], pa.binary())], names=["key", "ids"]
             )
 
     once = texts.mapInArrow(listed, "key binary, inner binary").groupBy("key").agg(F.first("inner").alias("inner"))
-    return stored(once.mapInArrow(code, "key binary, ids binary"))
+    return stored(once.mapInArrow(code, "key binary, ids binary"), BATCH_TEXTS)
+
+
+def _packed_lists(rows: list[bytes]) -> pa.Array:
+    borders = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in rows], out=borders[1:])
+    return pa.ListArray.from_arrays(pa.array(borders), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
+def _results(coder: Encoder, rows: list[bytes], packed: bool, decoded: bool) -> list[pa.Array]:
+    """Columns of ids, and of text, from packed ids."""
+    made = [pa.array(rows, pa.binary()) if packed else _packed_lists(rows)]
+    if decoded:
+        made.append(pa.array([coder.decode(np.frombuffer(x, np.uint32)) for x in rows], pa.string()))
+    return made
 
 
 def encode(
@@ -296,54 +373,68 @@ def encode(
     ids: str = "ids",
     drop: tuple[str, ...] = (),
     packed: bool = False,
+    decoded: str | None = None,
     filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``df`` without the columns ``drop`` and with the ids of its texts, as the tokenizers
     library gives them with ``add_special_tokens=False`` and without truncation and padding.
 
-    ``packed`` gives them as bytes, four for each id, lowest first, instead of an array. A
-    null or empty text has no ids. Every row is kept, repeated rows repeat. A column named
-    like ``ids``, in whatever case, is replaced; all others may have any name. The file has
-    to be on every executor; its tokenizer must not let a token hold white space.
+    ``packed`` gives them as bytes, four for each id, lowest first, instead of an array.
+    ``decoded`` names a column for what ``decode`` makes of the ids, in the same pass. A null
+    or empty text has no ids. Every row is kept, repeated rows repeat. Columns named like a
+    new one, in whatever case, are replaced; all others may have any name. The file has to be
+    on every executor; its tokenizer must not let a token hold white space.
 
     What moves: a key per chunk, each shared chunk once, and the ids of texts that have one.
-    The table of encoded chunks and the places they occur at are both stored before they are
-    joined, so adaptive execution splits a chunk that very many texts have. Ids of a text
-    meet in one row, as the result has them.
+    Texts without are encoded in the pass that reads the result, and nothing of them is
+    stored. The table of encoded chunks and the places they occur at are both stored before
+    they are joined, so adaptive execution splits a chunk that very many texts have. Ids of a
+    text meet in one row, as the result has them.
     """
-    kept = [f for f in df.schema if not same_name(f.name, ids) and f.name not in drop]
+    new = [ids] if decoded is None else [ids, decoded]
+    kept = [f for f in df.schema if not any(same_name(f.name, n) for n in new) and f.name not in drop]
     names = [f.name for f in kept]
-    source, group, seq, key, own, row = fresh(
-        [*df.columns, ids], "text", "group", "seq", "key", "own", "row"
-    )
+    made = [T.StructField(ids, T.BinaryType() if packed else IDS)]
+    made += [] if decoded is None else [T.StructField(decoded, T.StringType())]
+    result = T.StructType([*kept, *made])
+    source, group, seq, key, own, row = fresh([*df.columns, *new], "text", "group", "seq", "key", "own", "row")
     texts = df.select(F.col(text).alias("text")).filter("text <> ''")
     known = df.sparkSession.sparkContext.broadcast(shared_chunks(texts, filter_bits))
     coded = encoded_chunks(texts, known, model_path)
-    schema = T.StructType(
-        [
-            *(T.StructField(f.name, f.dataType) for f in kept),
-            T.StructField(group, T.LongType()),
-            T.StructField(seq, T.IntegerType()),
-            T.StructField(key, T.BinaryType()),
-            T.StructField(own, T.BinaryType()),
-        ]
-    )
+    given = df.select(*(f"`{n}`" for n in names), F.col(text).alias(source))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(model_path)
-        number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+    def chunked(batches: Iterable[pa.RecordBatch], wanted: bool) -> Iterator[tuple[pa.RecordBatch, Chunks, list[bytes], np.ndarray]]:
+        """Rows whose texts have a shared chunk, or those whose texts have none."""
         for part in slices(batches, source):
             chunks = cut(part.column(source))
             keys, heads = _keys(chunks)
             shared = bitmaps.has(known.value, heads.view(U64)) if len(heads) else np.zeros(0, bool)
+            first, last = _inner(chunks)
+            touched = np.zeros(len(part), bool)
+            touched[chunks.text[shared & (last > first)]] = True
+            rows = np.flatnonzero(touched == wanted)
+            if len(rows):
+                mine = (touched == wanted)[chunks.text]
+                some = Chunks(chunks.data, chunks.begin[mine], chunks.end[mine], np.searchsorted(rows, chunks.text[mine]))
+                yield part.take(pa.array(rows)), some, [k for k, m in zip(keys, mine.tolist()) if m], shared[mine]
+
+    def by_itself(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(model_path)
+        for part, _, _, _ in chunked(batches, False):
+            found = coder.encode([x or b"" for x in part.column(source).cast(pa.binary()).to_pylist()])
+            columns = _results(coder, [x.tobytes() for x in found], packed, decoded is not None)
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *columns], names=result.names)
+
+    def in_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(model_path)
+        number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+        for part, chunks, keys, shared in chunked(batches, True):
             at, groups, seqs, chunk, here = [], [], [], [], []
             for i, own_pieces in enumerate(pieces(coder, chunks, shared, keys, len(part))):
-                # The columns of the row go with its first piece; a text without a shared chunk is one piece.
-                several = len(own_pieces) > 1
-                number += several
-                for n, piece in enumerate(own_pieces or [Piece(None, np.zeros(0, np.uint32))]):
-                    at.append(i if n == 0 else None)
-                    groups.append(number if several else None)
+                number += 1
+                for n, piece in enumerate(own_pieces):
+                    at.append(i if n == 0 else None)  # the columns of a row go with its first piece
+                    groups.append(number)
                     seqs.append(n)
                     chunk.append(piece.key)
                     here.append(None if piece.ids is None else piece.ids.tobytes())
@@ -359,22 +450,35 @@ def encode(
                 names=[*names, group, seq, key, own],
             )
 
-    parts = stored(df.select(*(f"`{n}`" for n in names), F.col(text).alias(source)).mapInArrow(run, schema))
-    alone = parts.filter(F.col(group).isNull()).select(
-        *(F.col(f"`{n}`") for n in names), F.array(F.col(own)).alias(own)
+    def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(model_path)
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                columns = _results(coder, [b"".join(x) for x in part.column(own).to_pylist()], packed, decoded is not None)
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *columns], names=result.names)
+
+    parts_schema = T.StructType(
+        [
+            *(T.StructField(f.name, f.dataType) for f in kept),
+            T.StructField(group, T.LongType()),
+            T.StructField(seq, T.IntegerType()),
+            T.StructField(key, T.BinaryType()),
+            T.StructField(own, T.BinaryType()),
+        ]
     )
-    open_parts = parts.filter(F.col(group).isNotNull())
-    here = open_parts.filter(F.col(key).isNull()).select(
+    parts = stored(given.mapInArrow(in_parts, parts_schema), BATCH_TEXTS)
+    here = parts.filter(F.col(key).isNull()).select(
         group, seq, F.col(own), F.when(F.col(seq) == 0, F.struct(*(F.col(f"`{n}`") for n in names))).alias(row)
     )
     lent = (
-        open_parts.filter(F.col(key).isNotNull())
+        parts.filter(F.col(key).isNotNull())
         .select(group, seq, key)
         .join(coded.select(F.col("key").alias(key), F.col("ids").alias(own)), key)
         .select(group, seq, own)
         .withColumn(row, F.lit(None).cast(here.schema[row].dataType))
     )
-    joined = (
+    together = (
         here.unionByName(lent)
         .groupBy(group)
         .agg(
@@ -383,26 +487,7 @@ def encode(
         )
         .select(*(F.col(row)[n].alias(n) for n in names), F.col(own)[own].alias(own))
     )
-    return _finish(alone.unionByName(joined), kept, own, ids, packed)
-
-
-def _finish(df: DataFrame, kept: list[T.StructField], own: str, ids: str, packed: bool) -> DataFrame:
-    """Lists of packed ids in the order of the text made into one."""
-    names = [f.name for f in kept]
-    schema = T.StructType([*kept, T.StructField(ids, T.BinaryType() if packed else IDS)])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = [b"".join(x) for x in batch.column(own).to_pylist()]
-            if packed:
-                made = pa.array(whole, pa.binary())
-            else:
-                borders = np.zeros(len(whole) + 1, np.int32)
-                np.cumsum([len(x) // 4 for x in whole], out=borders[1:])
-                made = pa.ListArray.from_arrays(pa.array(borders), pa.array(np.frombuffer(b"".join(whole), np.int32)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), made], names=[*names, ids])
-
-    return df.mapInArrow(run, schema)
+    return given.mapInArrow(by_itself, result).unionByName(together.mapInArrow(joined, result))
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -420,10 +505,12 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", decoded: str = "dec
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model_path)
         for batch in batches:
-            texts = [coder.decode(numbers(x)) if x else "" for x in batch.column(source).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, decoded]
-            )
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                texts = [coder.decode(numbers(x)) if x else "" for x in part.column(source).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, decoded]
+                )
 
     schema = T.StructType([*kept, T.StructField(decoded, T.StringType())])
     return df.select(*(f"`{n}`" for n in names), F.col(ids).alias(source)).mapInArrow(run, schema)

@@ -143,7 +143,7 @@ def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
 def op13_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = chunkbpe.decode(chunkbpe.encode(docs, path, drop=("text",), packed=True), path)
+    coded = chunkbpe.encode(docs, path, drop=("text",), packed=True, decoded="decoded")
     return coded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

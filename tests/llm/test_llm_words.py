@@ -62,7 +62,9 @@ def test_chunked_ids_are_those_of_the_library(odd, library):
 
 def test_chunked_ids_decode_as_in_the_library(odd, library):
     for packed in (True, False):
+        at_once = chunkbpe.encode(odd, MODEL, packed=packed, decoded="decoded")
         rows = chunkbpe.decode(chunkbpe.encode(odd, MODEL, packed=packed), MODEL).collect()
+        assert rows and sorted(map(repr, rows)) == sorted(map(repr, at_once.select(*rows[0].__fields__).collect()))
         for row in rows:
             assert row.decoded == library.decode(library_ids(library, row.text), skip_special_tokens=False)
 
@@ -115,7 +117,7 @@ def test_joins_of_any_chunks_are_repaired(library, texts, random):
     chunks = chunkbpe.Chunks(data, np.array(begin, np.int64), np.array(end, np.int64), np.array(owner, np.int64))
     keys = [str(i).encode() for i in range(len(begin))]
     first, last = chunkbpe._inner(chunks)
-    inner = {k: coder.encode([data[a:b].tobytes().decode()])[0] for k, a, b in zip(keys, first, last)}
+    inner = {k: coder.whole(data[a:b].tobytes()) for k, a, b in zip(keys, first, last)}
     shared = np.array([random.random() < 0.7 for _ in begin], bool)
     for text, own in zip(texts, chunkbpe.pieces(coder, chunks, shared, keys, len(texts))):
         ids = [x for piece in own for x in (inner[piece.key] if piece.ids is None else piece.ids).tolist()]
@@ -124,16 +126,29 @@ def test_joins_of_any_chunks_are_repaired(library, texts, random):
 
 def test_a_chunk_that_does_not_agree_is_given_up(library):
     class Wary(chunkbpe.Encoder):
-        """Says that the first word of a text is another one than in the whole."""
-
-        def __init__(self):
-            super().__init__(MODEL)
-            self.word = lambda text: self.encode([text])[0] + np.uint32(1)
-
-    chunks = chunkbpe.cut(pa.array([SHARED]))
-    own = chunkbpe.pieces(Wary(), chunks, np.ones(len(chunks.begin), bool), [b""] * len(chunks.begin), 1)[0]
-    assert all(piece.key is None for piece in own)
-    assert [x for piece in own for x in piece.ids.tolist()] == library_ids(library, SHARED)
+        """Says that two texts never have the ids that each has by itself."""
+
+        def _agree(self, left, right):
+            return False
+
+    chunks = chunkbpe.cut(pa.array([SHARED, "", SHARED[:200]]))
+    shared = chunks.text == 0
+    own = chunkbpe.pieces(Wary(MODEL), chunks, shared, [b""] * len(shared), 3)
+    assert [x for piece in own[0] for x in piece.ids.tolist()] == library_ids(library, SHARED)
+    assert own[1] == [] and len(own[2]) == 1
+
+
+def test_what_is_remembered_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(chunkbpe, "REMEMBERED_WORDS", 40)
+    coder = chunkbpe.Encoder(MODEL)
+    texts = [" ".join(f"w{i * j}x" for j in range(30)) + " a\x0bb\x0cc\x1cd\x85e\xa0f" for i in range(50)]
+    for i in range(0, 50, 5):
+        assert [x.tolist() for x in coder.encode([t.encode() for t in texts[i : i + 5]])] == [library_ids(library, t) for t in texts[i : i + 5]]
+        assert len(coder.place) <= 40 + 5 * 36
+    often = [b"again"] * 9
+    for i in range(20):
+        coder.encode([b" ".join([*often, *(b"x%d_%d" % (i, j) for j in range(45))])])
+    assert b"again" in coder.place and len(coder.place) < 100
 
 
 def test_a_chunk_that_very_many_texts_have_is_split(spark, settings, library):
