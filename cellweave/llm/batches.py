@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import types as T
 
 from cellweave.llm.words import SLICE_BYTES, slices
 from cellweave.session import shared_folder
+from cellweave.sinks import to_be_removed
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def with_arrays(
@@ -43,13 +47,30 @@ def with_arrays(
     return df.select(*(f"`{n}`" for n in names), df[text].alias(source)).mapInArrow(run, schema)
 
 
-def stored(df: DataFrame, bucket: str | None = None) -> DataFrame:
-    """The same rows as a table in the shared folder: computed once, and not lost with an executor."""
-    path = shared_folder(df.sparkSession)
-    df.write.option("compression", "snappy").parquet(path)
+def stored(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """The same rows as a table in the shared folder: computed once, and not lost with an executor.
+    Within ``sinks.scratch`` the table goes at its end.
+
+    ``batch_rows`` bounds the rows that go to Python in one go while this runs. A batch lies in
+    memory on both sides, and of whole texts the usual 10,000 are a lot.
+    """
+    path = to_be_removed(shared_folder(df.sparkSession))
+    with _batches_of(df.sparkSession, batch_rows):
+        df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    before = spark.conf.get(BATCH_ROWS)
+    if rows is not None:
+        spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def same_name(a: str, b: str) -> bool:
     """Whether Spark takes two column names for one."""
     return a.lower() == b.lower()

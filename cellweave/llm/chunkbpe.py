@@ -41,10 +41,11 @@ LEAST = 128
 FILTER_BITS = 26
 #: Words, and bytes of words, that a process remembers the ids of; when there are more, it forgets
 #: those met once.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
 REMEMBERED_BYTES = 16 << 20
-#: Texts that go to Python in one go.
+#: Texts that go to Python in one go, and bytes of text that are looked at in one go there.
 BATCH_TEXTS = 1000
+SLICE = 1 << 19
 
 #: White space that surely parts words. No match of these tokenizers' patterns holds any, no
 #: special token does, and neither composition nor lower-casing reaches over it.
@@ -307,7 +308,7 @@ def shared_chunks(texts: DataFrame, filter_bits: int) -> np.ndarray:
     """Bitmap of the chunks in ``texts`` (text) that occur more than once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             keys, heads = _keys(cut(part.column("text")))
             seen: dict[bytes, list[int]] = {}
             for key, head in zip(keys, heads.tolist()):
@@ -328,7 +329,7 @@ def encoded_chunks(texts: DataFrame, known, model_path: str) -> DataFrame:
     """(key, ids) of every chunk in the bitmap, each encoded once."""
 
     def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             chunks = cut(part.column("text"))
             keys, heads = _keys(chunks)
             first, last = _inner(chunks)
@@ -342,7 +343,7 @@ def encoded_chunks(texts: DataFrame, known, model_path: str) -> DataFrame:
 
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model_path)
-        for part in slices(batches, "inner"):
+        for part in slices(batches, "inner", SLICE):
             ids = coder.encode(part.column("inner").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), pa.array([x.tobytes() for x in ids], pa.binary())], names=["key", "ids"]
@@ -405,7 +406,7 @@ def encode(
 
     def chunked(batches: Iterable[pa.RecordBatch], wanted: bool) -> Iterator[tuple[pa.RecordBatch, Chunks, list[bytes], np.ndarray]]:
         """Rows whose texts have a shared chunk, or those whose texts have none."""
-        for part in slices(batches, source):
+        for part in slices(batches, source, SLICE):
             chunks = cut(part.column(source))
             keys, heads = _keys(chunks)
             shared = bitmaps.has(known.value, heads.view(U64)) if len(heads) else np.zeros(0, bool)
