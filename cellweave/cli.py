@@ -36,6 +36,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("restaurants")
     job.add_argument("target")
     job.add_argument("--fixed-schema", action="store_true", help="do not infer the column types")
+    job.add_argument("--types", metavar="PATH", help="keep what was inferred there, and read only new files for it")
+    job.add_argument("--set-aside", metavar="PATH", help="store lines that do not fit the layout there")
 
     job = add("geocode", help="missing coordinates from a gazetteer")
     job.add_argument("restaurants")
@@ -43,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("target")
     job.add_argument("--mode", choices=sorted(jobs.geocoding.MODES), default="fill_gaps")
     job.add_argument("--most-edits", type=int, help="also find places that are written another way, with so many wrong letters")
+    job.add_argument("--set-aside", metavar="PATH", help="store lines that do not fit the layout there")
     job.add_argument("--franchise", help="print the result for this franchise")
 
     job = add("geohash", help="add a geohash to geocoded restaurants")
@@ -53,6 +56,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("restaurants")
     job.add_argument("gazetteer")
     job.add_argument("target")
+    job.add_argument("--set-aside", metavar="PATH", help="store lines that do not fit the layout there")
 
     job = add("unpack", help="weather archives to year=/month=/day= folders")
     job.add_argument("archives")
@@ -75,6 +79,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--weather-format", choices=jobs.WEATHER_FORMATS, default="parquet")
     job.add_argument("--weather-schema", metavar="DDL", help="column names and types of weather in CSV")
     job.add_argument("--no-broadcast", dest="broadcast", action="store_false")
+    job.add_argument("--prefix-letters", type=int, help="folders of so many letters instead of one per cell")
 
     job = add("pipeline", help="unpack, complete and enrich")
     job.add_argument("restaurants")
@@ -88,13 +93,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[object, str]:
     """Run the chosen job; answers with what it returned and where its result lies."""
     if args.job == "counts":
         schema = RESTAURANT if args.fixed_schema else None
-        return jobs.count_restaurants(spark, args.restaurants, args.target, schema), args.target
+        return jobs.count_restaurants(spark, args.restaurants, args.target, schema, args.types, args.set_aside), args.target
     if args.job == "geocode":
-        return jobs.geocode(spark, args.restaurants, args.gazetteer, args.target, args.mode, args.most_edits), args.target
+        rows = jobs.geocode(
+            spark, args.restaurants, args.gazetteer, args.target, args.mode, args.most_edits, args.set_aside
+        )
+        return rows, args.target
     if args.job == "geohash":
         return jobs.tag_geohash(spark, args.restaurants, args.target), args.target
     if args.job == "complete":
-        return jobs.complete_restaurants(spark, args.restaurants, args.gazetteer, args.target), args.target
+        rows = jobs.complete_restaurants(
+            spark, args.restaurants, args.gazetteer, args.target, set_aside=args.set_aside
+        )
+        return rows, args.target
     if args.job == "unpack":
         return jobs.unpack_weather(spark, args.archives, args.target), args.target
     if args.job == "recompress":
@@ -111,6 +122,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> tuple[object, str]:
             weather_format=args.weather_format,
             weather_schema=args.weather_schema,
             broadcast=args.broadcast,
+            prefix_letters=args.prefix_letters,
         )
         return rows, args.target
     target = jobs.pipeline(spark, args.restaurants, args.gazetteer, args.archives, args.folder)
@@ -129,10 +141,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     try:
         done, target = run(spark, args)
         print(f"{args.job}: {done}")
-        for name in ("read", "to_mend"):
+        for name in ("read", "to_mend", "set_aside"):
             if getattr(done, name, None) is not None:
                 print(f"rows {name.replace('_', ' ')}: {getattr(done, name)}")
         read = sources.by_geohash if args.job in ("enrich", "pipeline") else sources.parquet
+        if getattr(args, "prefix_letters", None) is not None:
+            read = sources.by_prefix
         if args.show:
             jobs.show(read(spark, target), args.show)
         if getattr(args, "franchise", None):

@@ -28,17 +28,20 @@ from cellweave.schemas import CITY_KEYS, DATE_PARTS, GEOHASH, PLACE_KEYS, RESTAU
 from cellweave.sources.weather_zip import copy_members
 
 _MENDED = "_to_mend"
+_BAD_LINE = "_bad_line"
 
 
 class Rows(int):
-    """Number of rows written; ``read`` and ``to_mend`` are None where a job does not tell."""
+    """Number of rows written; ``read``, ``to_mend`` and ``set_aside`` are None where a job does
+    not tell."""
 
     read: int | None = None
     to_mend: int | None = None
+    set_aside: int | None = None
 
-    def __new__(cls, written: int, read: int | None = None, to_mend: int | None = None):
+    def __new__(cls, written: int, read: int | None = None, to_mend: int | None = None, set_aside: int | None = None):
         made = super().__new__(cls, written)
-        made.read, made.to_mend = read, to_mend
+        made.read, made.to_mend, made.set_aside = read, to_mend, set_aside
         return made
 
 
@@ -51,7 +54,26 @@ def _tidy(job: Callable) -> Callable:
     return run
 
 
-def _write_mended(rows: DataFrame, mend: Callable[[DataFrame], DataFrame], wrong: Column, target: str) -> Rows:
+def _restaurants(spark: SparkSession, path: str, schema: StructType, set_aside: str | None) -> tuple[DataFrame, int | None]:
+    """Restaurants from CSV and, with a place for them, the number of lines set aside.
+
+    The CSV is then read once: all rows are stored with the text of lines that do not fit the
+    layout, and counted on the way. Those lines go to ``set_aside``, as the column ``line``,
+    and are no rows of the result. Row groups without any are skipped when they are looked for.
+    """
+    if set_aside is None:
+        return sources.restaurants_csv(spark, path, schema), None
+    seen = Observation()
+    rows = sources.restaurants_csv(spark, path, schema, bad_line=_BAD_LINE)
+    rows = sinks.written(rows.observe(seen, F.count(F.col(_BAD_LINE)).alias("bad")))
+    bad = F.col(_BAD_LINE).isNotNull()
+    sinks.write_parquet(rows.filter(bad).select(F.col(_BAD_LINE).alias("line")), set_aside)
+    return rows.filter(~bad).drop(_BAD_LINE), seen.get["bad"]
+
+
+def _write_mended(
+    rows: DataFrame, mend: Callable[[DataFrame], DataFrame], wrong: Column, target: str, set_aside: int | None = None
+) -> Rows:
     """Write what ``mend`` makes of each row, and count rows that were ``wrong`` on the way.
 
     A row in is a row out here, so both are counted where the result is written, however
@@ -60,7 +82,7 @@ def _write_mended(rows: DataFrame, mend: Callable[[DataFrame], DataFrame], wrong
     seen = Observation()
     mended = mend(rows.withColumn(_MENDED, wrong))
     counted = mended.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(_MENDED).alias("to_mend"))
-    return Rows(sinks.write_parquet(counted.drop(_MENDED), target), **seen.get)
+    return Rows(sinks.write_parquet(counted.drop(_MENDED), target), **seen.get, set_aside=set_aside)
 
 
 PREVIEW_COLUMNS = ("franchise_name", "city", "lat", "lng", GEOHASH)
@@ -98,15 +120,25 @@ def complete(
 
 
 @_tidy
-def count_restaurants(spark: SparkSession, restaurants: str, target: str, schema: StructType | None = None) -> int:
-    """Counts per franchise and city. Without a schema, column types are inferred."""
+def count_restaurants(
+    spark: SparkSession,
+    restaurants: str,
+    target: str,
+    schema: StructType | None = None,
+    types: str | None = None,
+    set_aside: str | None = None,
+) -> int:
+    """Counts per franchise and city. Without a schema, column types are inferred, with
+    ``types`` from new files alone. Under a schema, lines that do not fit it can be
+    ``set_aside`` there."""
+    bad = None
     if schema is None:
-        rows = sources.csv_inferred(spark, restaurants)
+        rows = sources.csv_inferred(spark, restaurants, types)
     else:
-        rows = sources.restaurants_csv(spark, restaurants, schema)
+        rows, bad = _restaurants(spark, restaurants, schema, set_aside)
     seen = Observation()
     rows = rows.observe(seen, F.count(F.lit(1)).alias("read"))
-    return Rows(sinks.write_parquet(aggregates.restaurant_counts(rows), target), **seen.get)
+    return Rows(sinks.write_parquet(aggregates.restaurant_counts(rows), target), **seen.get, set_aside=bad)
 
 
 @_tidy
@@ -117,16 +149,19 @@ def geocode(
     target: str,
     mode: str = "fill_gaps",
     most_edits: int | None = None,
+    set_aside: str | None = None,
 ) -> int:
     """Coordinates from a gazetteer; ``mode`` is ``replace`` or ``fill_gaps``. With
-    ``most_edits`` places may be written another way than in the gazetteer, see ``forgiving``."""
+    ``most_edits`` places may be written another way than in the gazetteer, see ``forgiving``.
+    Lines that do not fit the layout can be ``set_aside`` there; without that their bad
+    values are null."""
     places = read_gazetteer(spark, gazetteer)
-    rows = sources.restaurants_csv(spark, restaurants)
+    rows, bad = _restaurants(spark, restaurants, RESTAURANT, set_aside)
     if most_edits is not None:
         keys = gazetteer_keys(places)
         places = sinks.written(forgiving.answers(rows, places, keys, most_edits=most_edits).select(*keys, "lat", "lng"))
     mend = geocoding.MODES[mode]
-    return _write_mended(rows, lambda x: mend(x, places, gazetteer_keys(places)), filters.lacks_coords(), target)
+    return _write_mended(rows, lambda x: mend(x, places, gazetteer_keys(places)), filters.lacks_coords(), target, bad)
 
 
 def tag_geohash(
@@ -142,12 +177,18 @@ def tag_geohash(
 
 @_tidy
 def complete_restaurants(
-    spark: SparkSession, restaurants: str, gazetteer: str, target: str, precision: int = DEFAULT_PRECISION
+    spark: SparkSession,
+    restaurants: str,
+    gazetteer: str,
+    target: str,
+    precision: int = DEFAULT_PRECISION,
+    set_aside: str | None = None,
 ) -> int:
-    """Fill gaps and add the geohash in one pass over the CSV."""
-    rows = sources.restaurants_csv(spark, restaurants)
+    """Fill gaps and add the geohash in one pass over the CSV; lines that do not fit the layout
+    can be ``set_aside`` there."""
+    rows, bad = _restaurants(spark, restaurants, RESTAURANT, set_aside)
     places = read_gazetteer(spark, gazetteer)
-    return _write_mended(rows, lambda x: complete(x, places, precision), filters.lacks_coords(), target)
+    return _write_mended(rows, lambda x: complete(x, places, precision), filters.lacks_coords(), target, bad)
 
 
 @_tidy
@@ -201,8 +242,10 @@ def enrich_restaurants(
     weather_schema: StructType | str | None = None,
     precision: int = DEFAULT_PRECISION,
     broadcast: bool = True,
+    prefix_letters: int | None = None,
 ) -> int:
-    """Join restaurants that carry a geohash with the weather, in ``geohash=`` folders.
+    """Join restaurants that carry a geohash with the weather, in ``geohash=`` folders or, with
+    ``prefix_letters``, in folders of so many letters, which many or long geohashes ask for.
 
     ``grain="cell"`` keeps one row per restaurant. ``grain="cell_date"`` gives one row
     per restaurant and date. Restaurants may lie in ``geohash=`` folders; a geohash that is
@@ -237,7 +280,10 @@ def enrich_restaurants(
     # their size is known before the join is planned.
     means = sinks.written(means)
     choice = False if not broadcast else (True if fits_broadcast(means) else None)
-    return sinks.write_by_geohash(enrich.left_join_cells(rows, means, choice), target)
+    joined = enrich.left_join_cells(rows, means, choice)
+    if prefix_letters is not None:
+        return sinks.write_by_prefix(joined, target, prefix_letters)
+    return sinks.write_by_geohash(joined, target)
 
 
 def pipeline(spark: SparkSession, restaurants: str, gazetteer: str, archives: str, folder: str) -> str:

@@ -51,3 +51,5 @@ TEXT_KEYS = ("query",)
 
 DATE_PARTS = ("year", "month", "day")
 GEOHASH = "geohash"
+#: Folder key of tables in prefix folders: the first letters of the geohash.
+PREFIX = "cell_prefix"

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from cellweave.schemas import DATE_PARTS, GEOHASH
+from cellweave.schemas import DATE_PARTS, GEOHASH, PREFIX
 from cellweave.session import beside, exists, move, remove, shared_folder, siblings
 
 _scratch: list[list[str]] = []
@@ -139,6 +139,35 @@ def write_by_geohash(
     return counted.get["rows"]
 
 
+#: Rows of one cell are dealt over so many ranges at most.
+_SPREAD = 1024
+
+
+def write_by_prefix(df: DataFrame, path: str, letters: int = 2, codec: str = "gzip", partitions: int | None = None) -> int:
+    """One folder per geohash prefix of so many letters, at most ``32**letters`` and one for rows
+    without a cell, however many cells there are.
+
+    Rows are dealt out by ranges of cells, each task writing one range in order, so a file holds
+    neighbouring cells and its row groups can be skipped by their smallest and largest. Ranges
+    are cut where a sample says that they are even, within a very common cell too. There are
+    about as many files as tasks and folders together.
+    """
+    if not 1 <= letters <= 4:
+        raise ValueError("a prefix has one to four letters")
+    if PREFIX in df.columns:
+        raise ValueError(f"{PREFIX} names the folders and can not be a column")
+    spread = "_spread"
+    keyed = df.withColumns(
+        {PREFIX: F.substring(GEOHASH, 1, letters), spread: F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD))}
+    )
+    order = (PREFIX, GEOHASH, spread)
+    dealt = keyed.repartitionByRange(*order) if partitions is None else keyed.repartitionByRange(partitions, *order)
+    writer, counted = _counted(dealt.sortWithinPartitions(PREFIX, GEOHASH).drop(spread), codec)
+    with replacing(df.sparkSession, path) as draft:
+        writer.partitionBy(PREFIX).parquet(draft)
+    return counted.get["rows"]
+
+
 def write_by_date(df: DataFrame, path: str, codec: str = "gzip", gather: bool = True) -> int:
     """One folder per ``year=/month=/day=``.
 

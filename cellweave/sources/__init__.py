@@ -1,5 +1,6 @@
 from cellweave.sources.tables import (
     by_geohash,
+    by_prefix,
     csv_inferred,
     parquet,
     restaurants_csv,
@@ -10,6 +11,7 @@ from cellweave.sources.weather_zip import weather_zip
 
 __all__ = [
     "by_geohash",
+    "by_prefix",
     "csv_inferred",
     "parquet",
     "restaurants_csv",

@@ -266,8 +266,10 @@ def scan(
     return reduce(DataFrame.unionByName, scans)
 
 
-def read(spark: SparkSession, root: str) -> DataFrame:
-    """A folder of Parquet files, in ``key=value`` folders or not, however they differ."""
-    keys = spark.read.schema(T.StructType()).parquet(root).schema
+def read(spark: SparkSession, root: str, keys: T.StructType | None = None) -> DataFrame:
+    """A folder of Parquet files, in ``key=value`` folders or not, however they differ. The
+    types of the keys are guessed from the folders' names unless ``keys`` states them."""
+    if keys is None:
+        keys = spark.read.schema(T.StructType()).parquet(root).schema
     with scratch(spark):
         return scan(spark, root, written(listed(spark, root)), keys)

@@ -3,35 +3,54 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from cellweave.schemas import DATE_PARTS, GEOHASH, RESTAURANT
-from cellweave.sources import layouts
+from cellweave.functions.geohash import ALPHABET
+from cellweave.schemas import DATE_PARTS, GEOHASH, PREFIX, RESTAURANT
+from cellweave.sources import csv_types, layouts
 
 
 def restaurants_csv(
-    spark: SparkSession, path: str, schema: StructType = RESTAURANT, check_header: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType = RESTAURANT,
+    check_header: bool = False,
+    bad_line: str | None = None,
 ) -> DataFrame:
     """CSV with a header line under a fixed layout; a bad value becomes null.
 
     Fields bind by position and the header is skipped. ``check_header`` makes Spark
-    compare the header with the layout and fail on a mismatch.
+    compare the header with the layout and fail on a mismatch. ``bad_line`` names a column
+    for the text of lines that do not fit the layout, in a value or in the number of fields;
+    for all others it is null.
     """
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=not check_header)
-
-
-def csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line; column types are found by an extra pass over the data."""
+    options = {}
+    if bad_line is not None:
+        schema = StructType([*schema, StructField(bad_line, StringType())])
+        options["columnNameOfCorruptRecord"] = bad_line
+    return spark.read.csv(path, header=True, schema=schema, enforceSchema=not check_header, **options)
+
+
+def csv_inferred(spark: SparkSession, path: str, types: str | None = None) -> DataFrame:
+    """CSV with a header line; column types are found by an extra pass over the data. With
+    ``types``, a folder where they are kept, only over files that are new, see ``csv_types``."""
+    if types is not None:
+        return spark.read.csv(path, header=True, schema=csv_types.schema(spark, path, types))
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
-def weather_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def weather_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, types: str | None = None
+) -> DataFrame:
     """Weather CSV. Give the schema (in file order) for large data to save a pass."""
     if schema is None:
-        return csv_inferred(spark, path)
+        return csv_inferred(spark, path, types)
     return spark.read.csv(path, header=True, schema=schema)
 
 
@@ -75,3 +94,38 @@ def by_geohash(spark: SparkSession, path: str, schema: StructType | None = None)
         schema = files.parquet(path).schema
     fields = [f for f in schema.fields if f.name != GEOHASH]
     return spark.read.schema(StructType([*fields, StructField(GEOHASH, StringType())])).parquet(path)
+
+
+def _within(column: str, cell: str) -> Column:
+    """Texts that begin with the cell, as a range that statistics can be held against."""
+    # No letter of a geohash comes after "~".
+    return (F.col(column) >= cell) & (F.col(column) < cell + "~")
+
+
+def by_prefix(
+    spark: SparkSession, path: str, cells: Sequence[str] | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """A table written in prefix folders; with ``cells``, the rows in any of these.
+
+    A cell of fewer letters than the geohashes stands for all cells in it. Its letters choose
+    folders, and a range of geohashes within their files, so neither other folders nor other
+    row groups are read. ``schema`` names the columns inside the files; without it the files
+    may differ, see ``layouts``.
+    """
+    keys = StructType([StructField(PREFIX, StringType())])
+    if schema is None:
+        rows = layouts.read(spark, path, keys)
+    else:
+        rows = spark.read.schema(StructType([*(f for f in schema if f.name != PREFIX), *keys])).parquet(path)
+    if cells is not None:
+        for cell in cells:
+            if not cell or not set(cell) <= set(ALPHABET):
+                raise ValueError(f"{cell!r} is no geohash")
+        if not cells:
+            return rows.filter("false").drop(PREFIX)
+        # A folder can hold such cells if either of the two texts begins with the other.
+        folders = [
+            reduce(or_, [_within(PREFIX, cell)] + [F.col(PREFIX) == cell[:n] for n in range(1, len(cell))]) for cell in cells
+        ]
+        rows = rows.filter(reduce(or_, folders)).filter(reduce(or_, (_within(GEOHASH, cell) for cell in cells)))
+    return rows.drop(PREFIX)

@@ -293,11 +293,39 @@ from rest r left join points p on p.query = r.franchise_name || ', ' || r.city |
     "csv_inferred_types": "select * from (values ('id', 'int'), ('franchise_id', 'int'), ('franchise_name', 'string'), "
     "('restaurant_franchise_id', 'int'), ('country', 'string'), ('city', 'string'), ('lat', 'double'), "
     "('lng', 'double')) t(name, type)",
+    "csv_types_of_new_files": "select * from (values "
+    + ", ".join(
+        f"({delivery}::int, '{name}', '{kind}')"
+        for delivery, kinds in (
+            (1, "int int string int string string double double date"),
+            (2, "bigint int string double string string string double timestamp"),
+        )
+        for name, kind in zip(
+            "id franchise_id franchise_name restaurant_franchise_id country city lat lng opened".split(), kinds.split()
+        )
+    )
+    + ") t(delivery, name, type) where (select count(*) from customer) > 0",
+    "geocode_job_set_aside": _with(
+        "select * from filled where id % 19 <> 3 and id % 23 <> 5", rest=REST, gaz=GAZ, filled=FILLED
+    ),
+    "csv_lines_set_aside": _with(
+        "select line, count(*) over () as counted from (select id || ',' "
+        "|| case when id % 23 = 5 then '1.5' else franchise_id::varchar end || ',' || franchise_name || ',' "
+        "|| restaurant_franchise_id || ',' || coalesce(country, '') || ',' || city || ',' "
+        "|| case when id % 19 = 3 then 'north' else coalesce(lat::varchar, '') end || ',' "
+        "|| coalesce(lng::varchar, '') as line from rest where id % 19 = 3 or id % 23 = 5)",
+        rest=REST,
+    ),
     "weather_csv_by_cell_date": BY_DATE_MEANS,
     "parquet_with_schema": _with(
         "select * exclude (franchise_id), cast(null as int) as franchise_id from rest", rest=REST
     ),
     "partitioned_roundtrip": _with("select * from tagged", **COMPLETED),
+    "prefix_roundtrip": _with("select * from tagged", **COMPLETED),
+    "prefix_some_cells": _with(
+        "select * from tagged where regexp_matches(geohash, '^(3|s0|7x5|66c9|th)')", **COMPLETED
+    ),
+    "enrich_job_prefix_folders": BY_CELL,
     "weather_by_date_read": DATED_ROWS,
     "recompress": DATED_ROWS,
     "zip_ingest": DATED_ROWS,

@@ -229,6 +229,42 @@ def csv_inferred_types(spark: SparkSession, folder: str) -> DataFrame:
     return inferred.limit(1).select(named)
 
 
+def csv_types_of_new_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Types after a first delivery, and after a second one that has wider values."""
+    path = shared_folder(spark)
+    rows = tables.restaurants(spark, folder).withColumn("opened", F.lit("2017-08-01"))
+    later = rows.select(
+        F.col("id") + 10**10, "franchise_id", "franchise_name", F.col("restaurant_franchise_id") + 0.5,
+        "country", "city", F.concat(F.lit("at "), "lat"), "lng", F.lit("2017-08-01 12:30:00"),
+    ).toDF(*rows.columns)
+    named = []
+    for delivery, data in enumerate((rows, later), 1):
+        data.write.mode("append").csv(path, header=True)
+        kept = sources.csv_inferred(spark, path, f"{path}/_types")
+        named += [(delivery, name, kind) for name, kind in kept.dtypes]
+    return spark.createDataFrame(named, "delivery int, name string, type string")
+
+
+def _csv_with_bad_values(spark: SparkSession, folder: str) -> str:
+    """Restaurants of which some have a latitude, or a number, that is none."""
+    lat = F.when(F.col("id") % 19 == 3, "north").otherwise(F.col("lat").cast("string"))
+    number = F.when(F.col("id") % 23 == 5, "1.5").otherwise(F.col("franchise_id").cast("string"))
+    rows = tables.restaurants(spark, folder).withColumns({"lat": lat, "franchise_id": number})
+    return _once(spark, folder, "bad_csv", lambda path: rows.write.csv(path, header=True))
+
+
+def geocode_job_set_aside(spark: SparkSession, folder: str) -> DataFrame:
+    rows, places, aside = _csv_with_bad_values(spark, folder), _gazetteer(spark, folder), shared_folder(spark)
+    return _job(spark, lambda target: jobs.geocode(spark, rows, places, target, set_aside=aside))
+
+
+def csv_lines_set_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines that do not fit the layout, and how many the job says there are."""
+    rows, places, aside = _csv_with_bad_values(spark, folder), _gazetteer(spark, folder), shared_folder(spark)
+    done = jobs.geocode(spark, rows, places, shared_folder(spark), set_aside=aside)
+    return sources.parquet(spark, aside).withColumn("counted", F.lit(done.set_aside).cast("long"))
+
+
 def weather_csv_by_cell_date(spark: SparkSession, folder: str) -> DataFrame:
     return weather.by_cell_date(sources.weather_csv(spark, _readings_csv(spark, folder), WEATHER))
 
@@ -248,6 +284,26 @@ def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return sources.by_geohash(spark, path, completed.schema)
 
 
+def _prefix_folders(spark: SparkSession, folder: str) -> str:
+    rows = _completed(spark, folder)
+    return _once(spark, folder, "prefix_folders", lambda path: sinks.write_by_prefix(rows, path))
+
+
+def prefix_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return sources.by_prefix(spark, _prefix_folders(spark, folder))
+
+
+def prefix_some_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells shorter than, as long as and longer than the names of the folders, and a whole one."""
+    return sources.by_prefix(spark, _prefix_folders(spark, folder), ("3", "s0", "7x5", "66c9", "th"))
+
+
+def enrich_job_prefix_folders(spark: SparkSession, folder: str) -> DataFrame:
+    restaurants, weather_csv, target = _completed_restaurants(spark, folder), _readings_csv(spark, folder), shared_folder(spark)
+    jobs.enrich_restaurants(spark, restaurants, weather_csv, target, weather_format="csv", prefix_letters=1)
+    return sources.by_prefix(spark, target)
+
+
 def weather_by_date_read(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark)
     sinks.write_by_date(tables.dated_readings(spark, folder), path)
@@ -482,9 +538,15 @@ QUERIES: dict[str, Query] = {
     "csv_fixed_schema": csv_fixed_schema,
     "csv_inferred": csv_inferred,
     "csv_inferred_types": csv_inferred_types,
+    "csv_types_of_new_files": csv_types_of_new_files,
+    "geocode_job_set_aside": geocode_job_set_aside,
+    "csv_lines_set_aside": csv_lines_set_aside,
     "weather_csv_by_cell_date": weather_csv_by_cell_date,
     "parquet_with_schema": parquet_with_schema,
     "partitioned_roundtrip": partitioned_roundtrip,
+    "prefix_roundtrip": prefix_roundtrip,
+    "prefix_some_cells": prefix_some_cells,
+    "enrich_job_prefix_folders": enrich_job_prefix_folders,
     "weather_by_date_read": weather_by_date_read,
     "recompress": recompress,
     "zip_ingest": zip_ingest,
