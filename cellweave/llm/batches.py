@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cellweave.llm.words import SLICE_BYTES, slices
@@ -23,28 +24,37 @@ def with_arrays(
     compute: Callable[[pa.Array], Mapping[str, pa.Array]],
     drop: Sequence[str] = (),
     limit: int = SLICE_BYTES,
+    keep: tuple[Column, Callable[[pa.Array], np.ndarray]] | None = None,
 ) -> DataFrame:
     """``df`` with columns that ``compute`` makes from a column of text.
 
     Columns of ``df`` that are named like a new one are replaced. ``compute`` sees about
-    ``limit`` bytes of text at a time, or one longer text.
+    ``limit`` bytes of text at a time, or one longer text. ``keep`` is an expression, and what
+    tells from its values which rows there are to be; one pass through Python does both.
     """
     kept = [f for f in df.schema if f.name not in added and f.name not in drop]
     names = [f.name for f in kept]
     schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in added.items())])
     # The text goes in under a name of its own, so that a dropped or replaced one is still there.
-    source = "__text"
-    while source in df.columns:
-        source += "_"
+    source, tested = fresh([*df.columns, *added], "text", "tested")
+
+    tells = None if keep is None else keep[1]
+
+    def left(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = tells(batch.column(tested))
+            if wanted.any():
+                yield batch.filter(pa.array(wanted))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, source, limit):
+        for part in slices(batches if tells is None else left(batches), source, limit):
             made = compute(part.column(source))
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(n) for n in names), *(made[n] for n in added)], names=[*names, *added]
             )
 
-    return df.select(*(f"`{n}`" for n in names), df[text].alias(source)).mapInArrow(run, schema)
+    given = [df[f"`{text}`"].alias(source)] + ([] if keep is None else [keep[0].alias(tested)])
+    return df.select(*(f"`{n}`" for n in names), *given).mapInArrow(run, schema)
 
 
 def stored(df: DataFrame, batch_rows: int | None = None) -> DataFrame:

@@ -6,14 +6,14 @@ broadcast does not grow with the data; a set that is large for it only lets more
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.batches import shuffle_partitions
+from cellweave.llm.batches import fresh, shuffle_partitions
 from cellweave.llm.words import U64
 
 CHUNK_BITS = 18
@@ -70,16 +70,23 @@ def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 
 def apart(df: DataFrame, hashed: Column, known: np.ndarray) -> tuple[DataFrame, DataFrame]:
     """Rows whose hash is surely not in the bitmap, and rows for which it may be."""
+    return tuple(_only(df, *within(df, hashed, known, wanted)) for wanted in (False, True))
+
+
+def within(df: DataFrame, hashed: Column, known: np.ndarray, wanted: bool) -> tuple[Column, Callable[[pa.Array], np.ndarray]]:
+    """The hash, and which of its values may be in the bitmap, or surely are not."""
     sent = df.sparkSession.sparkContext.broadcast(known)
-    keyed, schema = df.withColumn("__hash", hashed), df.withColumn("__hash", hashed).schema
+    return hashed, lambda column: has(sent.value, column.to_numpy().view(U64)) == wanted
 
-    def only(wanted: bool) -> DataFrame:
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = has(sent.value, batch.column("__hash").to_numpy().view(U64)) == wanted
-                if keep.any():
-                    yield batch.filter(pa.array(keep))
 
-        return keyed.mapInArrow(run, schema).drop("__hash")
+def _only(df: DataFrame, hashed: Column, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    (name,) = fresh(df.columns, "hash")
+    keyed = df.withColumn(name, hashed)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = keep(batch.column(name))
+            if wanted.any():
+                yield batch.filter(pa.array(wanted))
 
-    return only(False), only(True)
+    return keyed.mapInArrow(run, keyed.schema).drop(name)

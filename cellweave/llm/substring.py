@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.llm import bitmaps
-from cellweave.llm.batches import stored, with_arrays
+from cellweave.llm.batches import fresh, stored, with_arrays
 from cellweave.llm.words import SPACED, Words, buffers, signed, slices, split_words, window_hashes, windows
 
 WINDOW = 50
@@ -29,6 +29,8 @@ BLOCK = 25
 FILTER_BITS = 28
 #: Bitmap of the documents that lose something: 8 MB.
 CHANGED_BITS = 26
+#: Texts that go to Python in one go.
+BATCH_TEXTS = 1000
 
 
 def _emit(docs: DataFrame, found: Callable[[Words, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -64,7 +66,7 @@ def repeated_windows(docs: DataFrame, window: int, block: int, filter_bits: int)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
         return window_hashes(words.hashes, words.first[owner] + nth * block, block), ids[owner]
 
-    index = stored(_emit(docs, blocks).groupBy("hash").agg(F.min("doc_id").alias("lowest")))
+    index = stored(_emit(docs, blocks).groupBy("hash").agg(F.min("doc_id").alias("lowest")), BATCH_TEXTS)
     known = spark.sparkContext.broadcast(bitmaps.bitmap(index.select("hash"), filter_bits))
 
     def probes(words: Words, ids: np.ndarray):
@@ -74,7 +76,8 @@ def repeated_windows(docs: DataFrame, window: int, block: int, filter_bits: int)
         return _highest(hashes[keep], ids[owner])
 
     probed = _emit(docs, probes).groupBy("hash").agg(F.max("doc_id").alias("highest"))
-    live = stored(index.join(probed, "hash").filter("lowest < highest").select("hash"))
+    live = stored(index.join(probed, "hash").filter("lowest < highest").select("hash"), BATCH_TEXTS)
+    known.unpersist()
     anchors = spark.sparkContext.broadcast(bitmaps.bitmap(live, filter_bits))
 
     def around(words: Words, ids: np.ndarray):
@@ -88,8 +91,10 @@ def repeated_windows(docs: DataFrame, window: int, block: int, filter_bits: int)
         owner = np.searchsorted(words.first, opens, "right") - 1
         return window_hashes(words.hashes, opens, window) if len(opens) else words.hashes[:0], ids[owner]
 
-    listed = stored(_emit(docs, around))
-    lowest = (
+    listed = stored(_emit(docs, around), BATCH_TEXTS)
+    anchors.unpersist()
+    # Stored, so that the join below is one of two plain exchanges, which can be split.
+    lowest = stored(
         listed.groupBy("hash")
         .agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"))
         .filter("lowest < highest")
@@ -167,23 +172,27 @@ def remove_repeats(
     gone = stored(repeated_windows(slim, window, block, filter_bits))
     changed = bitmaps.bitmap(gone.select(F.xxhash64("doc_id").alias("h")).distinct(), CHANGED_BITS)
     docs = docs.drop(*ADDED)
+    own_id, own_gone = fresh(docs.columns, "id", "gone")
     # Spark computes both hashes, so they agree; that of a null id is some number too.
-    same, touched = bitmaps.apart(docs, F.xxhash64(F.col(doc_id).cast("long")), changed)
+    hashed = F.xxhash64(F.col(doc_id).cast("long"))
+    _, touched = bitmaps.apart(docs, hashed, changed)
     drop = () if keep_text else (text,)
-    whole = with_arrays(same, text, ADDED, lambda column: _kept(column, None, window), drop)
-    sets = gone.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("hash").alias("__gone"))
-    met = touched.join(sets.hint("shuffle_hash"), F.col(doc_id).cast("long") == F.col("__id"), "left").drop("__id")
-    return whole.unionByName(_cut(met, text, window, drop))
+    same = bitmaps.within(docs, hashed, changed, False)
+    whole = with_arrays(docs, text, ADDED, lambda column: _kept(column, None, window), drop, keep=same)
+    # Each window of an id once, so a list is no longer than its text. Stored for the join's sake.
+    sets = stored(gone.groupBy(F.col("doc_id").alias(own_id)).agg(F.collect_set("hash").alias(own_gone)))
+    met = touched.join(sets.hint("shuffle_hash"), F.col(doc_id).cast("long") == F.col(own_id), "left").drop(own_id)
+    return whole.unionByName(_cut(met, text, window, drop, own_gone))
 
 
-def _cut(met: DataFrame, text: str, window: int, drop: tuple[str, ...]) -> DataFrame:
-    kept = [f for f in met.schema if f.name not in drop and f.name != "__gone"]
+def _cut(met: DataFrame, text: str, window: int, drop: tuple[str, ...], own_gone: str) -> DataFrame:
+    kept = [f for f in met.schema if f.name not in drop and f.name != own_gone]
     names = [f.name for f in kept]
     schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in ADDED.items())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
-            sets = part.column("__gone")
+            sets = part.column(own_gone)
 
             def gone(i: int, hashes: np.ndarray, sets=sets) -> np.ndarray:
                 own = sets[i].values
