@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.batches import stored
+from cellweave.llm import bitmaps
+from cellweave.llm.batches import fresh, stored
 
 #: A line on so many distinct sites is boilerplate.
 MIN_SITES = 8
@@ -13,8 +14,8 @@ MIN_SITES = 8
 LG_K = 10
 #: Lines whose estimate is within this factor of the threshold, either way, are counted exactly.
 NEAR = 2.0
-#: Documents that would lose a larger share of their characters are left as they are.
-MOST_REMOVED = 0.5
+#: Bitmap of the documents that have a shared line: 8 MB. Too small a one moves more texts, no fewer lines.
+CHANGED_BITS = 26
 
 
 def lines_of(text: Column) -> Column:
@@ -61,21 +62,24 @@ def remove_shared_lines(
     text: str = "text",
     site: str = "source",
     min_sites: int = MIN_SITES,
-    most_removed: float = MOST_REMOVED,
     near: float = NEAR,
     lg_k: int = LG_K,
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and ``n_lines`` and ``n_removed``.
 
     Lines end at line feeds and are compared without outer blanks, by 64-bit hash. A line
-    on at least ``min_sites`` distinct values of ``site`` goes, wherever it stands, unless
-    the document would lose more than ``most_removed`` of its characters: such documents are
-    copies of each other rather than pages with a common frame, and stay whole for a stage
-    that compares documents. Blank lines stay. A null text stays null and has no lines; a
-    null site counts for none; rows are judged alone, so repeated rows stay equal. Existing
-    columns of the new names are replaced.
+    on at least ``min_sites`` distinct values of ``site`` goes, wherever it stands, unless all
+    lines of the document that are not blank are such lines: it has no text of its own then,
+    is a copy rather than a page with a common frame, and stays whole for a stage that
+    compares documents. Blank lines stay. A null text stays null and has no lines; a null site
+    counts for none; rows are judged alone, so repeated rows stay equal. Existing columns of
+    the new names are replaced, all others may have any name.
+
+    Texts move only for documents that have a shared line. The shared lines of each document
+    are stored before the texts join them, so rows that very often repeat are split.
     """
     docs = docs.drop("n_lines", "n_removed")
+    own_key, gone, kept = fresh(docs.columns, "key", "shared", "kept")
     # Should two rows share this key, each still only loses lines that are boilerplate.
     key = F.xxhash64(doc_id, text)
     occurrences = stored(
@@ -84,24 +88,30 @@ def remove_shared_lines(
         .filter("line is not null")
     )
     shared = stored(shared_lines(occurrences.select("line", "site"), min_sites, near, lg_k))
-    found = (
+    found = stored(
         occurrences.select("key", "line")
         .join(shared, "line", "left_semi")
-        .groupBy(F.col("key").alias("__key"))
-        .agg(F.collect_set("line").alias("__shared"))
+        .groupBy(F.col("key").alias(own_key))
+        .agg(F.collect_set("line").alias(gone))
     )
+    same, touched = bitmaps.apart(docs, key, bitmaps.bitmap(found.select(own_key), CHANGED_BITS))
     every = lines_of(F.col(text))
-    goes = lambda line: F.coalesce(F.array_contains("__shared", line_hash(line)), F.lit(False))
-    out = (
-        docs.withColumn("__key", key)
-        .join(found.hint("shuffle_hash"), "__key", "left")
-        .withColumn("__kept", F.when(F.col("__shared").isNotNull(), F.filter(every, lambda x: ~goes(x))))
+    n_lines = F.when(F.col(text).isNotNull(), F.size(every)).otherwise(0).cast("long")
+    whole = same.select("*", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    left = F.filter(every, lambda line: ~F.coalesce(F.array_contains(gone, line_hash(line)), F.lit(False)))
+    met = (
+        touched.withColumn(own_key, key)
+        .join(found.hint("shuffle_hash"), own_key, "left")
+        .withColumn(kept, F.when(F.col(gone).isNotNull(), left))
     )
-    left = F.array_join("__kept", "\n")
-    cut = F.col("__kept").isNotNull() & (F.length(left) >= F.length(text) * (1 - most_removed))
-    n_lines = F.when(F.col(text).isNotNull(), F.size(every)).otherwise(0)
-    return out.withColumn("__cut", F.coalesce(cut, F.lit(False))).select(
-        *(F.when(F.col("__cut"), left).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in docs.columns),
-        n_lines.cast("long").alias("n_lines"),
-        F.when(F.col("__cut"), n_lines - F.size("__kept")).otherwise(0).cast("long").alias("n_removed"),
+    # Without a shared line (the bitmap may err) or a line of its own a document stays as it is.
+    cut = F.coalesce(F.exists(kept, lambda line: line_hash(line).isNotNull()), F.lit(False))
+    less = met.select(
+        *(
+            F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`")
+            for c in docs.columns
+        ),
+        n_lines.alias("n_lines"),
+        F.when(cut, n_lines - F.size(kept)).otherwise(0).cast("long").alias("n_removed"),
     )
+    return whole.unionByName(less)

@@ -113,7 +113,7 @@ with l as (
         list_filter(string_split(text, chr(10)), lambda x: not list_contains(gone, trim(x, ' '))) as kept
     from documents cross join shared
 ), cut as (
-    select *, len(kept) < len(every) and length(array_to_string(kept, chr(10))) >= length(text) * 0.5 as goes from kept
+    select *, len(kept) < len(every) and len(list_filter(kept, lambda x: trim(x, ' ') <> '')) > 0 as goes from kept
 )
 select doc_id, coalesce(len(every), 0) as n_lines,
     case when goes then len(every) - len(kept) else 0 end as n_removed,

@@ -83,7 +83,7 @@ def hits(text, items, window=10):
     return len(words), len(hit), sorted(found)
 
 
-def without_shared_lines(docs, min_sites=8, most=0.5):
+def without_shared_lines(docs, min_sites=8):
     """(text, lines, removed) for each of (text, site)."""
     sites = defaultdict(set)
     for text, site in docs:
@@ -98,7 +98,7 @@ def without_shared_lines(docs, min_sites=8, most=0.5):
         lines = text.split("\n")
         kept = [x for x in lines if len(sites.get(x.strip(" "), ())) < min_sites]
         left = "\n".join(kept)
-        if len(left) < len(text) * (1 - most):
+        if not any(x.strip(" ") for x in kept):
             kept, left = lines, text
         out.append((left if len(kept) < len(lines) else text, len(lines), len(lines) - len(kept)))
     return out

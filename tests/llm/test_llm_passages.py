@@ -158,6 +158,53 @@ def test_lines_of_many_sites_go(spark, near):
     assert sum(row.n_removed for row in got.collect()) > 100
 
 
+def test_a_document_of_shared_lines_alone_stays_whole(spark):
+    """However little a line of its own is."""
+    frame = "a long line that very many sites have in common, as often in the frame of a page"
+    rows = [(i, f"{frame}\n own {i} \n\n{frame}", f"s{i}") for i in range(9)]
+    rows += [(20, f"{frame}\n \n{frame}", "s1"), (21, frame, None), (22, f"{frame}\nx", None)]
+    docs = spark.createDataFrame([(*row, "k", 1) for row in rows], "doc_id long, text string, source string, __KEY string, __hash int")
+    got = linededup.remove_shared_lines(docs)
+    assert got.columns == ["doc_id", "text", "source", "__KEY", "__hash", "n_lines", "n_removed"]
+    want = [(i, f" own {i} \n", "k", 1, 4, 2) for i in range(9)]
+    want += [(20, rows[9][1], "k", 1, 3, 0), (21, frame, "k", 1, 1, 0), (22, "x", "k", 1, 2, 1)]
+    assert values(got, "doc_id", "text", "__KEY", "__hash", "n_lines", "n_removed") == sorted(want, key=repr)
+
+
+def test_rows_that_repeat_very_often_are_split(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", shuffle__partitions="8",
+             adaptive__skewJoin__skewedPartitionThresholdInBytes="4k", adaptive__skewJoin__skewedPartitionFactor="1.1",
+             adaptive__advisoryPartitionSizeInBytes="2k")
+    rows = [(i, f"shared line\nown line {i}", f"s{i % 9}") for i in range(800)] + [(1, "shared line\nthe same", "s")] * 800
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
+    got = linededup.remove_shared_lines(docs)
+    assert got.filter("n_removed = 1").count() == 1600
+    got.collect()
+    assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_id_that_very_many_rows_have(spark):
+    """Each window counts once for an id; names that the operator uses itself are kept."""
+    words = " ".join(f"w{i}" for i in range(200))
+    rows = [(7, words, "a", "b")] * 1000 + [(1, words, "a", "b"), (7, "short", "a", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id string, __gone string").repartition(4)
+    got = substring.remove_repeats(docs)
+    assert got.columns == ["doc_id", "__id", "__gone", "kept_text", "n_words", "n_removed"]
+    assert values(got.groupBy("doc_id", "n_words", "n_removed").count()) == [(1, 200, 0, 1), (7, 1, 0, 1), (7, 200, 200, 1000)]
+
+
 def test_no_lines(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert linededup.remove_shared_lines(none).count() == 0
+
+
+def test_a_window_that_very_many_documents_have_is_split(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", shuffle__partitions="8",
+             adaptive__skewJoin__skewedPartitionThresholdInBytes="4k", adaptive__skewJoin__skewedPartitionFactor="1.1",
+             adaptive__advisoryPartitionSizeInBytes="2k")
+    passage = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(i, f"{passage} own{i}") for i in range(3000)] + [(9000, "none")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    found = decontaminate.find(docs.withColumn("__key", docs.doc_id).repartition(8), items)
+    assert values(found.groupBy("n_hit", "items").count()) == [(0, [], 1), (12, ["1"], 3000)]
+    assert found.filter("__key <> doc_id").count() == 0
