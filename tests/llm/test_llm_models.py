@@ -124,13 +124,53 @@ def vectors(count=300, seed=1):
 def test_all_cells_give_the_exact_answer(spark, block_rows):
     rows = vectors()
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, rank int")
-    got = multiindex.search(df.repartition(5), k=7, share=1.0, centroids=8, block_rows=block_rows, block_queries=10)
+    got = multiindex.search(df.repartition(5), k=7, recall=1.0, centroids=8, block_rows=block_rows)
     got = sorted(map(tuple, got.collect()))
     want = nearest(rows, 7, 20)
     assert [x[:3] for x in got] == [x[:3] for x in want]
     assert np.allclose([x[3] for x in got], [x[3] for x in want])
 
 
+def test_cells_are_left_out_and_enough_is_found(spark, monkeypatch):
+    """Fewer rows are seen than there are, as many as the measured recall takes."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(60, 12))
+    x = (centres[rng.integers(0, 60, 20_000)] + 0.35 * rng.normal(size=(20_000, 12))).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    seen = []
+    plain = multiindex.enough_rows
+
+    def enough_rows(*args):
+        seen.append(plain(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(multiindex, "enough_rows", enough_rows)
+    got = {}
+    for row in multiindex.search(df, k=20, centroids=32, measured_queries=100).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    assert len(seen) == 1 and seen[0] < 0.5 * len(rows)
+    y = x.astype(float)
+    found = 0
+    for query in range(0, 20_000, 20):
+        scores = y @ y[query]
+        scores[query] = -np.inf
+        found += len(got[query] & set(np.argpartition(-scores, 20)[:20].tolist()))
+    assert 0.9 * 20_000 <= found < 20_000
+
+
+def test_vectors_of_each_length_are_searched_among_their_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4 + i % 2 * 3).tolist()) for i in range(100)] + [(1000, [1.0])]
+    got = multiindex.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=5, every=5, recall=1.0)
+    found = {(r.query_id, r["rank"]): r.vec_id for r in got.collect()}
+    x = {i: np.array(v, np.float32).astype(float) for i, v in rows}
+    for query in range(0, 100, 5):
+        own = sorted((i for i in x if i != query and len(x[i]) == len(x[query])), key=lambda i: -(x[i] @ x[query]))
+        assert [found[query, n] for n in range(1, 6)] == own[:5]
+    assert len(found) == 100
+
+
 def test_fewer_candidates_than_asked_for(spark):
     df = spark.createDataFrame([(20, [1.0, 0.0]), (40, [0.5, 0.5]), (41, [0.0, 1.0])], "vec_id long, embedding array<float>")
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in multiindex.search(df).collect())
