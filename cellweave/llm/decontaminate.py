@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.llm import bitmaps
-from cellweave.llm.batches import stored, with_arrays
+from cellweave.llm.batches import fresh, stored, with_arrays
 from cellweave.llm.words import (
     ALPHANUMERIC,
     Letters,
@@ -34,6 +34,8 @@ from cellweave.llm.words import (
 WINDOW = 10
 GRAM = 6
 FILTER_BITS = 24
+#: Bitmap of the documents that are hit: 8 MB.
+CHANGED_BITS = 26
 
 HIT = T.StructType(
     [
@@ -182,33 +184,44 @@ def find(
         borders = np.searchsorted(owner[order], np.arange(len(column) + 1)).astype(np.int32)
         return {
             "n_words": pa.array(np.diff(words.first)),
-            "__hits": pa.ListArray.from_arrays(pa.array(borders), hits),
+            own_hits: pa.ListArray.from_arrays(pa.array(borders), hits),
         }
 
     # Rows that agree in id and text are the same for this purpose.
     key = F.concat_ws(":", F.xxhash64(doc_id, text), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-    docs = docs.drop("spans", "n_hit", "items").withColumn("__key", key)
-    added = {"n_words": T.LongType(), "__hits": T.ArrayType(HIT, False)}
+    docs = docs.drop("spans", "n_hit", "items", "n_words")
+    own_key, own_hits, every = fresh(docs.columns, "key", "hits", "all")
+    docs = docs.withColumn(own_key, key)
+    added = {"n_words": T.LongType(), own_hits: T.ArrayType(HIT, False)}
     seen = stored(with_arrays(docs, text, added, compute, () if keep_text else (text,)))
 
-    hits = seen.select("__key", F.explode("__hits").alias("hit")).select("__key", "hit.*")
+    # What is made unique is stored before it is joined: the join is then one of two plain
+    # exchanges, and a window or a row that very many have can be split.
+    hits = seen.select(F.col(own_key).alias("key"), F.explode(own_hits).alias("hit")).select("key", "hit.*")
     matched = (
-        hits.join(looked.select("print").distinct(), "print", "left_semi")
-        .select("__key", "start", "size", "window")
+        hits.join(stored(looked.select("print").distinct()), "print", "left_semi")
+        .select("key", "start", "size", "window")
         .distinct()
-        .join(looked.select("size", "window").distinct(), ["size", "window"], "left_semi")
+        .join(stored(looked.select("size", "window").distinct()), ["size", "window"], "left_semi")
     )
     matched = stored(matched)
-    spans = matched.groupBy("__key").agg(
-        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("__all")
+    spans = matched.groupBy(F.col("key").alias(own_key)).agg(
+        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias(every)
     )
     listed = (
-        matched.select("__key", "size", "window")
+        matched.select("key", "size", "window")
         .distinct()
-        .join(looked.select("size", "window", "item").distinct(), ["size", "window"])
-        .groupBy("__key")
+        .join(looked.select("size", "window", "item"), ["size", "window"])
+        .groupBy(F.col("key").alias(own_key))
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
+    # Only documents with a hit have a row there, and only these are exchanged to meet it.
+    judged = stored(spans.join(listed, own_key, "left"))
+    hashed = F.xxhash64(own_key)
+    hit = bitmaps.bitmap(judged.select(hashed.alias("hash")), CHANGED_BITS)
+    same, touched = bitmaps.apart(seen.drop(own_hits), hashed, hit)
+    nothing = {name: F.lit(None).cast(judged.schema[name].dataType) for name in (every, "items")}
+    met = same.withColumns(nothing).unionByName(touched.join(judged, own_key, "left"))
     none = F.array().cast("array<struct<start:int,end:int>>")
 
     def merge(done, span):
@@ -221,12 +234,8 @@ def find(
             F.concat(done, F.array(span))
         )
 
-    out = (
-        seen.drop("__hits")
-        .join(spans, "__key", "left")
-        .join(listed, "__key", "left")
-        .withColumn("spans", F.aggregate(F.coalesce("__all", none), none, merge))
-        .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    out = met.withColumn("spans", F.aggregate(F.coalesce(every, none), none, merge)).withColumn(
+        "items", F.coalesce("items", F.array().cast("array<string>"))
     )
     covered = F.aggregate("spans", F.lit(0), lambda sum_, span: sum_ + span["end"] - span["start"])
-    return out.withColumn("n_hit", covered.cast("long")).drop("__key", "__all")
+    return out.withColumn("n_hit", covered.cast("long")).drop(own_key, every)
