@@ -27,17 +27,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round links neighbours above a node, and then those below it, to the lowest
     neighbour. Rounds are logarithmic in practice. Every round is a few joins of links, its
-    result is written to the shared folder, and nothing of it comes to the driver. The lowest neighbour is found by partial aggregation, and a node with very
-    many neighbours is split by adaptive execution.
+    result is written to the shared folder, and nothing of it comes to the driver. The lowest
+    neighbour is found by partial aggregation and stored, so that the links it is joined to are
+    one of two plain exchanges, and those of a node with very many neighbours can be split.
     """
     low, high = F.least("u", "v"), F.greatest("u", "v")
     # From here on u is above v.
     links = stored(links.select(high.alias("u"), low.alias("v")).filter("u <> v").distinct())
     while not _is_done(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        upper = both.join(_lowest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        upper = both.join(stored(_lowest(both)), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         upper = upper.filter("u <> v")
-        lowest = _lowest(upper)
+        upper = stored(upper)
+        lowest = stored(_lowest(upper))
         lower = upper.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = stored(lower.unionByName(lowest.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
     roots = links.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))

@@ -342,10 +342,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
 def _stars(placed: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """(u, v): each node with the leaders of its tiles that it may link with."""
-    weight = placed.groupBy("node").agg(F.sum("copies").alias("shares"))
+    # What is summed up by a key is stored before it is joined by it: the join is then one of
+    # two plain exchanges, and a node or a tile with very many rows can be split.
+    weight = stored(placed.groupBy("node").agg(F.sum("copies").alias("shares")))
     most = F.max(F.struct("shares", "node", "n")).alias("most")
     leaders = placed.join(weight, "node").groupBy("key", "tile").agg(most)
-    leaders = leaders.select("key", "tile", F.col("most.node").alias("leader"), F.col("most.n").alias("leader_n"))
+    leaders = stored(leaders.select("key", "tile", F.col("most.node").alias("leader"), F.col("most.n").alias("leader_n")))
     small, large = F.least("n", "leader_n"), F.greatest("n", "leader_n")
     pairs = placed.join(leaders, ["key", "tile"]).filter((F.col("node") != F.col("leader")) & (100 * small >= percent * large))
     pairs = pairs.select(F.col("node").alias("u"), F.col("leader").alias("v"), "n", "leader_n").distinct()
@@ -375,7 +377,7 @@ def _across(placed: DataFrame, marks: DataFrame, merged: DataFrame, percent: int
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tiles = (
-        placed.join(mixed, ["key", "tile"])
+        placed.join(stored(mixed), ["key", "tile"])
         .withColumn("block", block)
         .select("key", "tile", "n", "node", "component", "visits", "block", others)
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
@@ -463,7 +465,7 @@ def groups(
     placed = stored(_placed(shared))
     marks = stored(_of_nodes(slim, placed.select("node").distinct(), shingle, parity_bitmap, "binary"))
     stars = stored(_verified(_stars(placed, marks, percent), slim, shingle, percent))
-    merged = components(stars)
+    merged = stored(components(stars))
     more = _verified(_across(placed, marks, merged, percent, block_rows), slim, shingle, percent)
     joined = stored(components(stars.unionByName(more)))
     # A component is named by the smallest id of any row in it.
