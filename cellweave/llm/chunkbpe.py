@@ -15,10 +15,11 @@ gives the library each distinct word once, as far as it remembers them.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
-from itertools import chain
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -145,6 +146,16 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.agree = lru_cache(maxsize=50_000)(self._agree)
+        #: Whether case of ASCII letters makes no difference, and signs that are words by
+        #: themselves behind such a letter: fewer words are then different. The library is asked.
+        letters = [bytes([c]) for c in (*range(65, 91), *range(97, 123))]
+        self.one_case = all(np.array_equal(self.whole(c), self.whole(c.lower())) for c in letters)
+        signs = [s for s in (b".", b",", b";", b":", b"!", b"?") if all(self._agree(c, s) for c in letters)]
+        # To the model alone, a lower-case ASCII word is what the whole tokenizer makes of it, or is it?
+        self.bare = Tokenizer(self.tokenizer.model)
+        tried = sorted(w for t in self.tokenizer.get_vocab() if (w := t.encode()[:7]).isalpha() and w.islower())[::20]
+        self.bare_words = all(np.array_equal(self.whole(w), self._bare([w])[0]) for w in tried)
+        self.sign = re.compile(rb"(?<=[A-Za-z])([%b])(?=[ \t\n\r]|$)" % b"".join(signs)) if signs else None
         self.token = lru_cache(maxsize=None)(self.tokenizer.id_to_token)
         self._start()
 
@@ -182,9 +193,17 @@ class Encoder:
         self.place.update(zip(words, range(known, known + len(words))))
         self.size += sum(map(len, words))
 
+    def _bare(self, words: list[bytes]) -> list[list[int]]:
+        return [x.ids for x in self.bare.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+
     def _learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
+        # On bytes, isalpha() knows ASCII letters only.
+        plain = [w for w in words if self.bare_words and w.isalpha() and w.islower()]
+        other = [w for w in words if not (self.bare_words and w.isalpha() and w.islower())]
+        for at in range(0, len(plain), 1000):
+            self._put(plain[at : at + 1000], self._bare(plain[at : at + 1000]))
+        for at in range(0, len(other), 1000):
+            some = other[at : at + 1000]
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
             self._put(some, [x.ids for x in coded])
 
@@ -192,13 +211,13 @@ class Encoder:
         """Ids of each text, put together from those of its words."""
         if len(self.place) > REMEMBERED_WORDS or self.size > REMEMBERED_BYTES:
             self._forget()
-        # Without an argument, split() on bytes parts them at ASCII white space alone.
-        words = [text.split() for text in texts]
+        words = [self._words(text) for text in texts]
         every = list(chain.from_iterable(words))
-        new = set(every).difference(self.place)
+        place = np.fromiter(map(self.place.get, every, repeat(-1)), np.int64, len(every))
+        new = np.flatnonzero(place < 0).tolist()
         if new:
-            self._learn(list(new))
-        place = np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))
+            self._learn(list({every[n] for n in new}))
+            place[new] = [self.place[every[n]] for n in new]
         self.hits[: len(self.place)] += np.bincount(place, minlength=len(self.place))
         begin = self.first[place]
         length = self.first[place + 1] - begin
@@ -207,6 +226,15 @@ class Encoder:
         borders = end[np.concatenate([[0], np.cumsum([len(own) for own in words])]).astype(np.int64)].tolist()
         return [out[a:b] for a, b in zip(borders, borders[1:])]
 
+    def _words(self, text: bytes) -> list[bytes]:
+        # What looks like a special token may be one, as long as its case is left alone.
+        if self.one_case and b"<" not in text:
+            text = text.lower()
+        if self.sign is not None:
+            text = self.sign.sub(rb" \1", text)
+        # Without an argument, split() on bytes parts them at ASCII white space alone.
+        return text.split()
+
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
 
