@@ -28,11 +28,11 @@ def with_arrays(
 ) -> DataFrame:
     """``df`` with columns that ``compute`` makes from a column of text.
 
-    Columns of ``df`` that are named like a new one are replaced. ``compute`` sees about
+    Columns of ``df`` that are named like a new one, in whatever case, are replaced. ``compute`` sees about
     ``limit`` bytes of text at a time, or one longer text. ``keep`` is an expression, and what
     tells from its values which rows there are to be; one pass through Python does both.
     """
-    kept = [f for f in df.schema if f.name not in added and f.name not in drop]
+    kept = [f for f in df.schema if f.name not in drop and not any(same_name(f.name, x) for x in added)]
     names = [f.name for f in kept]
     schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in added.items())])
     # The text goes in under a name of its own, so that a dropped or replaced one is still there.

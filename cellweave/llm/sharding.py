@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.batches import shuffle_partitions, stored
+from cellweave.llm.batches import fresh, shuffle_partitions, stored
 
 #: Rows are numbered in the order of so many hash buckets, and by key within each. The
 #: table of where the buckets begin has one row for each, which bounds what is broadcast.
@@ -27,40 +27,42 @@ def number_rows(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataF
     in as many parts as there are salts, however many they are. Nulls count as values.
     Existing columns of these names are replaced.
     """
+    names = ("bucket", "salt", "rows", "start", "of", "part", "before", "place")
+    own = dict(zip(names, fresh([*df.columns, NUMBER, TOTAL], *names)))
     salt = F.floor(F.rand(0) * (SALTS * shuffle_partitions(df.sparkSession))).cast("int")
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     # Written down, as a row needs the same salt where it is counted and where it is numbered.
-    df = stored(df.drop(NUMBER, TOTAL).withColumns({"__bucket": bucket, "__salt": salt}))
-    sizes = df.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__rows"))
+    df = stored(df.drop(NUMBER, TOTAL).withColumns({own["bucket"]: bucket, own["salt"]: salt}))
+    sizes = df.groupBy(own["bucket"]).agg(F.count(F.lit(1)).alias(own["rows"]))
     # One row per bucket, so one task is enough for the running sum.
-    upto = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.orderBy(own["bucket"]).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        "__bucket",
-        F.coalesce(F.sum("__rows").over(upto), F.lit(0)).alias("__start"),
-        F.sum("__rows").over(Window.partitionBy(F.lit(0))).alias(TOTAL),
+        own["bucket"],
+        F.coalesce(F.sum(own["rows"]).over(upto), F.lit(0)).alias(own["start"]),
+        F.sum(own["rows"]).over(Window.partitionBy(F.lit(0))).alias(TOTAL),
     )
     # Rows before those of each (keys, salt) in its bucket.
-    alike = {f"__key{i}": key for i, key in enumerate(keys)}
-    parts = df.groupBy("__bucket", *(F.col(key).alias(name) for name, key in alike.items()), "__salt").agg(
-        F.count(F.lit(1)).alias("__rows")
+    alike = dict(zip(fresh([*df.columns, *own.values()], *(f"key{i}" for i in range(len(keys)))), keys))
+    parts = df.groupBy(own["bucket"], *(F.col(key).alias(name) for name, key in alike.items()), own["salt"]).agg(
+        F.count(F.lit(1)).alias(own["rows"])
     )
-    within = Window.partitionBy("__bucket").orderBy(*alike, "__salt").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(own["bucket"]).orderBy(*alike, own["salt"]).rowsBetween(Window.unboundedPreceding, -1)
     before = parts.select(
-        F.col("__bucket").alias("__of"),
+        F.col(own["bucket"]).alias(own["of"]),
         *alike,
-        F.col("__salt").alias("__part"),
-        F.coalesce(F.sum("__rows").over(within), F.lit(0)).alias("__before"),
+        F.col(own["salt"]).alias(own["part"]),
+        F.coalesce(F.sum(own["rows"]).over(within), F.lit(0)).alias(own["before"]),
     )
-    same = (F.col("__bucket") == F.col("__of")) & (F.col("__salt") == F.col("__part"))
+    same = (F.col(own["bucket"]) == F.col(own["of"])) & (F.col(own["salt"]) == F.col(own["part"]))
     for name, key in alike.items():
         same &= F.col(key).eqNullSafe(F.col(name))
-    place = F.row_number().over(Window.partitionBy("__bucket", *keys, "__salt").orderBy("__salt"))
+    place = F.row_number().over(Window.partitionBy(own["bucket"], *keys, own["salt"]).orderBy(own["salt"]))
     return (
-        df.withColumn("__place", place)
+        df.withColumn(own["place"], place)
         .join(before, same)
-        .join(F.broadcast(starts), "__bucket")
-        .withColumn(NUMBER, F.col("__start") + F.col("__before") + F.col("__place") - 1)
-        .drop("__bucket", "__salt", "__of", "__part", "__place", "__before", "__start", *alike)
+        .join(F.broadcast(starts), own["bucket"])
+        .withColumn(NUMBER, F.col(own["start"]) + F.col(own["before"]) + F.col(own["place"]) - 1)
+        .drop(own["bucket"], own["salt"], own["of"], own["part"], own["place"], own["before"], own["start"], *alike)
     )
 
 
@@ -115,15 +117,15 @@ def shard_rows(
     ``row_number`` and ``total_rows`` are replaced.
     """
     numbered = stored(number_rows(df.drop("shard", "slot"), keys, buckets))
-    walk = WALK
+    walk, (place,) = WALK, fresh(numbered.columns, "place")
     while True:
-        placed = numbered.withColumn("__place", permuted(NUMBER, TOTAL, seed, rounds, walk))
+        placed = numbered.withColumn(place, permuted(NUMBER, TOTAL, seed, rounds, walk))
         # Ends: a walk has no more steps than the grid has places beyond the rows, plus one.
-        if placed.filter(F.col("__place") >= F.col(TOTAL)).isEmpty():
+        if placed.filter(F.col(place) >= F.col(TOTAL)).isEmpty():
             break
         walk *= 4
     return placed.select(
         *numbered.columns,
-        F.pmod("__place", F.lit(shards)).cast("int").alias("shard"),
-        whole(F.col("__place"), F.lit(shards)).alias("slot"),
+        F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
+        whole(F.col(place), F.lit(shards)).alias("slot"),
     )

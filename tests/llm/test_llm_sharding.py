@@ -96,3 +96,11 @@ def test_rows_that_are_alike_are_numbered_in_many_tasks(spark, settings):
 def test_no_python_in_the_plan(docs):
     plan = sharding.shard_rows(docs, ["doc_id", "text"], 3)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_names_that_the_operator_uses_are_kept(spark):
+    rows = spark.range(50).selectExpr("id", "id as __salt", "'b' as __BUCKET", "1 as __place", "2 as __key0")
+    got = sharding.shard_rows(rows, ["id"], 3)
+    assert got.columns[:5] == rows.columns and len(got.columns) == 9
+    assert got.filter("__salt = id and __BUCKET = 'b' and __place = 1 and __key0 = 2").count() == 50
+    assert sorted(row.slot * 3 + row.shard for row in got.collect()) == list(range(50))

@@ -126,3 +126,9 @@ def test_other_models_are_refused(tmp_path):
         pytest.skip("the file is laid out another way")
     with pytest.raises(ValueError):
         tokencount.PieceModel(str(unigram))
+
+
+def test_columns_are_told_apart_without_case(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "x")], "doc_id long, text string, N_TOKENS int, __text string")
+    row = tokencount.count_tokens(docs, PIECES).first()
+    assert row.asDict() == {"doc_id": 1, "text": "a b", "__text": "x", "n_tokens": 2}
