@@ -15,6 +15,7 @@ gives the library each distinct word once, as far as it remembers them.
 from __future__ import annotations
 
 import os
+import random
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -42,7 +43,7 @@ LEAST = 128
 FILTER_BITS = 26
 #: Words, and bytes of words, that a process remembers the ids of; when there are more, it forgets
 #: those met once.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 400_000
 REMEMBERED_BYTES = 16 << 20
 #: Texts that go to Python in one go, and bytes of text that are looked at in one go there.
 BATCH_TEXTS = 1000
@@ -56,6 +57,15 @@ SPACE[[0x20, 0x09, 0x0A, 0x0D]] = True
 CUT_BELOW = U64(1 << (64 - CUT_BITS))
 ROLL_VALUE = np.random.default_rng(20250611).integers(1, 1 << 63, 256, dtype=U64)
 
+#: Signs of ASCII, and those that are the end of a word behind a letter of its.
+SIGNS = bytes([*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
+LAST_SIGNS = re.compile(rb"[!-/:-@[-`{-~](?<=[A-Za-z].)[!-/:-@[-`{-~]*(?=[ \t\n\r]|$)")
+#: A word of small letters of ISO 8859-1. No composition or lower-casing changes it.
+PLAIN_WORD = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+#: How byte-level models write bytes: visible characters as they are, others by turns from 256 on.
+_UNSEEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+BYTE_LETTERS = {b: 256 + n for n, b in enumerate(_UNSEEN)}
+
 IDS = T.ArrayType(T.IntegerType(), False)
 
 
@@ -146,16 +156,16 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.agree = lru_cache(maxsize=50_000)(self._agree)
-        #: Whether case of ASCII letters makes no difference, and signs that are words by
-        #: themselves behind such a letter: fewer words are then different. The library is asked.
-        letters = [bytes([c]) for c in (*range(65, 91), *range(97, 123))]
-        self.one_case = all(np.array_equal(self.whole(c), self.whole(c.lower())) for c in letters)
-        signs = [s for s in (b".", b",", b";", b":", b"!", b"?") if all(self._agree(c, s) for c in letters)]
-        # To the model alone, a lower-case ASCII word is what the whole tokenizer makes of it, or is it?
+        # Fewer words are different, and most need the model alone, if the library agrees that
+        # case of ASCII letters makes no difference, that signs behind a letter are a word by
+        # themselves, and that plain words pass its other steps as they are. It is asked.
         self.bare = Tokenizer(self.tokenizer.model)
-        tried = sorted(w for t in self.tokenizer.get_vocab() if (w := t.encode()[:7]).isalpha() and w.islower())[::20]
-        self.bare_words = all(np.array_equal(self.whole(w), self._bare([w])[0]) for w in tried)
-        self.sign = re.compile(rb"(?<=[A-Za-z])([%b])(?=[ \t\n\r]|$)" % b"".join(signs)) if signs else None
+        rng = random.Random(13)
+        some = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzßàçéñöøüÿ", k=rng.randint(1, 9))).encode() for _ in range(400)]
+        runs = [bytes([c]) for c in SIGNS] + [bytes(rng.choices(SIGNS, k=rng.randint(2, 4))) for _ in range(200)]
+        self.one_case = all(np.array_equal(self.whole(w), self.whole(w.upper())) for w in some)
+        self.apart = all(self._agree(rng.choice(some), run) for run in runs)
+        self.plain_words = all(np.array_equal(self.whole(w), ids) for w, ids in zip(some, self._bare(some)))
         self.token = lru_cache(maxsize=None)(self.tokenizer.id_to_token)
         self._start()
 
@@ -194,12 +204,12 @@ class Encoder:
         self.size += sum(map(len, words))
 
     def _bare(self, words: list[bytes]) -> list[list[int]]:
-        return [x.ids for x in self.bare.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        letters = [w.decode("latin-1").translate(BYTE_LETTERS) for w in words]
+        return [x.ids for x in self.bare.encode_batch_fast(letters, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        # On bytes, isalpha() knows ASCII letters only.
-        plain = [w for w in words if self.bare_words and w.isalpha() and w.islower()]
-        other = [w for w in words if not (self.bare_words and w.isalpha() and w.islower())]
+        plain = [w for w in words if PLAIN_WORD(w)] if self.plain_words else []
+        other = [w for w in words if not PLAIN_WORD(w)] if self.plain_words else words
         for at in range(0, len(plain), 1000):
             self._put(plain[at : at + 1000], self._bare(plain[at : at + 1000]))
         for at in range(0, len(other), 1000):
@@ -227,11 +237,11 @@ class Encoder:
         return [out[a:b] for a, b in zip(borders, borders[1:])]
 
     def _words(self, text: bytes) -> list[bytes]:
-        # What looks like a special token may be one, as long as its case is left alone.
-        if self.one_case and b"<" not in text:
-            text = text.lower()
-        if self.sign is not None:
-            text = self.sign.sub(rb" \1", text)
+        if b"<" not in text:  # or there may be a special token, which is left as it is
+            if self.one_case:
+                text = text.lower()
+            if self.apart:
+                text = LAST_SIGNS.sub(rb" \g<0>", text)
         # Without an argument, split() on bytes parts them at ASCII white space alone.
         return text.split()
 
