@@ -36,21 +36,54 @@ Batches = Iterator[pa.RecordBatch]
 
 # Task code is built as closures that import what they need, so that executors can
 # run it without this package installed.
+def _zip_opener() -> Callable:
+    """Opens an archive, given as a URI, until a stack of contexts ends."""
+
+    def opened(archive, at_end):
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        class Stream:
+            """Arrow's file with the error of other files for a place before its start: zipfile
+            looks there for more in an archive of few bytes, as one without members is."""
+
+            def __init__(self, file):
+                self._file = file
+
+            def __getattr__(self, name):
+                return getattr(self._file, name)
+
+            def seek(self, offset, whence=0):
+                try:
+                    return self._file.seek(offset, whence)
+                except pa.ArrowInvalid as error:
+                    raise OSError(str(error)) from error
+
+        store, path = fs.FileSystem.from_uri(archive)
+        raw = at_end.enter_context(store.open_input_file(path))
+        return at_end.enter_context(zipfile.ZipFile(Stream(raw)))
+
+    return opened
+
+
 def _list_members() -> Callable[[Batches], Batches]:
+    open_zip = _zip_opener()
+
     def run(batches: Batches) -> Batches:
+        import contextlib
         import re
-        import zipfile
         from urllib.parse import quote
 
         import pyarrow as pa
-        from pyarrow import fs
 
         for batch in batches:
             for listed in batch.column("path").to_pylist():
                 # Spark lists plain text, Arrow wants a URI and its own name for S3.
                 archive = quote(re.sub(r"^s3[an]:", "s3:", listed), safe="/:@")
-                store, path = fs.FileSystem.from_uri(archive)
-                with store.open_input_file(path) as raw, zipfile.ZipFile(raw) as opened:
+                with contextlib.ExitStack() as at_end:
+                    opened = open_zip(archive, at_end)
                     members = [m for m in enumerate(opened.infolist()) if m[1].filename.endswith(".parquet")]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -67,21 +100,17 @@ def _list_members() -> Callable[[Batches], Batches]:
 
 def _opener() -> Callable:
     """Gives (member's description, archive) for rows that come sorted by archive."""
+    open_zip = _zip_opener()
 
     def members(batches):
         import contextlib
-        import zipfile
-
-        from pyarrow import fs
 
         opened = {}  # the archive at hand
         with contextlib.ExitStack() as at_end:
             for row in (row for batch in batches for row in batch.to_pylist()):
                 if row["archive"] not in opened:
                     at_end.close()
-                    store, path = fs.FileSystem.from_uri(row["archive"])
-                    raw = at_end.enter_context(store.open_input_file(path))
-                    opened = {row["archive"]: at_end.enter_context(zipfile.ZipFile(raw))}
+                    opened = {row["archive"]: open_zip(row["archive"], at_end)}
                 archive = opened[row["archive"]]
                 yield row, archive, archive.infolist()[row["position"]]
 

@@ -149,6 +149,22 @@ def test_zip_rows_and_keys(spark, zips):
     ]
 
 
+@pytest.mark.parametrize("comment", [b"", b"nothing to report"])
+def test_archives_without_members(spark, zips, tmp_path, comment):
+    rows = values(sources.weather_zip(spark, zips))
+    # "a" and "z": before and after the others by path.
+    for path in ("in/a.zip", "in/z.zip", "alone/a.zip"):
+        make_zip(tmp_path / path, {})
+        with zipfile.ZipFile(tmp_path / path, "a") as archive:
+            archive.comment = comment
+    assert values(sources.weather_zip(spark, zips)) == rows
+    assert archive_reader.copy_members(spark, zips, f"{tmp_path}/out") == len(rows)
+    nothing = sources.weather_zip(spark, f"{tmp_path}/alone")
+    assert nothing.count() == 0
+    assert nothing.columns[-3:] == ["year", "month", "day"]
+    assert archive_reader.copy_members(spark, f"{tmp_path}/alone", f"{tmp_path}/out") == 0
+
+
 def grouped(rows, groups):
     """A Parquet file of so many row groups."""
     sink = pa.BufferOutputStream()
